@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.operators import genres as genres_op
-from reelrank.operators import stats
+from reelrank.operators import stats, tfidf
 from reelrank.plans.sql import values_list, with_bindings
 from reelrank.sources import tables
 
@@ -121,3 +121,54 @@ def q_genres_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = stats.movies_with_score(tables.movies(spark, sf_dir), avg)
     top = genres_op.genres_top(scored, genres_op.genre_frame(spark, BINDING_GENRES), k=10)
     return top.select("genre", "rk", "mid", _r("score"))
+
+
+# ---- content similarity (TF-IDF) -----------------------------------------
+
+# ---- fixed values: HashingTF(numFeatures=50) bucket of each binding word --
+BINDING_BUCKETS_50 = {
+    "": 22, "anvil": 44, "blue": 18, "bolt": 40, "cold": 20, "economy": 17,
+    "gear": 45, "gizmo": 42, "hot": 43, "large": 22, "medium": 42, "new": 35,
+    "old": 33, "plate": 25, "promo": 49, "red": 2, "ring": 46, "rod": 32,
+    "small": 22, "standard": 17, "widget": 19,
+}
+# --------------------------------------------------------------------------
+
+
+def _tfidf_oracle(hashed: bool) -> str:
+    tok = ("select mid, unnest(string_split(lower(replace(genres, '|', ' ')), ' ')) as tok "
+           "from M where genres is not null")
+    if hashed:
+        mapping = ", ".join(f"('{k}', {v})" for k, v in BINDING_BUCKETS_50.items())
+        terms = (f"select mid, b.bucket as term from ({tok}) t "
+                 f"join (values {mapping}) b(word, bucket) on t.tok = b.word")
+    else:
+        terms = f"select mid, tok as term from ({tok}) t where tok <> ''"
+    # The body starts with ", terms as (...)" to extend the binding CTE list.
+    return with_bindings(
+        f", terms as ({terms}),"
+        " tf as (select mid, term, count(*) as tf from terms group by mid, term),"
+        " nd as (select count(*) as m from M where genres is not null),"
+        " dfq as (select term, count(*) as df from tf group by term),"
+        " w as (select tf.mid, tf.term, tf.tf * ln((nd.m + 1.0) / (dfq.df + 1.0)) as w"
+        "       from tf join dfq using (term) cross join nd),"
+        " nrm as (select mid, sqrt(sum(w * w)) as n from w group by mid),"
+        " dot as (select a.mid, b.mid as sim_mid, sum(a.w * b.w) as d from w a join w b"
+        "         on a.term = b.term and a.mid <> b.mid group by a.mid, b.mid),"
+        " s as (select dot.mid, dot.sim_mid, d / (na.n * nb.n) as sim from dot"
+        "       join nrm na on na.mid = dot.mid join nrm nb on nb.mid = dot.sim_mid"
+        "       where na.n > 0 and nb.n > 0)"
+        f" select mid, sim_mid, round(sim, {ROUND}) as sim from s where sim > 0.6"
+    )
+
+
+@register("tfidf_item_sim", _tfidf_oracle(hashed=False))
+def q_tfidf_item_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir))
+    return sims.select("mid", "sim_mid", _r("sim"))
+
+
+@register("tfidf_hashed_sim", _tfidf_oracle(hashed=True))
+def q_tfidf_hashed_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir), hashed=True)
+    return sims.select("mid", "sim_mid", _r("sim"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.operators import genres as genres_op
-from reelrank.operators import stats, tfidf
+from reelrank.operators import rerank, stats, tfidf
 from reelrank.plans.sql import values_list, with_bindings
 from reelrank.sources import tables
 
@@ -135,7 +135,8 @@ BINDING_BUCKETS_50 = {
 # --------------------------------------------------------------------------
 
 
-def _tfidf_oracle(hashed: bool) -> str:
+def _tfidf_ctes(hashed: bool) -> str:
+    """CTE chain (starting with a comma) ending in s(mid, sim_mid, sim), unrounded."""
     tok = ("select mid, unnest(string_split(lower(replace(genres, '|', ' ')), ' ')) as tok "
            "from M where genres is not null")
     if hashed:
@@ -144,8 +145,7 @@ def _tfidf_oracle(hashed: bool) -> str:
                  f"join (values {mapping}) b(word, bucket) on t.tok = b.word")
     else:
         terms = f"select mid, tok as term from ({tok}) t where tok <> ''"
-    # The body starts with ", terms as (...)" to extend the binding CTE list.
-    return with_bindings(
+    return (
         f", terms as ({terms}),"
         " tf as (select mid, term, count(*) as tf from terms group by mid, term),"
         " nd as (select count(*) as m from M where genres is not null),"
@@ -155,13 +155,19 @@ def _tfidf_oracle(hashed: bool) -> str:
         " nrm as (select mid, sqrt(sum(w * w)) as n from w group by mid),"
         " dot as (select a.mid, b.mid as sim_mid, sum(a.w * b.w) as d from w a join w b"
         "         on a.term = b.term and a.mid <> b.mid group by a.mid, b.mid),"
-        " s as (select dot.mid, dot.sim_mid, d / (na.n * nb.n) as sim from dot"
+        " s0 as (select dot.mid, dot.sim_mid, d / (na.n * nb.n) as sim from dot"
         "       join nrm na on na.mid = dot.mid join nrm nb on nb.mid = dot.sim_mid"
-        "       where na.n > 0 and nb.n > 0)"
-        f" select mid, sim_mid, round(sim, {ROUND}) as sim from s where sim > 0.6"
+        "       where na.n > 0 and nb.n > 0),"
+        " s as (select * from s0 where sim > 0.6)"
     )
 
 
+def _tfidf_oracle(hashed: bool) -> str:
+    # The body starts with ", terms as (...)" to extend the binding CTE list.
+    return with_bindings(_tfidf_ctes(hashed)
+                         + f" select mid, sim_mid, round(sim, {ROUND}) as sim from s")
+
+
 @register("tfidf_item_sim", _tfidf_oracle(hashed=False))
 def q_tfidf_item_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
     sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir))
@@ -172,3 +178,58 @@ def q_tfidf_item_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_tfidf_hashed_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
     sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir), hashed=True)
     return sims.select("mid", "sim_mid", _r("sim"))
+
+
+# ---- re-ranking -----------------------------------------------------------
+
+# Time ties in the rating binding are broken by order key and line number.
+RATING_TIES = ("ok", "ln")
+
+_RERANK_CTES = (
+    ", ranked_r as (select uid, mid, score, row_number() over (partition by uid"
+    "   order by ts desc, ok desc, ln desc, score desc, mid) as rn from R),"
+    " ev as (select uid, mid from ranked_r where rn = 1),"
+    " recent as (select uid, mid as rmid, score from ranked_r where rn <= 20),"
+    " cand0 as (select ev.uid, s.sim_mid, s.sim from ev join s on s.mid = ev.mid"
+    "   where not exists (select 1 from R where R.uid = ev.uid and R.mid = s.sim_mid)),"
+    " cand as (select uid, sim_mid, sim, row_number() over (partition by uid"
+    f"   order by round(sim, {ROUND}) desc, sim_mid) as rk from cand0),"
+    " c20 as (select * from cand where rk <= 20),"
+    " sc as (select c.uid, c.sim_mid as mid, avg(s.sim * r.score) as base,"
+    "   count(*) filter (where r.score > 3) as ups, count(*) filter (where r.score <= 3) as downs"
+    "   from c20 c join recent r on r.uid = c.uid"
+    "   join s on s.mid = c.sim_mid and s.sim_mid = r.rmid and s.sim > 0.7"
+    "   group by c.uid, c.sim_mid)"
+)
+
+
+@register("user_recent_k", with_bindings(
+    "select uid, rk, mid, score from (select uid, mid, score, row_number() over ("
+    " partition by uid order by ts desc, ok desc, ln desc, score desc, mid) as rk from R)"
+    " where rk <= 20"))
+def q_user_recent_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rerank.user_recent_k(tables.ratings(spark, sf_dir), 20, RATING_TIES)
+
+
+@register("sim_candidates", with_bindings(
+    _tfidf_ctes(False) + _RERANK_CTES
+    + f" select uid, rk, sim_mid, round(sim, {ROUND}) as sim from c20"))
+def q_sim_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings = tables.ratings(spark, sf_dir)
+    sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir))
+    events = rerank.latest_events(ratings, RATING_TIES)
+    cands = rerank.sim_candidates(events, sims, ratings.select("uid", "mid"), 20)
+    return cands.select("uid", "rk", "sim_mid", _r("sim"))
+
+
+@register("stream_recs", with_bindings(
+    _tfidf_ctes(False) + _RERANK_CTES
+    + f" select uid, mid, round(base + log10(greatest(ups, 1)) - log10(greatest(downs, 1)),"
+      f" {ROUND}) as score from sc"))
+def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings = tables.ratings(spark, sf_dir)
+    sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir))
+    events = rerank.latest_events(ratings, RATING_TIES)
+    recs = rerank.stream_recommendations(events, ratings, sims, 20, 20,
+                                         tie_breakers=RATING_TIES)
+    return recs.select("uid", "mid", _r("score"))

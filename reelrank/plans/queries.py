@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.operators import genres as genres_op
+from reelrank.functions import recs as recs_codec
 from reelrank.operators import rerank, stats, tfidf
+from reelrank.operators.topk import explode_recs
 from reelrank.plans.sql import values_list, with_bindings
-from reelrank.sources import tables
+from reelrank.session import scratch_path
+from reelrank.sources import tables, text
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -233,3 +236,47 @@ def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = rerank.stream_recommendations(events, ratings, sims, 20, 20,
                                          tie_breakers=RATING_TIES)
     return recs.select("uid", "mid", _r("score"))
+
+
+# ---- text sources and the list codec --------------------------------------
+
+def _roundtrip_dir(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, name)
+
+
+@register("load_movies", with_bindings("select * from MF"))
+def q_load_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _roundtrip_dir(spark, "movies-text")
+    text.write_delimited_text(tables.movies_full(spark, sf_dir), text.MOVIE_COLUMNS, "^", path)
+    good, _rejects = text.read_movies(spark, path)
+    return good
+
+
+@register("load_ratings", with_bindings(
+    "select uid, mid, score, cast(epoch(ts) as bigint) as timestamp from R"))
+def q_load_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _roundtrip_dir(spark, "ratings-text")
+    text.write_delimited_text(tables.ratings_with_epoch(spark, sf_dir),
+                              ["uid", "mid", "score", "timestamp"], ",", path)
+    good, _rejects = text.read_ratings(spark, path)
+    return good
+
+
+@register("load_tags", with_bindings("select uid, mid, tag, timestamp from T"))
+def q_load_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _roundtrip_dir(spark, "tags-text")
+    text.write_delimited_text(tables.tags(spark, sf_dir), text.TAG_COLUMNS, ",", path)
+    good, _rejects = text.read_tags(spark, path)
+    return good
+
+
+@register("recs_text_roundtrip", ORACLES["genres_top10"])
+def q_recs_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genre top-10 lists -> legacy text -> parsed back -> flat rows."""
+    avg = stats.average_movies(tables.ratings(spark, sf_dir))
+    scored = stats.movies_with_score(tables.movies(spark, sf_dir), avg)
+    lists = genres_op.genres_top_lists(scored, genres_op.genre_frame(spark, BINDING_GENRES), 10)
+    as_text = lists.select("genre", recs_codec.recs_to_text("recs", "genre").alias("recs"))
+    parsed = as_text.select("genre", recs_codec.parse_recs_text("recs").alias("recs"))
+    flat = explode_recs(parsed, ["genre"])
+    return flat.select("genre", "rk", "mid", _r("score"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reelrank.operators import genres as genres_op
 from reelrank.functions import recs as recs_codec
-from reelrank.operators import rerank, stats, tfidf
+from reelrank.operators import als, rerank, similarity, stats, tfidf
 from reelrank.operators.topk import explode_recs
 from reelrank.plans.sql import values_list, with_bindings
 from reelrank.session import scratch_path
@@ -280,3 +280,65 @@ def q_recs_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = as_text.select("genre", recs_codec.parse_recs_text("recs").alias("recs"))
     flat = explode_recs(parsed, ["genre"])
     return flat.select("genre", "rk", "mid", _r("score"))
+
+
+# ---- dense-vector cosine ----------------------------------------------------
+
+@register("cosine_topk", (
+    "with e as (select vec_id, cast(embedding as double[]) as v from embeddings),"
+    " p as (select a.vec_id, b.vec_id as sim_id, list_cosine_similarity(a.v, b.v) as sim"
+    "       from e a join e b on a.vec_id <> b.vec_id),"
+    " r as (select vec_id, sim_id, sim, row_number() over (partition by vec_id"
+    f"       order by round(sim, {ROUND}) desc, sim_id) as rk from p)"
+    f" select vec_id, rk, sim_id, round(sim, {ROUND}) as sim from r where rk <= 10"))
+def q_cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten most similar embeddings per embedding (exact, blocked)."""
+    pairs = similarity.cosine_pairs(tables.embeddings(spark, sf_dir), "vec_id", "embedding",
+                                    threshold=None, top_k=10)
+    return pairs.select(F.col("id").alias("vec_id"), "rk", "sim_id", _r("sim"))
+
+
+# ---- collaborative filtering (ALS) ----------------------------------------
+
+ALS_SEED = 42
+
+
+def _train_test(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Deterministic 80/20 split on the rating key (every row lands in one side)."""
+    is_test = F.pmod(F.col("ok") * 7 + F.col("ln"), F.lit(5)) == 0
+    return ratings.filter(~is_test), ratings.filter(is_test)
+
+
+@register("rmse_join", with_bindings(
+    ", tr as (select * from R where (ok * 7 + ln) % 5 <> 0),"
+    " te as (select * from R where (ok * 7 + ln) % 5 = 0),"
+    " im as (select mid, avg(score) as m from tr group by mid),"
+    " pr as (select te.uid, te.mid, im.m as prediction from te join im using (mid))"
+    f" select round(sqrt(avg((o.score - p.prediction) * (o.score - p.prediction))), {ROUND})"
+    " as rmse, count(*) as n from te o join pr p on o.uid = p.uid and o.mid = p.mid"))
+def q_rmse_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RMSE of an item-mean predictor: observed x predicted joined on (uid, mid)."""
+    train, test = _train_test(tables.ratings(spark, sf_dir))
+    item_mean = stats.average_movies(train).withColumnRenamed("score", "prediction")
+    predicted = test.select("uid", "mid").join(item_mean, "mid")
+    out = als.rmse(test.select("uid", "mid", "score"), predicted)
+    return out.select(_r("rmse"), "n")
+
+
+@register("als_user_recs")
+def q_als_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = als.fit_als(tables.ratings(spark, sf_dir), seed=ALS_SEED)
+    return als.user_recommendations(model, 20).select("uid", "rk", "mid", _r("score"))
+
+
+@register("als_item_sim")
+def q_als_item_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = als.fit_als(tables.ratings(spark, sf_dir), seed=ALS_SEED)
+    return als.item_similarity(model).select("mid", "sim_mid", _r("sim"))
+
+
+@register("als_grid")
+def q_als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _train_test(tables.ratings(spark, sf_dir))
+    grid = als.als_grid(train, test, seed=ALS_SEED)
+    return grid.select("rank", "reg_param", _r("rmse"))

@@ -30,21 +30,23 @@ RANK_PLACES = 6
 
 
 def user_recent_k(ratings: DataFrame, k: int | None = MAX_USER_RATINGS_NUM,
-                  tie_breakers: Sequence[str] = ()) -> DataFrame:
+                  tie_breakers: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
     """(uid, rk, mid, score): each user's ratings, newest first, at most ``k``.
 
     Order: ts desc, then ``tie_breakers`` desc, then score desc, mid asc.
     ``k=None`` keeps every rating (the literal behaviour of the original,
-    which passed a limit but did not apply it).
+    which passed a limit but did not apply it). ``keep`` names extra columns
+    to carry through.
     """
     order = [F.desc("ts")] + [F.desc(c) for c in tie_breakers] + [F.desc("score"), F.asc("mid")]
     ranked = top_k_per_group(ratings, ["uid"], order, k)
-    return ranked.select("uid", "rk", "mid", "score")
+    return ranked.select("uid", "rk", "mid", "score", *keep)
 
 
-def latest_events(ratings: DataFrame, tie_breakers: Sequence[str] = ()) -> DataFrame:
-    """Each user's newest rating as an event (uid, mid, score)."""
-    return user_recent_k(ratings, 1, tie_breakers).select("uid", "mid", "score")
+def latest_events(ratings: DataFrame, tie_breakers: Sequence[str] = (),
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """Each user's newest rating as an event (uid, mid, score, *keep)."""
+    return user_recent_k(ratings, 1, tie_breakers, keep).select("uid", "mid", "score", *keep)
 
 
 def sim_candidates(events: DataFrame, sim_matrix: DataFrame, seen: DataFrame | None,

@@ -18,7 +18,10 @@ from reelrank.operators import als, rerank, similarity, stats, tfidf
 from reelrank.operators.topk import explode_recs
 from reelrank.plans.sql import values_list, with_bindings
 from reelrank.session import scratch_path
+from reelrank.functions.dates import epoch_seconds
 from reelrank.sources import tables, text
+from reelrank.streaming import job as stream_job
+from reelrank.streaming import source as stream_source
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -342,3 +345,41 @@ def q_als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _train_test(tables.ratings(spark, sf_dir))
     grid = als.als_grid(train, test, seed=ALS_SEED)
     return grid.select("rank", "reg_param", _r("rmse"))
+
+
+# ---- Structured Streaming --------------------------------------------------
+
+def _write_messages(spark: SparkSession, ratings: DataFrame, name: str) -> str:
+    path = scratch_path(spark, name)
+    stream_source.to_messages(ratings).write.mode("overwrite").text(path)
+    return path
+
+
+@register("stream_ratings", with_bindings(
+    "select uid, mid, score, cast(epoch(ts) as bigint) as timestamp from R"))
+def q_stream_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rating messages through a file-source stream and the message parser."""
+    src = _write_messages(spark, tables.ratings_with_epoch(spark, sf_dir), "messages")
+    out, ckpt = scratch_path(spark, "stream-ratings-out"), scratch_path(spark, "stream-ratings-ckpt")
+    parsed = stream_source.parse_messages(stream_source.text_stream(spark, src))
+    query = (stream_source.good_messages(parsed).writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_recs_live", ORACLES["stream_recs"])
+def q_stream_recs_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's newest rating replayed as a message through the streaming job."""
+    ratings = tables.ratings(spark, sf_dir)
+    events = rerank.latest_events(ratings.withColumn("timestamp", epoch_seconds("ts")),
+                                  RATING_TIES, keep=["timestamp"])
+    src = _write_messages(spark, events, "events")
+    sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir))
+    out, ckpt = scratch_path(spark, "stream-recs-out"), scratch_path(spark, "stream-recs-ckpt")
+    query = stream_job.start(stream_source.text_stream(spark, src), ratings, sims, out, ckpt,
+                             trigger={"availableNow": True}, tie_breakers=RATING_TIES)
+    query.awaitTermination()
+    flat = explode_recs(spark.read.parquet(out), ["uid"])
+    return flat.select("uid", "mid", _r("score"))

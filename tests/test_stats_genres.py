@@ -1,0 +1,92 @@
+import datetime as dt
+
+import pytest
+
+from reelrank.operators import genres, stats
+from reelrank.operators.topk import collect_sorted, explode_recs, top_k_per_group
+from tests.conftest import rows
+
+from pyspark.sql import functions as F
+
+
+@pytest.fixture
+def ratings(spark):
+    data = [
+        (1, 10, 4.0, dt.datetime(2020, 1, 31, 23, 59, 59)),
+        (2, 10, 2.0, dt.datetime(2020, 2, 1, 0, 0, 0)),
+        (1, 10, 5.0, dt.datetime(2020, 2, 1, 0, 0, 0)),   # repeated (uid, mid)
+        (3, 20, 3.0, dt.datetime(2019, 12, 31, 12, 0, 0)),
+        (3, 30, 1.0, dt.datetime(2019, 12, 31, 12, 0, 0)),
+    ]
+    return spark.createDataFrame(data, "uid long, mid long, score double, ts timestamp_ntz")
+
+
+@pytest.fixture
+def movies(spark):
+    data = [(10, "Musical One", "Musical|Comedy"), (20, "Sci", "Sci-Fi|Action"),
+            (30, "Null", None), (40, "Unrated", "Music"), (50, "Mixed", "ACTION|drama")]
+    return spark.createDataFrame(data, "mid long, name string, genres string")
+
+
+def test_rate_more_movies(ratings):
+    assert rows(stats.rate_more_movies(ratings)) == [(10, 3), (20, 1), (30, 1)]
+
+
+def test_rate_more_recently_month_edges_and_order(ratings):
+    out = stats.rate_more_recently(ratings)
+    assert [tuple(r) for r in out.collect()] == [
+        (10, 2, 202002), (10, 1, 202001), (20, 1, 201912), (30, 1, 201912)]
+
+
+def test_average_movies(ratings):
+    assert rows(stats.average_movies(ratings)) == [(10, pytest.approx(11 / 3)), (20, 3.0), (30, 1.0)]
+
+
+def test_movie_tags_distinct_sorted(spark, movies):
+    tags = spark.createDataFrame(
+        [(1, 10, "funny", 1), (2, 10, "funny", 2), (3, 10, "Funny", 3), (4, 10, " dark", 4),
+         (1, 20, "space", 5)], "uid long, mid long, tag string, timestamp long")
+    per = stats.movie_tags(tags)
+    assert rows(per) == [(10, " dark|Funny|funny"), (20, "space")]
+    joined = stats.movies_with_tags(movies, per)
+    assert rows(joined, "mid", "tags") == [(10, " dark|Funny|funny"), (20, "space"), (30, None),
+                                           (40, None), (50, None)]
+    assert stats.check_unique_key(joined, "mid").count() == 0
+
+
+def test_movies_with_score_drops_unrated(ratings, movies):
+    out = stats.movies_with_score(movies, stats.average_movies(ratings))
+    assert sorted(r.mid for r in out.collect()) == [10, 20, 30]
+
+
+def test_genres_top_substring_and_null(spark, ratings, movies):
+    scored = stats.movies_with_score(movies, stats.average_movies(ratings))
+    g = genres.genre_frame(spark, ["Music", "Science", "action", "Western"])
+    out = genres.genres_top(scored, g, k=10)
+    # "Music" matches "Musical" (substring); "Science" never matches "Sci-Fi";
+    # null genres never match; genres without a match give no rows.
+    assert rows(out, "genre", "rk", "mid") == [("Music", 1, 10), ("action", 1, 20)]
+    tok = genres.genres_top(scored, g, k=10, match="token")
+    assert rows(tok, "genre", "mid") == [("action", 20)]
+
+
+def test_genres_top_k_ties_break_by_mid(spark):
+    scored = spark.createDataFrame([(i, "A", 3.0 if i % 2 else 4.0) for i in range(1, 15)],
+                                   "mid long, genres string, score double")
+    out = genres.genres_top(scored, genres.genre_frame(spark, ["a"]), k=10)
+    got = [r.mid for r in out.orderBy("rk").collect()]
+    assert got == [2, 4, 6, 8, 10, 12, 14, 1, 3, 5]
+
+
+def test_top_k_plan_has_group_limit(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+    plan = top_k_per_group(df, ["g"], [F.desc("v")], 2)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_collect_sorted_roundtrip(spark):
+    flat = spark.createDataFrame([("x", 1, 0.5), ("x", 2, 0.9), ("x", 3, 0.9), ("y", 4, 0.1)],
+                                 "genre string, mid long, score double")
+    nested = collect_sorted(flat, ["genre"])
+    back = explode_recs(nested, ["genre"])
+    assert rows(back) == [("x", 1, 2, 0.9), ("x", 2, 3, 0.9), ("x", 3, 1, 0.5), ("y", 1, 4, 0.1)]

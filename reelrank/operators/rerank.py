@@ -49,30 +49,101 @@ def latest_events(ratings: DataFrame, tie_breakers: Sequence[str] = (),
     return user_recent_k(ratings, 1, tie_breakers, keep).select("uid", "mid", "score", *keep)
 
 
+def _candidate_order():
+    return [F.desc(F.round("sim", RANK_PLACES)), F.asc("sim_mid")]
+
+
+def _lists(sim_matrix: DataFrame, item_group: DataFrame | None) -> DataFrame:
+    """(src, sim_mid, sim): the similar items of each source key.
+
+    Without ``item_group`` the matrix is item-level and src is an item id.
+    With it, the matrix holds group pairs (same column names, group ids)
+    and ``item_group`` (mid, grp) maps items to groups: every item of a
+    similar group is a similar item (the item itself is removed later).
+    """
+    if item_group is None:
+        return sim_matrix.select(F.col("mid").alias("src"), "sim_mid", "sim")
+    members = item_group.select(F.col("grp").alias("gb"), F.col("mid").alias("sim_mid"))
+    return (sim_matrix.select(F.col("mid").alias("src"), F.col("sim_mid").alias("gb"), "sim")
+            .join(members, "gb").select("src", "sim_mid", "sim"))
+
+
+def capped_matrix(sim_matrix: DataFrame, cap: int = 2 * MAX_SIM_MOVIES_NUM,
+                  item_group: DataFrame | None = None) -> DataFrame:
+    """Each source key's ``cap`` most similar items plus its full list length.
+
+    (src, sim_mid, sim, n_sims, cap). Static per matrix version: compute it
+    once (and persist or checkpoint it) rather than per micro-batch. With a
+    grouped matrix this is one short list per group, not per item.
+    """
+    lists = _lists(sim_matrix, item_group)
+    top = top_k_per_group(lists, ["src"], _candidate_order(), cap).drop("rk")
+    sizes = lists.groupBy("src").agg(F.count(F.lit(1)).alias("n_sims"))
+    return top.join(sizes, "src").withColumn("cap", F.lit(cap))
+
+
+def _unseen_top(ev: DataFrame, lists: DataFrame, seen: DataFrame | None, num: int,
+                event_key: Sequence[str]) -> DataFrame:
+    cand = ev.join(lists, "src").filter(F.col("sim_mid") != F.col("event_mid"))
+    if seen is not None:
+        rated = seen.select("uid", F.col("mid").alias("sim_mid"))
+        cand = cand.join(rated, ["uid", "sim_mid"], "left_anti")
+    return top_k_per_group(cand, list(event_key), _candidate_order(), num)
+
+
+def _event_sources(events: DataFrame, keys: list[str], item_group: DataFrame | None) -> DataFrame:
+    ev = events.select(*keys, F.col("mid").alias("event_mid"))
+    if item_group is None:
+        return ev.withColumn("src", F.col("event_mid"))
+    groups = item_group.select(F.col("mid").alias("event_mid"), F.col("grp").alias("src"))
+    return ev.join(groups, "event_mid")
+
+
 def sim_candidates(events: DataFrame, sim_matrix: DataFrame, seen: DataFrame | None,
-                   num: int = MAX_SIM_MOVIES_NUM, event_key: Sequence[str] = ("uid",)) -> DataFrame:
+                   num: int = MAX_SIM_MOVIES_NUM, event_key: Sequence[str] = ("uid",),
+                   capped: DataFrame | None = None,
+                   item_group: DataFrame | None = None) -> DataFrame:
     """Per event: the ``num`` most similar items the user has not rated.
 
-    events: event_key columns + uid, mid. sim_matrix: (mid, sim_mid, sim).
+    events: event_key columns + uid, mid. sim_matrix: (mid, sim_mid, sim),
+    item-level, or group-level together with ``item_group`` (mid, grp).
     seen: (uid, mid) pairs already rated, or None to keep rated items.
     Returns event_key + (rk, sim_mid, sim). Items missing from the matrix
     give no candidates.
+
+    With ``capped`` (from :func:`capped_matrix`, same ``item_group``) each
+    event first joins only the top-``cap`` prefix of its list, so the join
+    fan-out per event is bounded. Exactness: if the prefix holds ``num``
+    unseen items they are the answer; if the list is no longer than the
+    prefix, the prefix is the list; only the remaining events (heavy
+    raters) read their full list.
     """
     keys = list(dict.fromkeys([*event_key, "uid"]))
-    ev = events.select(*keys, F.col("mid").alias("event_mid"))
-    sims = sim_matrix.select(F.col("mid").alias("event_mid"), "sim_mid", "sim")
-    cand = ev.join(sims, "event_mid")
-    if seen is not None:
-        rated = seen.select("uid", F.col("mid").alias("sim_mid"))
-        cand = cand.join(rated, ["uid", "sim_mid"], "left_anti")
-    order = [F.desc(F.round("sim", RANK_PLACES)), F.asc("sim_mid")]
-    top = top_k_per_group(cand, list(event_key), order, num)
-    return top.select(*keys, "rk", "sim_mid", "sim")
+    ev = _event_sources(events, keys, item_group)
+    full = _lists(sim_matrix, item_group)
+    cols = [*keys, "rk", "sim_mid", "sim"]
+    if capped is None:
+        return _unseen_top(ev, full, seen, num, event_key).select(*cols)
+    prefix = capped.select("src", "sim_mid", "sim")
+    lengths = capped.select("src", "n_sims", "cap").dropDuplicates(["src"])
+    first = _unseen_top(ev, prefix, seen, num, event_key)
+    found = first.groupBy(*event_key).agg(F.count(F.lit(1)).alias("found"))
+    settled = (F.col("n_sims").isNull() | (F.col("n_sims") <= F.col("cap"))
+               | (F.coalesce(F.col("found"), F.lit(0)) >= num))
+    status = (ev.join(lengths, "src", "left").join(found, list(event_key), "left")
+              .select(*event_key, settled.alias("settled")))
+    done = status.filter("settled").select(*event_key)
+    pending = status.filter(~F.col("settled")).select(*event_key)
+    first_done = first.join(done, list(event_key), "left_semi")
+    rest = ev.join(pending, list(event_key), "left_semi")
+    second = _unseen_top(rest, full, seen, num, event_key)
+    return first_done.select(*cols).unionByName(second.select(*cols))
 
 
 def score_candidates(candidates: DataFrame, recent: DataFrame, sim_matrix: DataFrame,
                      threshold: float = RERANK_SIM_THRESHOLD, up_score: float = RERANK_UP_SCORE,
-                     event_key: Sequence[str] = ("uid",)) -> DataFrame:
+                     event_key: Sequence[str] = ("uid",),
+                     item_group: DataFrame | None = None) -> DataFrame:
     """Priority per (event, candidate): event_key + (mid, score).
 
     Candidates with no recent rating above the similarity threshold get no
@@ -81,10 +152,19 @@ def score_candidates(candidates: DataFrame, recent: DataFrame, sim_matrix: DataF
     keys = list(dict.fromkeys([*event_key, "uid"]))
     c = candidates.select(*keys, F.col("sim_mid").alias("cand"))
     r = recent.select("uid", F.col("mid").alias("rmid"), F.col("score").alias("rscore"))
-    s = (sim_matrix.filter(F.col("sim") > threshold)
-         .select(F.col("mid").alias("cand"), F.col("sim_mid").alias("rmid"), "sim"))
-    pairs = c.join(r, "uid").join(s, ["cand", "rmid"])
-    agg = pairs.groupBy(*keys, "cand").agg(
+    s = sim_matrix.filter(F.col("sim") > threshold)
+    if item_group is None:
+        s = s.select(F.col("mid").alias("cand"), F.col("sim_mid").alias("rmid"), "sim")
+        pairs = c.join(r, "uid").filter(F.col("cand") != F.col("rmid"))
+        scored = pairs.join(s, ["cand", "rmid"])
+    else:
+        # Attach groups before the (event x recent) product, on the smaller sides.
+        s = s.select(F.col("mid").alias("gc"), F.col("sim_mid").alias("gr"), "sim")
+        c = c.join(item_group.select(F.col("mid").alias("cand"), F.col("grp").alias("gc")), "cand")
+        r = r.join(item_group.select(F.col("mid").alias("rmid"), F.col("grp").alias("gr")), "rmid")
+        pairs = c.join(r, "uid").filter(F.col("cand") != F.col("rmid"))
+        scored = pairs.join(s, ["gc", "gr"])
+    agg = scored.groupBy(*keys, "cand").agg(
         F.avg(F.col("sim") * F.col("rscore")).alias("base"),
         F.count_if(F.col("rscore") > up_score).alias("ups"),
         F.count_if(F.col("rscore") <= up_score).alias("downs"))
@@ -97,13 +177,22 @@ def stream_recommendations(events: DataFrame, ratings: DataFrame, sim_matrix: Da
                            num_candidates: int = MAX_SIM_MOVIES_NUM,
                            recent_k: int | None = MAX_USER_RATINGS_NUM,
                            exclude_seen: bool = True, tie_breakers: Sequence[str] = (),
-                           event_key: Sequence[str] = ("uid",)) -> DataFrame:
-    """Full re-rank for a batch of events: event_key + (mid, score)."""
+                           event_key: Sequence[str] = ("uid",),
+                           capped: DataFrame | None = None,
+                           item_group: DataFrame | None = None) -> DataFrame:
+    """Full re-rank for a batch of events: event_key + (mid, score).
+
+    ``capped`` (see :func:`capped_matrix`) bounds the candidate join; the
+    result is the same with or without it. ``item_group`` marks a grouped
+    matrix (see :func:`sim_candidates`).
+    """
     # Only users that appear in the batch matter: semi-join first so the
     # window and anti-join touch just their ratings.
     users = events.select("uid").distinct()
     hist = ratings.join(users, "uid", "left_semi")
     recent = user_recent_k(hist, recent_k, tie_breakers)
     seen = hist.select("uid", "mid") if exclude_seen else None
-    cands = sim_candidates(events, sim_matrix, seen, num_candidates, event_key)
-    return score_candidates(cands, recent, sim_matrix, event_key=event_key)
+    cands = sim_candidates(events, sim_matrix, seen, num_candidates, event_key, capped,
+                           item_group)
+    return score_candidates(cands, recent, sim_matrix, event_key=event_key,
+                            item_group=item_group)

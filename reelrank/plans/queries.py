@@ -190,6 +190,9 @@ def q_tfidf_hashed_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Time ties in the rating binding are broken by order key and line number.
 RATING_TIES = ("ok", "ln")
+# Candidate lists are first read through a per-profile prefix of this length
+# (exact: events that need more read their full list).
+CANDIDATE_CAP = 40
 
 _RERANK_CTES = (
     ", ranked_r as (select uid, mid, score, row_number() over (partition by uid"
@@ -222,9 +225,12 @@ def q_user_recent_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     + f" select uid, rk, sim_mid, round(sim, {ROUND}) as sim from c20"))
 def q_sim_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = tables.ratings(spark, sf_dir)
-    sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir))
+    # Factorised matrix: item -> token profile, plus profile pairs.
+    item_group, group_sims = tfidf.tfidf_similarity_groups(tables.movies(spark, sf_dir))
     events = rerank.latest_events(ratings, RATING_TIES)
-    cands = rerank.sim_candidates(events, sims, ratings.select("uid", "mid"), 20)
+    capped = rerank.capped_matrix(group_sims, CANDIDATE_CAP, item_group)
+    cands = rerank.sim_candidates(events, group_sims, ratings.select("uid", "mid"), 20,
+                                  capped=capped, item_group=item_group)
     return cands.select("uid", "rk", "sim_mid", _r("sim"))
 
 
@@ -234,10 +240,12 @@ def q_sim_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
       f" {ROUND}) as score from sc"))
 def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = tables.ratings(spark, sf_dir)
-    sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir))
+    item_group, group_sims = tfidf.tfidf_similarity_groups(tables.movies(spark, sf_dir))
     events = rerank.latest_events(ratings, RATING_TIES)
-    recs = rerank.stream_recommendations(events, ratings, sims, 20, 20,
-                                         tie_breakers=RATING_TIES)
+    capped = rerank.capped_matrix(group_sims, CANDIDATE_CAP, item_group)
+    recs = rerank.stream_recommendations(events, ratings, group_sims, 20, 20,
+                                         tie_breakers=RATING_TIES, capped=capped,
+                                         item_group=item_group)
     return recs.select("uid", "mid", _r("score"))
 
 
@@ -376,10 +384,11 @@ def q_stream_recs_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = rerank.latest_events(ratings.withColumn("timestamp", epoch_seconds("ts")),
                                   RATING_TIES, keep=["timestamp"])
     src = _write_messages(spark, events, "events")
-    sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir))
+    item_group, group_sims = tfidf.tfidf_similarity_groups(tables.movies(spark, sf_dir))
     out, ckpt = scratch_path(spark, "stream-recs-out"), scratch_path(spark, "stream-recs-ckpt")
-    query = stream_job.start(stream_source.text_stream(spark, src), ratings, sims, out, ckpt,
-                             trigger={"availableNow": True}, tie_breakers=RATING_TIES)
+    query = stream_job.start(stream_source.text_stream(spark, src), ratings, group_sims, out,
+                             ckpt, trigger={"availableNow": True}, tie_breakers=RATING_TIES,
+                             item_group=item_group)
     query.awaitTermination()
     flat = explode_recs(spark.read.parquet(out), ["uid"])
     return flat.select("uid", "mid", _r("score"))

@@ -25,12 +25,14 @@ EVENT_KEY = ("event_id",)
 def recommend_batch(batch: DataFrame, history: DataFrame, sim_matrix: DataFrame,
                     num_candidates: int = MAX_SIM_MOVIES_NUM,
                     recent_k: int | None = MAX_USER_RATINGS_NUM,
-                    tie_breakers=()) -> DataFrame:
+                    tie_breakers=(), capped: DataFrame | None = None,
+                    item_group: DataFrame | None = None) -> DataFrame:
     """Events (uid, mid, score, timestamp) -> (event_id, uid, mid, event_ts, recs)."""
     events = batch.withColumn("event_id", F.monotonically_increasing_id())
     scored = rerank.stream_recommendations(
         events.select("event_id", "uid", "mid"), history, sim_matrix, num_candidates,
-        recent_k, tie_breakers=tie_breakers, event_key=EVENT_KEY)
+        recent_k, tie_breakers=tie_breakers, event_key=EVENT_KEY, capped=capped,
+        item_group=item_group)
     lists = collect_sorted(scored, ["event_id"])
     # Events without any scored candidate still get a row with an empty list.
     out = events.join(lists, "event_id", "left").select(
@@ -41,14 +43,29 @@ def recommend_batch(batch: DataFrame, history: DataFrame, sim_matrix: DataFrame,
 
 def start(stream: DataFrame, history: DataFrame, sim_matrix: DataFrame, output_path: str,
           checkpoint_path: str, rejects_path: str | None = None,
-          trigger: dict | None = None, **kwargs):
-    """Start the query; ``trigger`` defaults to the 2-second micro-batch interval."""
+          trigger: dict | None = None, candidate_cap: int | None = 2 * MAX_SIM_MOVIES_NUM,
+          item_group: DataFrame | None = None, **kwargs):
+    """Start the query; ``trigger`` defaults to the 2-second micro-batch interval.
+
+    The similarity matrix is static for the life of the query, so its
+    per-item top-``candidate_cap`` prefix is computed once here and
+    checkpointed; each micro-batch then joins that bounded prefix (exactly,
+    see ``rerank.sim_candidates``). ``candidate_cap=None`` joins full lists.
+    ``item_group`` (mid, grp) marks a group-level matrix (e.g. TF-IDF
+    profiles); the item map is checkpointed alongside.
+    """
     parsed = parse_messages(stream)
+    capped = None
+    if item_group is not None:
+        item_group = item_group.checkpoint(eager=True)
+    if candidate_cap:
+        capped = rerank.capped_matrix(sim_matrix, candidate_cap, item_group).checkpoint(eager=True)
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
-            recs = recommend_batch(good_messages(batch_df), history, sim_matrix, **kwargs)
+            recs = recommend_batch(good_messages(batch_df), history, sim_matrix,
+                                   capped=capped, item_group=item_group, **kwargs)
             recs.write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")
             if rejects_path:
                 (rejected_messages(batch_df).write.mode("overwrite")

@@ -4,6 +4,7 @@ import math
 import pytest
 
 from reelrank.operators import rerank
+from tests.conftest import rows
 
 
 def _brute(events, ratings, sims, num=20, recent_k=20):
@@ -94,3 +95,55 @@ def test_user_recent_k_limit(spark):
     assert len(out) == 20
     assert sorted(r.rk for r in out) == list(range(1, 21))
     assert len(rerank.user_recent_k(ratings, None).collect()) == 30
+
+
+@pytest.mark.parametrize("cap", [1, 2, 3, 50])
+def test_capped_candidates_equal_full(spark, cap):
+    import random
+    rnd = random.Random(11)
+    items = list(range(1, 40))
+    sims = {}
+    for a in items:
+        for b in items:
+            if a < b and rnd.random() < 0.4:
+                sims[(a, b)] = sims[(b, a)] = round(rnd.uniform(0.6, 1.0), 2)
+    data = [(u, m, float(rnd.randint(1, 5)), _day(rnd.randint(1, 28)))
+            for u in range(1, 30) for m in rnd.sample(items, rnd.randint(1, 25))]
+    ratings = spark.createDataFrame(data, "uid long, mid long, score double, ts timestamp_ntz")
+    matrix = spark.createDataFrame([(a, b, s) for (a, b), s in sims.items()],
+                                   "mid long, sim_mid long, sim double")
+    events = rerank.latest_events(ratings)
+    seen = ratings.select("uid", "mid")
+    capped = rerank.capped_matrix(matrix, cap)
+    full = rows(rerank.sim_candidates(events, matrix, seen, 5), "uid", "rk", "sim_mid")
+    got = rows(rerank.sim_candidates(events, matrix, seen, 5, capped=capped), "uid", "rk", "sim_mid")
+    assert got == full and len(full) > 0
+
+
+@pytest.mark.parametrize("cap", [None, 2, 30])
+def test_grouped_matrix_equals_item_matrix(spark, cap):
+    import random
+
+    from reelrank.operators import tfidf
+    rnd = random.Random(3)
+    words = ["a", "b", "c", "d", "e", "f"]
+    docs = [(i, "|".join(rnd.sample(words, rnd.randint(1, 3)))) for i in range(1, 60)]
+    movies = spark.createDataFrame(docs, "mid long, genres string")
+    data = [(u, m, float(rnd.randint(1, 5)), _day(rnd.randint(1, 28)))
+            for u in range(1, 25) for m in rnd.sample(range(1, 60), rnd.randint(1, 30))]
+    ratings = spark.createDataFrame(data, "uid long, mid long, score double, ts timestamp_ntz")
+    item_group, group_sims = tfidf.tfidf_similarity_groups(movies)
+    matrix = tfidf.tfidf_item_similarity(movies)
+    events = rerank.latest_events(ratings)
+    capped = None if cap is None else rerank.capped_matrix(group_sims, cap, item_group)
+    want_c = rows(rerank.sim_candidates(events, matrix, ratings.select("uid", "mid")),
+                  "uid", "rk", "sim_mid")
+    got_c = rows(rerank.sim_candidates(events, group_sims, ratings.select("uid", "mid"),
+                                       capped=capped, item_group=item_group), "uid", "rk", "sim_mid")
+    assert got_c == want_c and len(want_c) > 0
+    want = {(r.uid, r.mid): r.score for r in
+            rerank.stream_recommendations(events, ratings, matrix).collect()}
+    got = {(r.uid, r.mid): r.score for r in rerank.stream_recommendations(
+        events, ratings, group_sims, capped=capped, item_group=item_group).collect()}
+    assert set(got) == set(want) and len(want) > 0
+    assert all(got[k] == pytest.approx(v) for k, v in want.items())

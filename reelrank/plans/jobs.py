@@ -101,8 +101,21 @@ def als_trainer_job(spark: SparkSession, cfg: dict) -> DataFrame:
 
 
 def content_job(spark: SparkSession, cfg: dict) -> None:
+    """TF-IDF similarity. ``factorised`` also writes the compact form
+    (item -> profile, profile pairs) that the streaming job can use."""
     movies = read(spark, cfg, "movie").select("mid", "genres")
-    sims = tfidf.tfidf_item_similarity(movies, hashed=cfg.get("hashed", True))
+    hashed = cfg.get("hashed", True)
+    if cfg.get("factorised"):
+        item_group, group_sims = tfidf.tfidf_similarity_groups(movies, hashed=hashed)
+        write(item_group, cfg, "content_item_groups")
+        write(group_sims, cfg, "content_group_recs")
+        item_group = read(spark, cfg, "content_item_groups")
+        group_sims = read(spark, cfg, "content_group_recs")
+        sims = tfidf.expand_to_items(
+            item_group.select(F.col("mid").alias("item"), F.col("grp").alias("profile")),
+            group_sims.select(F.col("mid").alias("pa"), F.col("sim_mid").alias("pb"), "sim"))
+    else:
+        sims = tfidf.tfidf_item_similarity(movies, hashed=hashed)
     write(sims, cfg, "content_movie_recs")
 
 
@@ -115,8 +128,11 @@ def streaming_job(spark: SparkSession, cfg: dict):
         stream = stream_source.text_stream(spark, s["path"])
     history = _with_ts(read(spark, cfg, "rating"))
     matrix = read(spark, cfg, s.get("matrix", "movie_recs"))
+    # A group-level matrix (e.g. content_group_recs) comes with its item map.
+    item_group = read(spark, cfg, s["item_group"]) if s.get("item_group") else None
     query = stream_job.start(stream, history, matrix, s["output"], s["checkpoint"],
-                             rejects_path=s.get("rejects"))
+                             rejects_path=s.get("rejects"), item_group=item_group,
+                             candidate_cap=s.get("candidate_cap", 40))
     return query
 
 

@@ -21,7 +21,8 @@ def test_load_statistics_content_offline_jobs(spark):
     _write(f"{base}/in/tags.txt", ["1,1,fun,1", "2,1,fun,2", "3,3,dark,3"])
     tables = {n: {"format": "parquet", "path": f"{base}/t/{n}"} for n in (
         "movie", "rating", "tag", "rate_more_movies", "rate_more_recently_movies",
-        "average_movies", "genres_top_movies", "content_movie_recs", "user_recs", "movie_recs")}
+        "average_movies", "genres_top_movies", "content_movie_recs", "user_recs", "movie_recs",
+        "content_item_groups", "content_group_recs")}
     cfg = {"input": {k: f"{base}/in/{k}.txt" for k in ("movies", "ratings", "tags")},
            "tables": tables, "rejects": f"{base}/rej",
            "index": {"format": "json", "path": f"{base}/index"}}
@@ -37,5 +38,9 @@ def test_load_statistics_content_offline_jobs(spark):
     jobs.content_job(spark, cfg)
     sims = {(r.mid, r.sim_mid) for r in spark.read.parquet(tables["content_movie_recs"]["path"]).collect()}
     assert (1, 4) in sims and (4, 1) in sims
+    jobs.content_job(spark, dict(cfg, factorised=True))
+    again = {(r.mid, r.sim_mid) for r in spark.read.parquet(tables["content_movie_recs"]["path"]).collect()}
+    assert again == sims
+    assert spark.read.parquet(tables["content_item_groups"]["path"]).count() == 4
     jobs.offline_job(spark, cfg)
     assert spark.read.parquet(tables["user_recs"]["path"]).count() == 6

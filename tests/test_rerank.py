@@ -56,7 +56,11 @@ RATINGS = [
     (8, 2, 2.0, 1), (8, 100, 1.0, 2),
     # user 9: item not in the matrix
     (9, 999, 4.0, 1),
-]
+] + [
+    # user 10: 22 ratings; item 5 (similar to candidates) is the oldest and
+    # falls outside the newest 20, item 3 is inside
+    (10, 5, 5.0, 1), (10, 3, 4.0, 27), (10, 100, 2.0, 28)
+] + [(10, 200 + m, 4.5, 2 + m) for m in range(19)]
 
 
 def test_stream_recommendations_match_brute_force(spark):

@@ -127,12 +127,22 @@ def streaming_job(spark: SparkSession, cfg: dict):
     else:
         stream = stream_source.text_stream(spark, s["path"])
     history = _with_ts(read(spark, cfg, "rating"))
-    matrix = read(spark, cfg, s.get("matrix", "movie_recs"))
-    # A group-level matrix (e.g. content_group_recs) comes with its item map.
-    item_group = read(spark, cfg, s["item_group"]) if s.get("item_group") else None
+
+    def load_matrix():
+        matrix = read(spark, cfg, s.get("matrix", "movie_recs"))
+        # A group-level matrix (e.g. content_group_recs) comes with its item map.
+        groups = read(spark, cfg, s["item_group"]) if s.get("item_group") else None
+        version = stream_job.table_version(matrix)
+        if groups is not None:
+            version += stream_job.table_version(groups)
+        return version, matrix, groups
+
+    version, matrix, item_group = load_matrix()
+    # File-based matrices are re-read when the offline job writes a new version.
+    reload = load_matrix if cfg["tables"][s.get("matrix", "movie_recs")].get("format") != "jdbc" else None
     query = stream_job.start(stream, history, matrix, s["output"], s["checkpoint"],
                              rejects_path=s.get("rejects"), item_group=item_group,
-                             candidate_cap=s.get("candidate_cap", 40))
+                             candidate_cap=s.get("candidate_cap", 40), reload=reload)
     return query
 
 

@@ -11,6 +11,9 @@ storage.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,28 +47,41 @@ def recommend_batch(batch: DataFrame, history: DataFrame, sim_matrix: DataFrame,
 def start(stream: DataFrame, history: DataFrame, sim_matrix: DataFrame, output_path: str,
           checkpoint_path: str, rejects_path: str | None = None,
           trigger: dict | None = None, candidate_cap: int | None = 2 * MAX_SIM_MOVIES_NUM,
-          item_group: DataFrame | None = None, **kwargs):
+          item_group: DataFrame | None = None,
+          reload: Callable[[], tuple[str, DataFrame, DataFrame | None]] | None = None,
+          **kwargs):
     """Start the query; ``trigger`` defaults to the 2-second micro-batch interval.
 
-    The similarity matrix is static for the life of the query, so its
-    per-item top-``candidate_cap`` prefix is computed once here and
+    The similarity matrix is static between versions, so its per-item
+    top-``candidate_cap`` prefix is computed once per version and
     checkpointed; each micro-batch then joins that bounded prefix (exactly,
     see ``rerank.sim_candidates``). ``candidate_cap=None`` joins full lists.
     ``item_group`` (mid, grp) marks a group-level matrix (e.g. TF-IDF
-    profiles); the item map is checkpointed alongside.
+    profiles). ``reload`` returns ``(version, matrix, item_group)``; it is
+    called before every micro-batch and a new version replaces the matrix.
     """
     parsed = parse_messages(stream)
-    capped = None
-    if item_group is not None:
-        item_group = item_group.checkpoint(eager=True)
-    if candidate_cap:
-        capped = rerank.capped_matrix(sim_matrix, candidate_cap, item_group).checkpoint(eager=True)
+    state: dict = {"version": None}
+
+    def install(version, matrix, groups) -> None:
+        if groups is not None:
+            groups = groups.checkpoint(eager=True)
+        capped = None
+        if candidate_cap:
+            capped = rerank.capped_matrix(matrix, candidate_cap, groups).checkpoint(eager=True)
+        state.update(version=version, matrix=matrix, groups=groups, capped=capped)
+
+    install(None, sim_matrix, item_group)
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
+        if reload is not None:
+            version, matrix, groups = reload()
+            if version != state["version"]:
+                install(version, matrix, groups)
         batch_df.persist()
         try:
-            recs = recommend_batch(good_messages(batch_df), history, sim_matrix,
-                                   capped=capped, item_group=item_group, **kwargs)
+            recs = recommend_batch(good_messages(batch_df), history, state["matrix"],
+                                   capped=state["capped"], item_group=state["groups"], **kwargs)
             recs.write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")
             if rejects_path:
                 (rejected_messages(batch_df).write.mode("overwrite")
@@ -79,6 +95,16 @@ def start(stream: DataFrame, history: DataFrame, sim_matrix: DataFrame, output_p
     return writer.start()
 
 
+def table_version(df: DataFrame) -> str:
+    """Version token of a file-based table: a digest of its file list.
+
+    Overwrites create new file names, so a rewritten table gets a new token.
+    Only file names are listed (driver-side metadata), no data is read.
+    """
+    names = "\n".join(sorted(df.inputFiles()))
+    return hashlib.sha256(names.encode("utf-8")).hexdigest()
+
+
 def latest_per_user(output: DataFrame) -> DataFrame:
     """Most recent list per user over all batches (a view over the append log)."""
     from pyspark.sql import Window

@@ -86,3 +86,36 @@ def test_streaming_job_matches_batch_and_replay_is_idempotent(spark, small_ratin
     assert spark.read.parquet(os.path.join(base, "rej")).count() == 1
     latest = job.latest_per_user(res).collect()
     assert sorted(r.uid for r in latest) == [3, 5]
+
+
+def test_streaming_job_reloads_a_new_matrix_version(spark):
+    base = tempfile.mkdtemp(prefix="reelrank-reload-")
+    src = os.path.join(base, "in")
+    os.makedirs(src)
+    for i in range(2):          # the same event twice, one file per micro-batch
+        with open(os.path.join(src, f"m{i}.txt"), "w") as fh:
+            fh.write("30|4|4.0|100\n")
+    history = spark.createDataFrame(
+        [(30, 4, 4.0, dt.datetime(2020, 1, 1)), (30, 6, 5.0, dt.datetime(2020, 1, 2))],
+        "uid long, mid long, score double, ts timestamp_ntz")
+
+    def sym(pairs):
+        return spark.createDataFrame([p for a, b, v in pairs for p in ((a, b, v), (b, a, v))],
+                                     "mid long, sim_mid long, sim double")
+    v1 = sym([(4, 1, 0.9), (1, 6, 0.8)])
+    v2 = sym([(4, 2, 0.9), (2, 6, 0.8)])
+    calls = []
+
+    def reload():
+        calls.append(1)
+        return ("v1", v1, None) if len(calls) == 1 else ("v2", v2, None)
+
+    out = os.path.join(base, "out")
+    q = job.start(source.text_stream(spark, src, max_files_per_trigger=1), history, v1, out,
+                  os.path.join(base, "ckpt"), trigger={"availableNow": True}, reload=reload)
+    q.awaitTermination()
+    from pyspark.sql import functions as F
+    res = spark.read.parquet(out).select("batch_id", F.explode("recs").alias("r"))
+    got = sorted((r.batch_id, r.r.mid) for r in res.collect())
+    assert len(calls) == 2
+    assert got == [(0, 1), (1, 2)]

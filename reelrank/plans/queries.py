@@ -19,7 +19,7 @@ from reelrank.operators.topk import explode_recs
 from reelrank.plans.sql import values_list, with_bindings
 from reelrank.session import scratch_path
 from reelrank.functions.dates import epoch_seconds
-from reelrank.sources import tables, text
+from reelrank.sources import sinks, tables, text
 from reelrank.streaming import job as stream_job
 from reelrank.streaming import source as stream_source
 
@@ -88,9 +88,11 @@ def q_movie_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_movies_with_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     movies = tables.movies_full(spark, sf_dir)
     per_movie = stats.movie_tags(tables.tags(spark, sf_dir))
-    out = stats.movies_with_tags(movies, per_movie)
-    # The search-index sink keys documents by mid: one row per movie.
-    return out
+    docs = stats.movies_with_tags(movies, per_movie)
+    # Through the document sink (one document per mid, checked) and back.
+    path = scratch_path(spark, "movie-documents")
+    sinks.write_documents(docs, path, fmt="parquet", id_col="mid")
+    return spark.read.parquet(path)
 
 
 @register("movies_with_score", with_bindings(

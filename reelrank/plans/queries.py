@@ -54,6 +54,11 @@ def _r(col: str, places: int = ROUND):
     return F.round(F.col(col), places).alias(col)
 
 
+def _rk(col: str = "rk"):
+    """Ranks as bigint, the type SQL engines give row_number()."""
+    return F.col(col).cast("long").alias(col)
+
+
 # ---- statistics -----------------------------------------------------------
 
 @register("rate_more_movies", with_bindings(
@@ -128,7 +133,7 @@ def q_genres_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     avg = stats.average_movies(tables.ratings(spark, sf_dir))
     scored = stats.movies_with_score(tables.movies(spark, sf_dir), avg)
     top = genres_op.genres_top(scored, genres_op.genre_frame(spark, BINDING_GENRES), k=10)
-    return top.select("genre", "rk", "mid", _r("score"))
+    return top.select("genre", _rk(), "mid", _r("score"))
 
 
 # ---- content similarity (TF-IDF) -----------------------------------------
@@ -219,7 +224,8 @@ _RERANK_CTES = (
     " partition by uid order by ts desc, ok desc, ln desc, score desc, mid) as rk from R)"
     " where rk <= 20"))
 def q_user_recent_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rerank.user_recent_k(tables.ratings(spark, sf_dir), 20, RATING_TIES)
+    recent = rerank.user_recent_k(tables.ratings(spark, sf_dir), 20, RATING_TIES)
+    return recent.select("uid", _rk(), "mid", "score")
 
 
 @register("sim_candidates", with_bindings(
@@ -233,7 +239,7 @@ def q_sim_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     capped = rerank.capped_matrix(group_sims, CANDIDATE_CAP, item_group)
     cands = rerank.sim_candidates(events, group_sims, ratings.select("uid", "mid"), 20,
                                   capped=capped, item_group=item_group)
-    return cands.select("uid", "rk", "sim_mid", _r("sim"))
+    return cands.select("uid", _rk(), "sim_mid", _r("sim"))
 
 
 @register("stream_recs", with_bindings(
@@ -292,7 +298,7 @@ def q_recs_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_text = lists.select("genre", recs_codec.recs_to_text("recs", "genre").alias("recs"))
     parsed = as_text.select("genre", recs_codec.parse_recs_text("recs").alias("recs"))
     flat = explode_recs(parsed, ["genre"])
-    return flat.select("genre", "rk", "mid", _r("score"))
+    return flat.select("genre", _rk(), "mid", _r("score"))
 
 
 # ---- dense-vector cosine ----------------------------------------------------
@@ -308,7 +314,7 @@ def q_cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten most similar embeddings per embedding (exact, blocked)."""
     pairs = similarity.cosine_pairs(tables.embeddings(spark, sf_dir), "vec_id", "embedding",
                                     threshold=None, top_k=10)
-    return pairs.select(F.col("id").alias("vec_id"), "rk", "sim_id", _r("sim"))
+    return pairs.select(F.col("id").alias("vec_id"), _rk(), "sim_id", _r("sim"))
 
 
 # ---- collaborative filtering (ALS) ----------------------------------------
@@ -341,7 +347,7 @@ def q_rmse_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("als_user_recs")
 def q_als_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = als.fit_als(tables.ratings(spark, sf_dir), seed=ALS_SEED)
-    return als.user_recommendations(model, 20).select("uid", "rk", "mid", _r("score"))
+    return als.user_recommendations(model, 20).select("uid", _rk(), "mid", _r("score"))
 
 
 @register("als_item_sim")

@@ -38,10 +38,18 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(entry.queries())
 
 
+_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, name):
-    got = _bag(entry.queries()[name](spark, SF_DIR).toPandas())
-    want = _bag(duck.execute(ORACLES[name]).df())
+    sdf = entry.queries()[name](spark, SF_DIR)
+    rel = duck.sql(ORACLES[name])
+    spark_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    duck_types = {c: _DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
+    got = _bag(sdf.toPandas())
+    want = _bag(rel.df())
     assert got[0] == want[0]
     assert got[1] == want[1]
 

@@ -64,8 +64,8 @@ def start(stream: DataFrame, history: DataFrame, sim_matrix: DataFrame, output_p
     state: dict = {"version": None}
 
     def install(version, matrix, groups) -> None:
-        if groups is not None:
-            groups = groups.checkpoint(eager=True)
+        # Only the capped prefix is materialised: it is the one table every
+        # micro-batch joins; the item map is a plain read or projection.
         capped = None
         if candidate_cap:
             capped = rerank.capped_matrix(matrix, candidate_cap, groups).checkpoint(eager=True)

@@ -183,14 +183,14 @@ def _tfidf_oracle(hashed: bool) -> str:
 
 @register("tfidf_item_sim", _tfidf_oracle(hashed=False))
 def q_tfidf_item_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir))
-    return sims.select("mid", "sim_mid", _r("sim"))
+    # Rounded once per profile pair, before expanding to item pairs.
+    return tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir), round_places=ROUND)
 
 
 @register("tfidf_hashed_sim", _tfidf_oracle(hashed=True))
 def q_tfidf_hashed_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir), hashed=True)
-    return sims.select("mid", "sim_mid", _r("sim"))
+    return tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir), hashed=True,
+                                       round_places=ROUND)
 
 
 # ---- re-ranking -----------------------------------------------------------

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelrank.config import (MAX_SIM_MOVIES_NUM, MAX_USER_RATINGS_NUM, RERANK_SIM_THRESHOLD,
@@ -126,17 +126,17 @@ def sim_candidates(events: DataFrame, sim_matrix: DataFrame, seen: DataFrame | N
         return _unseen_top(ev, full, seen, num, event_key).select(*cols)
     prefix = capped.select("src", "sim_mid", "sim")
     lengths = capped.select("src", "n_sims", "cap").dropDuplicates(["src"])
-    first = _unseen_top(ev, prefix, seen, num, event_key)
-    found = first.groupBy(*event_key).agg(F.count(F.lit(1)).alias("found"))
+    # Events carry their list length; the per-event count of unseen prefix
+    # items is a window on the top-k's own partitioning (no extra shuffle).
+    x = ev.join(lengths, "src", "left")
+    first = _unseen_top(x, prefix, seen, num, event_key)
+    first = first.withColumn("found", F.max("rk").over(Window.partitionBy(*event_key)))
     settled = (F.col("n_sims").isNull() | (F.col("n_sims") <= F.col("cap"))
-               | (F.coalesce(F.col("found"), F.lit(0)) >= num))
-    status = (ev.join(lengths, "src", "left").join(found, list(event_key), "left")
-              .select(*event_key, settled.alias("settled")))
-    done = status.filter("settled").select(*event_key)
-    pending = status.filter(~F.col("settled")).select(*event_key)
-    first_done = first.join(done, list(event_key), "left_semi")
-    rest = ev.join(pending, list(event_key), "left_semi")
-    second = _unseen_top(rest, full, seen, num, event_key)
+               | (F.col("found") >= num))
+    first_done = first.filter(settled)
+    enough = first.filter(F.col("found") >= num).select(*event_key).distinct()
+    pending = x.filter(F.col("n_sims") > F.col("cap")).join(enough, list(event_key), "left_anti")
+    second = _unseen_top(pending, full, seen, num, event_key)
     return first_done.select(*cols).unionByName(second.select(*cols))
 
 

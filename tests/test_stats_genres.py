@@ -90,3 +90,16 @@ def test_collect_sorted_roundtrip(spark):
     nested = collect_sorted(flat, ["genre"])
     back = explode_recs(nested, ["genre"])
     assert rows(back) == [("x", 1, 2, 0.9), ("x", 2, 3, 0.9), ("x", 3, 1, 0.5), ("y", 1, 4, 0.1)]
+
+
+@pytest.mark.parametrize("match", ["substring", "token"])
+def test_genre_match_without_broadcast_equals_broadcast(spark, match):
+    data = [(1, "Musical|Comedy", 4.0), (2, "Sci-Fi|Action", 3.0), (3, None, 5.0),
+            (4, "Music", 2.0), (5, "ACTION|drama|Comedy", 1.5), (6, "", 3.3),
+            (7, "Documentary|War", 4.4), (8, "Warfare", 2.2), (9, "Drama|Drama", 3.9)]
+    scored = spark.createDataFrame(data, "mid long, genres string, score double")
+    g = genres.genre_frame(spark, ["Music", "Sci", "action", "Comedy", "War", "Drama",
+                                   "fare", "Documentary", "Nothing"])
+    a = rows(genres.genres_top(scored, g, k=3, match=match))
+    b = rows(genres.genres_top(scored, g, k=3, match=match, max_broadcast=2))
+    assert a == b and len(a) > 0

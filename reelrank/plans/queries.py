@@ -161,10 +161,9 @@ def _tfidf_ctes(hashed: bool) -> str:
     return (
         f", terms as ({terms}),"
         " tf as (select mid, term, count(*) as tf from terms group by mid, term),"
-        " nd as (select count(*) as m from M where genres is not null),"
         " dfq as (select term, count(*) as df from tf group by term),"
-        " w as (select tf.mid, tf.term, tf.tf * ln((nd.m + 1.0) / (dfq.df + 1.0)) as w"
-        "       from tf join dfq using (term) cross join nd),"
+        " w as (select tf.mid, tf.term, tf.tf * ln(((select count(*) from M where genres is not null)"
+        "       + 1.0) / (dfq.df + 1.0)) as w from tf join dfq using (term)),"
         " nrm as (select mid, sqrt(sum(w * w)) as n from w group by mid),"
         " dot as (select a.mid, b.mid as sim_mid, sum(a.w * b.w) as d from w a join w b"
         "         on a.term = b.term and a.mid <> b.mid group by a.mid, b.mid),"

@@ -6,7 +6,6 @@ import pytest
 
 from reelrank.operators import als, rerank
 from reelrank.streaming import job, source
-from tests.conftest import rows
 
 
 @pytest.fixture(scope="module")

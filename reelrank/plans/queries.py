@@ -322,14 +322,16 @@ ALS_SEED = 42
 
 
 def _train_test(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Deterministic 80/20 split on the rating key (every row lands in one side)."""
-    is_test = F.pmod(F.col("ok") * 7 + F.col("ln"), F.lit(5)) == 0
-    return ratings.filter(~is_test), ratings.filter(is_test)
+    """Temporal hold-out: the latest 20% of the time span is the test side."""
+    return als.temporal_split(ratings, 0.8)
+
+
+_CUTOFF = ("(select min(epoch(ts)) + 0.8 * (max(epoch(ts)) - min(epoch(ts))) from R)")
 
 
 @register("rmse_join", with_bindings(
-    ", tr as (select * from R where (ok * 7 + ln) % 5 <> 0),"
-    " te as (select * from R where (ok * 7 + ln) % 5 = 0),"
+    f", tr as (select * from R where epoch(ts) < {_CUTOFF}),"
+    f" te as (select * from R where epoch(ts) >= {_CUTOFF}),"
     " im as (select mid, avg(score) as m from tr group by mid),"
     " pr as (select te.uid, te.mid, im.m as prediction from te join im using (mid))"
     f" select round(sqrt(avg((o.score - p.prediction) * (o.score - p.prediction))), {ROUND})"

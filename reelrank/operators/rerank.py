@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from reelrank.config import (MAX_SIM_MOVIES_NUM, MAX_USER_RATINGS_NUM, RERANK_SIM_THRESHOLD,
                              RERANK_UP_SCORE)
+from reelrank.functions.keys import bucket_of
 from reelrank.operators.topk import top_k_per_group
 
 # Similarities are compared after rounding to this many places when ranking
@@ -179,16 +180,26 @@ def stream_recommendations(events: DataFrame, ratings: DataFrame, sim_matrix: Da
                            exclude_seen: bool = True, tie_breakers: Sequence[str] = (),
                            event_key: Sequence[str] = ("uid",),
                            capped: DataFrame | None = None,
-                           item_group: DataFrame | None = None) -> DataFrame:
+                           item_group: DataFrame | None = None,
+                           history_buckets: tuple[str, int] | None = None) -> DataFrame:
     """Full re-rank for a batch of events: event_key + (mid, score).
 
     ``capped`` (see :func:`capped_matrix`) bounds the candidate join; the
     result is the same with or without it. ``item_group`` marks a grouped
     matrix (see :func:`sim_candidates`).
+
+    ``history_buckets=(column, n)`` says the rating history is partitioned
+    by ``column = bucket_of(uid, n)``: the batch's bucket ids (at most n
+    small ints) become a partition filter, so only those partitions of the
+    history are read for the batch.
     """
     # Only users that appear in the batch matter: semi-join first so the
     # window and anti-join touch just their ratings.
     users = events.select("uid").distinct()
+    if history_buckets is not None:
+        column, n = history_buckets
+        ids = [r[0] for r in users.select(bucket_of("uid", n).alias("b")).distinct().collect()]
+        ratings = ratings.filter(F.col(column).isin(ids))
     hist = ratings.join(users, "uid", "left_semi")
     recent = user_recent_k(hist, recent_k, tie_breakers)
     seen = hist.select("uid", "mid") if exclude_seen else None

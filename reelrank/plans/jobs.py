@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.config import GENRES, load_job_config
+from reelrank.functions.keys import bucket_of
 from reelrank.operators import als, genres, stats, tfidf
 from reelrank.operators.topk import collect_sorted
 from reelrank.session import get_session
@@ -34,6 +35,10 @@ def read(spark: SparkSession, cfg: dict, name: str) -> DataFrame:
 
 def write(df: DataFrame, cfg: dict, name: str, mode: str = "overwrite") -> None:
     spec = cfg["tables"][name]
+    if spec.get("uid_buckets"):
+        # Laid out by user bucket so per-batch history reads prune partitions.
+        df = df.withColumn("uid_bucket", bucket_of("uid", int(spec["uid_buckets"])))
+        spec = dict(spec, partition_by=["uid_bucket"])
     if spec.get("format") == "jdbc":
         jdbc.write_table(df, cfg["jdbc"], spec["table"], mode=spec.get("mode", mode))
         return
@@ -140,9 +145,11 @@ def streaming_job(spark: SparkSession, cfg: dict):
     version, matrix, item_group = load_matrix()
     # File-based matrices are re-read when the offline job writes a new version.
     reload = load_matrix if cfg["tables"][s.get("matrix", "movie_recs")].get("format") != "jdbc" else None
+    buckets = cfg["tables"]["rating"].get("uid_buckets")
     query = stream_job.start(stream, history, matrix, s["output"], s["checkpoint"],
                              rejects_path=s.get("rejects"), item_group=item_group,
-                             candidate_cap=s.get("candidate_cap", 40), reload=reload)
+                             candidate_cap=s.get("candidate_cap", 40), reload=reload,
+                             history_buckets=("uid_bucket", int(buckets)) if buckets else None)
     return query
 
 

@@ -29,13 +29,14 @@ def recommend_batch(batch: DataFrame, history: DataFrame, sim_matrix: DataFrame,
                     num_candidates: int = MAX_SIM_MOVIES_NUM,
                     recent_k: int | None = MAX_USER_RATINGS_NUM,
                     tie_breakers=(), capped: DataFrame | None = None,
-                    item_group: DataFrame | None = None) -> DataFrame:
+                    item_group: DataFrame | None = None,
+                    history_buckets: tuple[str, int] | None = None) -> DataFrame:
     """Events (uid, mid, score, timestamp) -> (event_id, uid, mid, event_ts, recs)."""
     events = batch.withColumn("event_id", F.monotonically_increasing_id())
     scored = rerank.stream_recommendations(
         events.select("event_id", "uid", "mid"), history, sim_matrix, num_candidates,
         recent_k, tie_breakers=tie_breakers, event_key=EVENT_KEY, capped=capped,
-        item_group=item_group)
+        item_group=item_group, history_buckets=history_buckets)
     lists = collect_sorted(scored, ["event_id"])
     # Events without any scored candidate still get a row with an empty list.
     out = events.join(lists, "event_id", "left").select(

@@ -151,3 +151,21 @@ def test_grouped_matrix_equals_item_matrix(spark, cap):
         events, ratings, group_sims, capped=capped, item_group=item_group).collect()}
     assert set(got) == set(want) and len(want) > 0
     assert all(got[k] == pytest.approx(v) for k, v in want.items())
+
+
+def test_history_bucket_pruning_same_result(spark, tmp_path):
+    from reelrank.functions.keys import bucket_of
+    ratings = spark.createDataFrame([(u, m, s, _day(d)) for u, m, s, d in RATINGS],
+                                    "uid long, mid long, score double, ts timestamp_ntz")
+    path = str(tmp_path / "hist")
+    ratings.withColumn("uid_bucket", bucket_of("uid", 16)).write.partitionBy("uid_bucket").parquet(path)
+    hist = spark.read.parquet(path)
+    sims = spark.createDataFrame([(a, b, s) for (a, b), s in SIMS.items()],
+                                 "mid long, sim_mid long, sim double")
+    events = spark.createDataFrame([(7, 100), (8, 100)], "uid long, mid long")
+    pruned = rerank.stream_recommendations(events, hist, sims, history_buckets=("uid_bucket", 16))
+    plain = rerank.stream_recommendations(events, ratings, sims)
+    assert rows(pruned, "uid", "mid") == rows(plain, "uid", "mid") and pruned.count() > 0
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    import re
+    assert re.search(r"PartitionFilters: \[uid_bucket#\d+ IN \(", plan)

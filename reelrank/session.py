@@ -23,6 +23,9 @@ _SCALE_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Long-running jobs (streaming with matrix reloads) drop checkpoint files
+    # of RDDs that are no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

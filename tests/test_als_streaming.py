@@ -118,3 +118,21 @@ def test_streaming_job_reloads_a_new_matrix_version(spark):
     got = sorted((r.batch_id, r.r.mid) for r in res.collect())
     assert len(calls) == 2
     assert got == [(0, 1), (1, 2)]
+
+
+@pytest.mark.parametrize("extra", [0, 2, 20])
+def test_user_recs_exclude_rated_matches_brute_force(spark, small_ratings, extra):
+    import numpy as np
+    model = als.fit_als(small_ratings, rank=3, max_iter=4, seed=5)
+    got = {}
+    for r in als.user_recommendations(model, 4, rated=small_ratings.select("uid", "mid"),
+                                      extra=extra).collect():
+        got.setdefault(r.uid, []).append((r.rk, r.mid))
+    users = {r.id: np.array(r.features) for r in model.userFactors.collect()}
+    items = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
+    seen = {(r.uid, r.mid) for r in small_ratings.collect()}
+    for u, uf in users.items():
+        scores = sorted(((-float(np.float32(uf @ f)), m) for m, f in items.items()
+                         if (u, m) not in seen and float(uf @ f) > 0))
+        want = [m for _, m in scores[:4]]
+        assert [m for _, m in sorted(got.get(u, []))] == want

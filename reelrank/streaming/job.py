@@ -30,9 +30,23 @@ def recommend_batch(batch: DataFrame, history: DataFrame, sim_matrix: DataFrame,
                     recent_k: int | None = MAX_USER_RATINGS_NUM,
                     tie_breakers=(), capped: DataFrame | None = None,
                     item_group: DataFrame | None = None,
-                    history_buckets: tuple[str, int] | None = None) -> DataFrame:
-    """Events (uid, mid, score, timestamp) -> (event_id, uid, mid, event_ts, recs)."""
+                    history_buckets: tuple[str, int] | None = None,
+                    union_batch: bool = False) -> DataFrame:
+    """Events (uid, mid, score, timestamp) -> (event_id, uid, mid, event_ts, recs).
+
+    The original job does not store the incoming rating, so by default the
+    history is the rating table alone; ``union_batch`` adds the batch's own
+    ratings to the history first.
+    """
     events = batch.withColumn("event_id", F.monotonically_increasing_id())
+    if union_batch:
+        ts_type = history.schema["ts"].dataType
+        own = events.select("uid", "mid", "score",
+                            F.timestamp_seconds("timestamp").cast(ts_type).alias("ts"))
+        if history_buckets is not None:
+            from reelrank.functions.keys import bucket_of
+            own = own.withColumn(history_buckets[0], bucket_of("uid", history_buckets[1]))
+        history = history.unionByName(own, allowMissingColumns=True)
     scored = rerank.stream_recommendations(
         events.select("event_id", "uid", "mid"), history, sim_matrix, num_candidates,
         recent_k, tie_breakers=tie_breakers, event_key=EVENT_KEY, capped=capped,

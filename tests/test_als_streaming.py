@@ -136,3 +136,18 @@ def test_user_recs_exclude_rated_matches_brute_force(spark, small_ratings, extra
                          if (u, m) not in seen and float(uf @ f) > 0))
         want = [m for _, m in scores[:4]]
         assert [m for _, m in sorted(got.get(u, []))] == want
+
+
+def test_union_batch_adds_the_event_to_history(spark):
+    history = spark.createDataFrame([(30, 6, 5.0, dt.datetime(2020, 1, 2))],
+                                    "uid long, mid long, score double, ts timestamp_ntz")
+    sims = spark.createDataFrame([(4, 1, 0.9), (1, 4, 0.9), (1, 6, 0.8), (6, 1, 0.8)],
+                                 "mid long, sim_mid long, sim double")
+    batch = spark.createDataFrame([(30, 4, 2.0, 1600000000)],
+                                  "uid long, mid long, score double, timestamp long")
+    plain = job.recommend_batch(batch, history, sims).first().recs
+    both = job.recommend_batch(batch, history, sims, union_batch=True).first().recs
+    # candidate 1 scores from recent item 6 only, or from 6 and the event's item 4
+    assert [r.mid for r in plain] == [1] and [r.mid for r in both] == [1]
+    assert plain[0].score == pytest.approx(0.8 * 5.0)
+    assert both[0].score == pytest.approx((0.8 * 5.0 + 0.9 * 2.0) / 2)

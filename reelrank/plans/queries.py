@@ -17,7 +17,7 @@ from reelrank.functions import recs as recs_codec
 from reelrank.operators import als, rerank, similarity, stats, tfidf
 from reelrank.operators.topk import explode_recs
 from reelrank.plans.sql import values_list, with_bindings
-from reelrank.session import scratch_path
+from reelrank.session import materialize_table, scratch_path
 from reelrank.functions.dates import epoch_seconds
 from reelrank.sources import sinks, tables, text
 from reelrank.streaming import job as stream_job
@@ -218,6 +218,13 @@ _RERANK_CTES = (
 )
 
 
+def _rating_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rating binding written once as a table (a deployment reads a stored
+    rating table): re-ranking reads it for events, history and the seen
+    filter, which would otherwise each re-run the lineitem x orders join."""
+    return materialize_table(tables.ratings(spark, sf_dir), "ratings")
+
+
 @register("user_recent_k", with_bindings(
     "select uid, rk, mid, score from (select uid, mid, score, row_number() over ("
     " partition by uid order by ts desc, ok desc, ln desc, score desc, mid) as rk from R)"
@@ -231,7 +238,7 @@ def q_user_recent_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     _tfidf_ctes(False) + _RERANK_CTES
     + f" select uid, rk, sim_mid, round(sim, {ROUND}) as sim from c20"))
 def q_sim_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratings = tables.ratings(spark, sf_dir)
+    ratings = _rating_table(spark, sf_dir)
     # Factorised matrix: item -> token profile, plus profile pairs.
     item_group, group_sims = tfidf.tfidf_similarity_groups(tables.movies(spark, sf_dir))
     events = rerank.latest_events(ratings, RATING_TIES)
@@ -246,7 +253,7 @@ def q_sim_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     + f" select uid, mid, round(base + log10(greatest(ups, 1)) - log10(greatest(downs, 1)),"
       f" {ROUND}) as score from sc"))
 def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratings = tables.ratings(spark, sf_dir)
+    ratings = _rating_table(spark, sf_dir)
     item_group, group_sims = tfidf.tfidf_similarity_groups(tables.movies(spark, sf_dir))
     events = rerank.latest_events(ratings, RATING_TIES)
     capped = rerank.capped_matrix(group_sims, CANDIDATE_CAP, item_group)

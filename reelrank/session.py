@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that hold for every deployment size: AQE re-plans joins and
 # coalesces shuffle partitions at runtime, and splits skewed join keys.
@@ -71,3 +71,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     # The checkpoint dir carries a per-application uuid suffix; write beside it.
     return os.path.join(base.rstrip("/"), "reelrank", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the checkpoint location and read it back.
+
+    For inputs a plan reads several times: every later read is a pruned
+    columnar scan of the written table (no recomputation, short lineage, and
+    the files survive executor loss), unlike an RDD checkpoint whose rows are
+    read whole.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -84,3 +84,29 @@ def test_document_sink_checks_ids(spark):
     dup = df.union(df.filter(F.col("mid") == 1))
     with pytest.raises(sinks.DuplicateIdError):
         sinks.write_documents(dup, os.path.join(out, "dup"), fmt="json")
+
+
+def test_materialize_table_reads_back_pruned(spark):
+    from reelrank.session import ensure_checkpoint_dir, materialize_table
+
+    df = spark.range(100).select(F.col("id").alias("uid"), (F.col("id") % 7).alias("mid"),
+                                 (F.col("id") * 0.5).alias("score"))
+    out = materialize_table(df, "unit-ratings")
+    assert rows(out) == rows(df)
+    # Written under the checkpoint folder, as a plain parquet table.
+    files = out.inputFiles()
+    assert files and all(ensure_checkpoint_dir(spark).rstrip("/").split("/")[-2] in f
+                         for f in files)
+    plan = out.select("mid")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<mid:bigint>" in plan
+    # Each call gets its own folder.
+    again = materialize_table(df, "unit-ratings")
+    assert set(again.inputFiles()).isdisjoint(files)
+
+
+def test_als_blocks_follow_parallelism(spark):
+    from reelrank.operators import als
+
+    assert als.default_blocks(spark) == spark.sparkContext.defaultParallelism
+    est = als.make_als(num_blocks=3)
+    assert est.getNumUserBlocks() == 3 and est.getNumItemBlocks() == 3

@@ -85,3 +85,20 @@ def materialize_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def checkpoint_once(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df`` into the checkpoint folder, computed once.
+
+    An eager ``checkpoint()`` runs the plan for its count and again for the
+    job that writes the checkpoint files; persisting first (memory and disk)
+    lets the write read the cached blocks. The cache is dropped afterwards;
+    the result reads the checkpoint files and has a cut lineage.
+    """
+    from pyspark import StorageLevel
+
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from reelrank.config import MAX_SIM_MOVIES_NUM, MAX_USER_RATINGS_NUM, STREAM_BATCH_INTERVAL
 from reelrank.operators import rerank
 from reelrank.operators.topk import collect_sorted
+from reelrank.session import checkpoint_once
 from reelrank.streaming.source import good_messages, parse_messages, rejected_messages
 
 EVENT_KEY = ("event_id",)
@@ -83,7 +84,7 @@ def start(stream: DataFrame, history: DataFrame, sim_matrix: DataFrame, output_p
         # micro-batch joins; the item map is a plain read or projection.
         capped = None
         if candidate_cap:
-            capped = rerank.capped_matrix(matrix, candidate_cap, groups).checkpoint(eager=True)
+            capped = checkpoint_once(rerank.capped_matrix(matrix, candidate_cap, groups))
         state.update(version=version, matrix=matrix, groups=groups, capped=capped)
 
     install(None, sim_matrix, item_group)

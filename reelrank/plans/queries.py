@@ -17,7 +17,7 @@ from reelrank.functions import recs as recs_codec
 from reelrank.operators import als, rerank, similarity, stats, tfidf
 from reelrank.operators.topk import explode_recs
 from reelrank.plans.sql import values_list, with_bindings
-from reelrank.session import materialize_table, scratch_path
+from reelrank.session import checkpoint_once, materialize_table, scratch_path
 from reelrank.functions.dates import epoch_seconds
 from reelrank.sources import sinks, tables, text
 from reelrank.streaming import job as stream_job
@@ -241,8 +241,8 @@ def q_sim_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = _rating_table(spark, sf_dir)
     # Factorised matrix: item -> token profile, plus profile pairs.
     item_group, group_sims = tfidf.tfidf_similarity_groups(tables.movies(spark, sf_dir))
-    events = rerank.latest_events(ratings, RATING_TIES)
-    capped = rerank.capped_matrix(group_sims, CANDIDATE_CAP, item_group)
+    events = checkpoint_once(rerank.latest_events(ratings, RATING_TIES))
+    capped = checkpoint_once(rerank.capped_matrix(group_sims, CANDIDATE_CAP, item_group))
     cands = rerank.sim_candidates(events, group_sims, ratings.select("uid", "mid"), 20,
                                   capped=capped, item_group=item_group)
     return cands.select("uid", _rk(), "sim_mid", _r("sim"))
@@ -255,8 +255,8 @@ def q_sim_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = _rating_table(spark, sf_dir)
     item_group, group_sims = tfidf.tfidf_similarity_groups(tables.movies(spark, sf_dir))
-    events = rerank.latest_events(ratings, RATING_TIES)
-    capped = rerank.capped_matrix(group_sims, CANDIDATE_CAP, item_group)
+    events = checkpoint_once(rerank.latest_events(ratings, RATING_TIES))
+    capped = checkpoint_once(rerank.capped_matrix(group_sims, CANDIDATE_CAP, item_group))
     recs = rerank.stream_recommendations(events, ratings, group_sims, 20, 20,
                                          tie_breakers=RATING_TIES, capped=capped,
                                          item_group=item_group)

@@ -174,6 +174,23 @@ def score_candidates(candidates: DataFrame, recent: DataFrame, sim_matrix: DataF
     return agg.select(*keys, F.col("cand").alias("mid"), priority.alias("score"))
 
 
+def batch_history(events: DataFrame, ratings: DataFrame,
+                  history_buckets: tuple[str, int] | None = None) -> DataFrame:
+    """The ratings of the users that appear in ``events`` (a semi-join).
+
+    ``history_buckets=(column, n)`` says the rating history is partitioned
+    by ``column = bucket_of(uid, n)``: the batch's bucket ids (at most n
+    small ints) become a partition filter, so only those partitions of the
+    history are read for the batch.
+    """
+    users = events.select("uid").distinct()
+    if history_buckets is not None:
+        column, n = history_buckets
+        ids = [r[0] for r in users.select(bucket_of("uid", n).alias("b")).distinct().collect()]
+        ratings = ratings.filter(F.col(column).isin(ids))
+    return ratings.join(users, "uid", "left_semi")
+
+
 def stream_recommendations(events: DataFrame, ratings: DataFrame, sim_matrix: DataFrame,
                            num_candidates: int = MAX_SIM_MOVIES_NUM,
                            recent_k: int | None = MAX_USER_RATINGS_NUM,
@@ -181,26 +198,19 @@ def stream_recommendations(events: DataFrame, ratings: DataFrame, sim_matrix: Da
                            event_key: Sequence[str] = ("uid",),
                            capped: DataFrame | None = None,
                            item_group: DataFrame | None = None,
-                           history_buckets: tuple[str, int] | None = None) -> DataFrame:
+                           history_buckets: tuple[str, int] | None = None,
+                           history_sliced: bool = False) -> DataFrame:
     """Full re-rank for a batch of events: event_key + (mid, score).
 
     ``capped`` (see :func:`capped_matrix`) bounds the candidate join; the
     result is the same with or without it. ``item_group`` marks a grouped
-    matrix (see :func:`sim_candidates`).
-
-    ``history_buckets=(column, n)`` says the rating history is partitioned
-    by ``column = bucket_of(uid, n)``: the batch's bucket ids (at most n
-    small ints) become a partition filter, so only those partitions of the
-    history are read for the batch.
+    matrix (see :func:`sim_candidates`). ``history_buckets``: see
+    :func:`batch_history`. ``history_sliced`` says ``ratings`` is already
+    :func:`batch_history` of these events (e.g. persisted per micro-batch).
     """
     # Only users that appear in the batch matter: semi-join first so the
     # window and anti-join touch just their ratings.
-    users = events.select("uid").distinct()
-    if history_buckets is not None:
-        column, n = history_buckets
-        ids = [r[0] for r in users.select(bucket_of("uid", n).alias("b")).distinct().collect()]
-        ratings = ratings.filter(F.col(column).isin(ids))
-    hist = ratings.join(users, "uid", "left_semi")
+    hist = ratings if history_sliced else batch_history(events, ratings, history_buckets)
     recent = user_recent_k(hist, recent_k, tie_breakers)
     seen = hist.select("uid", "mid") if exclude_seen else None
     cands = sim_candidates(events, sim_matrix, seen, num_candidates, event_key, capped,

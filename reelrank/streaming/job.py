@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,12 +33,13 @@ def recommend_batch(batch: DataFrame, history: DataFrame, sim_matrix: DataFrame,
                     tie_breakers=(), capped: DataFrame | None = None,
                     item_group: DataFrame | None = None,
                     history_buckets: tuple[str, int] | None = None,
-                    union_batch: bool = False) -> DataFrame:
+                    union_batch: bool = False, history_sliced: bool = False) -> DataFrame:
     """Events (uid, mid, score, timestamp) -> (event_id, uid, mid, event_ts, recs).
 
     The original job does not store the incoming rating, so by default the
     history is the rating table alone; ``union_batch`` adds the batch's own
-    ratings to the history first.
+    ratings to the history first. ``history_sliced``: ``history`` already
+    holds only the batch users' ratings (``rerank.batch_history``).
     """
     events = batch.withColumn("event_id", F.monotonically_increasing_id())
     if union_batch:
@@ -51,7 +53,7 @@ def recommend_batch(batch: DataFrame, history: DataFrame, sim_matrix: DataFrame,
     scored = rerank.stream_recommendations(
         events.select("event_id", "uid", "mid"), history, sim_matrix, num_candidates,
         recent_k, tie_breakers=tie_breakers, event_key=EVENT_KEY, capped=capped,
-        item_group=item_group, history_buckets=history_buckets)
+        item_group=item_group, history_buckets=history_buckets, history_sliced=history_sliced)
     lists = collect_sorted(scored, ["event_id"])
     # Events without any scored candidate still get a row with an empty list.
     out = events.join(lists, "event_id", "left").select(
@@ -95,14 +97,20 @@ def start(stream: DataFrame, history: DataFrame, sim_matrix: DataFrame, output_p
             if version != state["version"]:
                 install(version, matrix, groups)
         batch_df.persist()
+        good = good_messages(batch_df)
+        # The batch users' ratings are read for recent ratings and twice for
+        # the seen filter: slice the history once and keep it for the batch.
+        hist = rerank.batch_history(good, history, kwargs.get("history_buckets"))
+        hist.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            recs = recommend_batch(good_messages(batch_df), history, state["matrix"],
-                                   capped=state["capped"], item_group=state["groups"], **kwargs)
+            recs = recommend_batch(good, hist, state["matrix"], capped=state["capped"],
+                                   item_group=state["groups"], history_sliced=True, **kwargs)
             recs.write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")
             if rejects_path:
                 (rejected_messages(batch_df).write.mode("overwrite")
                  .parquet(f"{rejects_path}/batch_id={batch_id}"))
         finally:
+            hist.unpersist()
             batch_df.unpersist()
 
     writer = (parsed.writeStream.foreachBatch(handle)

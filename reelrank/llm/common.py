@@ -7,10 +7,13 @@ so extra or clashing columns of the input never reach the plan's internals.
 from __future__ import annotations
 
 import sys
+import types
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reelrank.session import scratch_path
 from reelrank.sources.tables import read_table
@@ -88,3 +91,40 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str
     picked = F.coalesce(F.col("__hot"), F.col("__cold"))
     return out.select(*[c for c in rows.columns if c not in ("__hot", "__s")],
                       *[picked.getField(c).alias(c) for c in payload])
+
+
+def worker_cache(name: str, make):
+    """An object that a Python worker keeps from task to task (made once per process).
+
+    Only for things a task could make again: automata, tokenizers, bounded
+    caches. Functions shipped by value get fresh globals, hence the module.
+    """
+    module = sys.modules.setdefault("_reelrank_worker", types.ModuleType("_reelrank_worker"))
+    store = module.__dict__.setdefault("store", {})
+    if name not in store:
+        store.clear()  # one operator at a time: what another one kept goes
+        store[name] = make()
+    return store[name]
+
+
+def map_texts(docs: DataFrame, id_col: str, text_col: str, kernel, fields: str) -> DataFrame:
+    """Row-parallel text kernel: ``id`` and the columns of ``fields`` per row of ``docs``.
+
+    ``kernel`` takes the texts of an Arrow batch (null as '') and returns one
+    list or Arrow array per field. Order and number of rows stay.
+    """
+    base = docs.select(F.col(id_col).alias("id"), F.coalesce(
+        F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    schema = StructType([base.schema["id"], *StructType.fromDDL(fields)])
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+        arrow = to_arrow_schema(schema)
+        for batch in batches:
+            columns = kernel(batch.column("text").to_pylist())
+            arrays = [batch.column("id")] + [
+                c if isinstance(c, pa.Array) else pa.array(c, f.type)
+                for c, f in zip(columns, list(arrow)[1:])]
+            yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
+    return base.mapInArrow(run, schema)

@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import exact, lines, mixing, warc
+from reelrank.llm import exact, license, lines, mixing, secrets, spm, tokenbin, warc
 from reelrank.llm.common import documents
 from reelrank.session import scratch_path
 from reelrank.sources.tables import read_table
 
+# Folder of the public tokenizer files; none of them is part of this repository.
+TOKENIZERS = os.environ.get("RECS_TOKENIZERS", "/opt/tokenizers")
+WORD_VOCABULARY, WORD_END = 49408, 2
+
+
+def tokenizer_file(name: str) -> str:
+    return os.path.join(TOKENIZERS, name)
+
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record per page, written and read back.
@@ -78,6 +88,18 @@ select doc_id, source, round(rate, 9) as rate, n_copies,
 """
 
 
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed token ids, written and read back."""
+    path = scratch_path(spark, "op3-ids")
+    tokenbin.write_packed(documents(spark, sf_dir), path, WORD_VOCABULARY,
+                          tokenizer_file("word_bpe_49k.json"), WORD_END)
+    return tokenbin.read_packed(spark, path, ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan_licenses(documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(documents(spark, sf_dir))
 
@@ -92,6 +114,19 @@ from t
 """
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of the secrets of all documents."""
+    out = secrets.scan_secrets(documents(spark, sf_dir))
+
+    def count(kind: str):
+        at = secrets.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["kind"] == at)).cast("long").alias(f"n_{kind}")
+
+    return out.select("doc_id", count("assign"), count("access"), count("hex"),
+                      F.sha2(secrets.span_text("base"), 256).alias("base_sha256"),
+                      secrets.span_text("spans").alias("spans"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without repeated three-line windows, as counts and digests."""
     out = lines.dedup_lines(documents(spark, sf_dir), details=True)
@@ -123,11 +158,22 @@ from documents d left join r on r.doc_id = d.doc_id
 """
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to piece ids and decoded again."""
+    out = spm.round_trips(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+    return out.select(F.col("id").alias("doc_id"), "n_pieces", "n_bytes", "ids_crc32",
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mix": op2_mix,
+    "op3_token_ids": op3_token_ids,
+    "op4_licenses": op4_licenses,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_secrets": op8_secrets,
     "op9_line_dedup": op9_line_dedup,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 ORACLES = {
     "op1_warc": OP1_SQL,

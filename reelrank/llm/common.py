@@ -20,6 +20,9 @@ from reelrank.sources.tables import read_table
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+_KEEP = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
+_FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEEP else 0x20 for c in range(256))
+
 # Groups that are broadcast at most by ``join_groups``.
 HOT_GROUPS = 1000
 
@@ -45,6 +48,11 @@ def lower_ascii(col: Column) -> Column:
     return F.when(ascii_only, F.lower(col)).otherwise(F.translate(col, _UPPER, _UPPER.lower()))
 
 
+def words_of(text: str) -> list[bytes]:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text lower-cased in A-Z, in UTF-8."""
+    return text.encode("utf-8", "surrogatepass").translate(_FOLD).split()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under the shared checkpoint folder and read back.
 
@@ -56,7 +64,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str,
-                spread: str, hot: int = HOT_GROUPS) -> DataFrame:
+                spread: str, hot: int = HOT_GROUPS, few: bool = False) -> DataFrame:
     """``rows`` left join ``groups`` on ``keys`` (null-safe), whatever one key holds.
 
     ``groups`` has one row per key and its number of rows in ``weight``; pass
@@ -64,6 +72,8 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str
     are broadcast, a count bound by construction; every other key holds at
     most one in ``hot`` of the rows and is joined by shuffle. Rows that the
     broadcast has served are dealt by ``spread`` (any well-mixed column).
+    ``few``: as a rule there are no more than ``hot`` groups (sources, say);
+    they are counted, and if so the rows don't move at all.
     """
     payload = [c for c in groups.columns if c not in keys]
     top = groups.orderBy(F.desc(weight)).limit(hot)

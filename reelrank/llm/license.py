@@ -19,7 +19,7 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import map_texts, ship
+from reelrank.llm.common import map_texts, ship, words_of
 
 ship(__name__)
 
@@ -59,14 +59,6 @@ UNKNOWN = 0.6
 SOFTENED = 0.5
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
-_KEEP = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
-_FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEEP else 0x20 for c in range(256))
-
-
-def words_of(text: str) -> list[bytes]:
-    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text lower-cased in A-Z."""
-    return text.encode("utf-8", "surrogatepass").translate(_FOLD).split()
-
 
 def strictness(licence: str) -> float:
     """Of an identifier: its longest known stem, e.g. gpl for gpl-3.0-only."""

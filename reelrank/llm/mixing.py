@@ -83,7 +83,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                             F.col("rate").alias("__rate"), F.col("cdf").alias("__cdf")), "rates")
     drawn = docs.withColumn("__src", F.col(source_col)).withColumn(
         "__u", uniform(seed, F.col(id_col), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    drawn = join_groups(drawn, rates, ["__src"], "__n", "__u")
+    drawn = join_groups(drawn, rates, ["__src"], "__n", "__u", few=True)
     below = F.filter("__cdf", lambda p: p <= F.col("__u"))
     drawn = drawn.withColumn("__copies", F.size(below)).where("__copies > 0")
     drawn = drawn.drop("__cdf", "__src", "__n")

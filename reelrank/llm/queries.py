@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import exact, license, lines, mixing, secrets, spm, tokenbin, warc
+from reelrank.llm import exact, license, lines, mixing, near, quality, secrets, spm, tokenbin, warc
 from reelrank.llm.common import documents
 from reelrank.session import scratch_path
 from reelrank.sources.tables import read_table
@@ -100,6 +100,14 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan_licenses(documents(spark, sf_dir))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the class of near-duplicates they belong to."""
+    out = near.near_classes(documents(spark, sf_dir))
+    return out.select(F.col("row.id").alias("doc_id"), F.col("class_row.id").alias("class_id"),
+                      "class_size", "links",
+                      F.expr("row <=> class_row").alias("kept"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(documents(spark, sf_dir))
 
@@ -114,6 +122,13 @@ from t
 """
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of all documents."""
+    out = quality.quality_verdicts(documents(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols",
+                      "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and spans of the secrets of all documents."""
     out = secrets.scan_secrets(documents(spark, sf_dir))
@@ -170,7 +185,9 @@ QUERIES = {
     "op2_mix": op2_mix,
     "op3_token_ids": op3_token_ids,
     "op4_licenses": op4_licenses,
+    "op5_near_dedup": op5_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_quality": op7_quality,
     "op8_secrets": op8_secrets,
     "op9_line_dedup": op9_line_dedup,
     "op10_sentencepiece": op10_sentencepiece,

@@ -254,11 +254,12 @@ def decode_pieces(encoded: DataFrame, model_path: str, id_col: str = "id",
 
 
 def round_trips(docs: DataFrame, model_path: str, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """(id, n_pieces, n_bytes, ids_crc32, decoded): encode and decode in one pass.
+                text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """(id, n_pieces, n_bytes, ids_crc32, decoded[, ids]): encode and decode in one pass.
 
     ``decoded`` is the text that the ids give back; it differs from the text
-    only where that has U+2581, which decodes as a space.
+    only where that has U+2581, which decodes as a space. ``ids`` are uint32
+    little-endian.
     """
     with open(model_path, "rb") as f:
         model = f.read()
@@ -266,7 +267,7 @@ def round_trips(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     def kernel(texts: list[str]) -> list:
         machine = _machine(model)
         fallback = machine.byte_ids
-        pieces, byte_pieces, checks, decoded = [], [], [], []
+        pieces, byte_pieces, checks, decoded, kept = [], [], [], [], []
         for text in texts:
             ids = machine.encode(text)
             view = memoryview(ids).cast("I")
@@ -274,7 +275,10 @@ def round_trips(docs: DataFrame, model_path: str, id_col: str = "doc_id",
             byte_pieces.append(sum(map(fallback.__contains__, view)))
             checks.append(zlib.crc32(ids))
             decoded.append(machine.decode(view))
-        return [pieces, byte_pieces, checks, decoded]
+            if with_ids:
+                kept.append(ids)
+        return [pieces, byte_pieces, checks, decoded, *([kept] if with_ids else [])]
 
     return map_texts(docs, id_col, text_col, kernel,
-                     "n_pieces long, n_bytes long, ids_crc32 long, decoded string")
+                     "n_pieces long, n_bytes long, ids_crc32 long, decoded string"
+                     + (", ids binary" if with_ids else ""))

@@ -13,20 +13,19 @@ def _col(c) -> Column:
 def epoch_seconds(ts) -> Column:
     """Seconds since 1970-01-01 for TIMESTAMP or TIMESTAMP_NTZ columns.
 
-    NTZ values are read as UTC wall-clock time, independent of the session
-    zone; zoned timestamps are absolute instants anyway.
+    NTZ values are read as UTC wall-clock time; TIMESTAMP values are instants.
+    Neither depends on the session's zone. ``typeof`` is a constant of the
+    plan, so only the branch of the column's type remains.
     """
-    ntz = _col(ts).cast("timestamp_ntz")
+    c = _col(ts)
+    ntz = c.cast("timestamp_ntz")
     days = F.datediff(ntz.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-    secs = (F.hour(ntz) * 3600 + F.minute(ntz) * 60 + F.second(ntz)).cast("bigint")
-    return days * 86400 + secs
-
-
-def from_epoch_seconds(c) -> Column:
-    """Epoch seconds to TIMESTAMP (rendered in the session time zone)."""
-    return F.timestamp_seconds(_col(c))
+    wall = days * 86400 + (F.hour(ntz) * 3600 + F.minute(ntz) * 60 + F.second(ntz)).cast("bigint")
+    instant = F.unix_seconds(c.cast("timestamp"))
+    return F.when(F.typeof(c) == "timestamp", instant).otherwise(wall)
 
 
 def year_month(ts) -> Column:
     """yyyyMM as an int, e.g. 199801 (replaces the reference's date UDF)."""
-    return F.date_format(_col(ts), "yyyyMM").cast("int")
+    c = _col(ts)
+    return F.year(c) * 100 + F.month(c)

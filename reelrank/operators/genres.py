@@ -20,7 +20,7 @@ from reelrank.config import GENRE_TOP_K, GENRES
 from reelrank.operators.topk import collect_sorted, top_k_per_group
 
 # Largest genre list joined by broadcast; longer lists use the equi-join.
-MAX_BROADCAST_GENRES = 10_000
+MAX_BROADCAST_GENRES = 500
 
 
 def genre_frame(spark: SparkSession, genres: Sequence[str] = GENRES) -> DataFrame:
@@ -55,7 +55,7 @@ def _match_by_substrings(movies_scored: DataFrame, genres: DataFrame, match: str
         keys = movies_scored.withColumn("key", F.explode(F.array_distinct(F.split(text, r"\|"))))
     elif match == "substring":
         # The distinct lengths of the genre names: a handful of small ints.
-        lengths = [r[0] for r in g.select(F.length("key")).distinct().collect() if r[0]]
+        lengths = [r[0] for r in g.select(F.length("key")).distinct().collect()]
         def windows(n: int):
             # Every substring of length n (start positions 1 .. len - n + 1).
             starts = F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(0)))
@@ -63,7 +63,6 @@ def _match_by_substrings(movies_scored: DataFrame, genres: DataFrame, match: str
         subs = [windows(n) for n in sorted(lengths)]
         keys = movies_scored.withColumn(
             "key", F.explode(F.array_distinct(F.flatten(F.array(*subs)) if subs else F.array())))
-        keys = keys.filter(F.length("key") > 0)
     else:
         raise ValueError(f"unknown match mode {match!r}")
     return keys.join(g, "key").drop("key")
@@ -74,9 +73,12 @@ def genres_top(movies_scored: DataFrame, genres: DataFrame, k: int = GENRE_TOP_K
     """Flat top-k per genre: (genre, rk, mid, score), score desc then mid asc.
 
     ``movies_scored`` has (mid, genres, score). Genres without a match give
-    no rows. The genre list is broadcast only when its size is checked to be
-    at most ``max_broadcast`` rows; otherwise the equi-join form is used.
+    no rows; null or empty genres are no genres and match nothing. The genre
+    list is broadcast only when its size is checked to be at most
+    ``max_broadcast`` rows; otherwise the equi-join form is used. Both forms
+    give the same pairs: the size only picks the plan.
     """
+    genres = genres.filter(F.length("genre") > 0)
     n_genres = genres.limit(max_broadcast + 1).count()
     if n_genres <= max_broadcast:
         pairs = _match_by_broadcast(movies_scored, genres, match)

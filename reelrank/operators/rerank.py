@@ -79,7 +79,13 @@ def capped_matrix(sim_matrix: DataFrame, cap: int = 2 * MAX_SIM_MOVIES_NUM,
     """
     lists = _lists(sim_matrix, item_group)
     top = top_k_per_group(lists, ["src"], _candidate_order(), cap).drop("rk")
-    sizes = lists.groupBy("src").agg(F.count(F.lit(1)).alias("n_sims"))
+    if item_group is None:
+        sizes = lists.groupBy("src").agg(F.count(F.lit(1)).alias("n_sims"))
+    else:
+        # A list's length is the sum of its partner groups' sizes: no second expansion.
+        members = item_group.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+        sizes = (sim_matrix.select(F.col("mid").alias("src"), F.col("sim_mid").alias("grp"))
+                 .join(members, "grp").groupBy("src").agg(F.sum("n").alias("n_sims")))
     return top.join(sizes, "src").withColumn("cap", F.lit(cap))
 
 

@@ -34,14 +34,19 @@ def average_movies(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("mid").agg(F.avg("score").alias("score"))
 
 
+def distinct_movie_tags(tags: DataFrame) -> DataFrame:
+    """(mid, tag) once each: the long form, with no row that grows with a movie's tags."""
+    return tags.select("mid", "tag").distinct()
+
+
 def movie_tags(tags: DataFrame, sep: str = LIST_SEP) -> DataFrame:
     """Distinct tags per movie joined by ``sep`` (sorted, so the text is stable).
 
-    ``collect_set`` deduplicates map-side, so the shuffle carries at most the
-    distinct tags of each movie per task.
+    Nests :func:`distinct_movie_tags` for the document sink; a movie's text is
+    one value by definition.
     """
-    return tags.groupBy("mid").agg(
-        F.array_join(F.array_sort(F.collect_set("tag")), sep).alias("tags"))
+    return distinct_movie_tags(tags).groupBy("mid").agg(
+        F.array_join(F.array_sort(F.collect_list("tag")), sep).alias("tags"))
 
 
 def movies_with_tags(movies: DataFrame, tags_per_movie: DataFrame) -> DataFrame:
@@ -54,11 +59,9 @@ def movies_with_score(movies: DataFrame, averages: DataFrame) -> DataFrame:
     return movies.join(averages, on="mid", how="inner")
 
 
-def distinct_entities(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct user ids and distinct item ids."""
-    return ratings.select("uid").distinct(), ratings.select("mid").distinct()
-
-
-def check_unique_key(df: DataFrame, key: str) -> DataFrame:
-    """Rows whose ``key`` repeats (empty when the key is unique): document ids."""
-    return df.groupBy(key).count().filter(F.col("count") > 1)
+def distinct_entities(ratings: DataFrame) -> DataFrame:
+    """(kind, id): the distinct users and items, in one pass over the ratings."""
+    tagged = ratings.select(F.explode(F.array(
+        F.struct(F.lit("user").alias("kind"), F.col("uid").alias("id")),
+        F.struct(F.lit("item").alias("kind"), F.col("mid").alias("id")))).alias("e"))
+    return tagged.select("e.kind", "e.id").distinct()

@@ -11,11 +11,13 @@ Jobs communicate only through these tables, as in the original system.
 from __future__ import annotations
 
 import argparse
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.config import GENRES, load_job_config
+from reelrank.config import ALS_NUM_BLOCKS, GENRES, load_job_config
 from reelrank.functions.keys import bucket_of
 from reelrank.operators import als, genres, stats, tfidf
 from reelrank.operators.topk import collect_sorted
@@ -25,8 +27,26 @@ from reelrank.streaming import job as stream_job
 from reelrank.streaming import source as stream_source
 
 
+def current_version(spark: SparkSession, cfg: dict, name: str) -> str | None:
+    """The newest committed version of a table written with ``"versioned": true``.
+
+    Reads the commit rows only (one per version), never a table's file list.
+    None for tables without versions: they are taken as they are at the start.
+    """
+    spec = cfg["tables"][name]
+    if not spec.get("versioned"):
+        return None
+    if spec.get("format") == "jdbc":
+        commits = jdbc.read_table(spark, cfg["jdbc"], f"{spec['table']}_commits")
+        return commits.agg(F.max("version")).first()[0]
+    return spark.read.text(f"{spec['path']}/commits").agg(F.max("value")).first()[0]
+
+
 def read(spark: SparkSession, cfg: dict, name: str) -> DataFrame:
     spec = cfg["tables"][name]
+    if spec.get("versioned") and spec.get("format") != "jdbc":
+        path = f"{spec['path']}/data/{current_version(spark, cfg, name)}"
+        return spark.read.format(spec.get("format", "parquet")).load(path)
     if spec.get("format") == "jdbc":
         return jdbc.read_table(spark, cfg["jdbc"], spec["table"], spec.get("partition_column"),
                                spec.get("lower"), spec.get("upper"), spec.get("num_partitions"))
@@ -34,17 +54,27 @@ def read(spark: SparkSession, cfg: dict, name: str) -> DataFrame:
 
 
 def write(df: DataFrame, cfg: dict, name: str, mode: str = "overwrite") -> None:
+    """Write a table. ``"versioned": true`` writes every overwrite as a version
+    of its own and then commits it, so running readers keep their files."""
     spec = cfg["tables"][name]
+    version = f"{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex[:8]}"
+    commit = df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1)
     if spec.get("uid_buckets"):
         # Laid out by user bucket so per-batch history reads prune partitions.
         df = df.withColumn("uid_bucket", bucket_of("uid", int(spec["uid_buckets"])))
         spec = dict(spec, partition_by=["uid_bucket"])
     if spec.get("format") == "jdbc":
         jdbc.write_table(df, cfg["jdbc"], spec["table"], mode=spec.get("mode", mode))
+        if spec.get("versioned"):
+            jdbc.write_table(commit, cfg["jdbc"], f"{spec['table']}_commits", mode="append")
         return
     writer = df.write.format(spec.get("format", "parquet")).mode(spec.get("mode", mode))
     if spec.get("partition_by"):
         writer = writer.partitionBy(*spec["partition_by"])
+    if spec.get("versioned"):
+        writer.save(f"{spec['path']}/data/{version}")
+        commit.write.mode("append").text(f"{spec['path']}/commits")
+        return
     writer.save(spec["path"])
 
 
@@ -76,7 +106,8 @@ def load_job(spark: SparkSession, cfg: dict) -> None:
 def statistics_job(spark: SparkSession, cfg: dict) -> None:
     ratings = _with_ts(read(spark, cfg, "rating"))
     write(stats.rate_more_movies(ratings), cfg, "rate_more_movies")
-    write(stats.rate_more_recently(ratings), cfg, "rate_more_recently_movies")
+    # the order is that of the report, not of the stored table
+    write(stats.rate_more_recently(ratings, sort=False), cfg, "rate_more_recently_movies")
     averages = stats.average_movies(ratings)
     write(averages, cfg, "average_movies")
     scored = stats.movies_with_score(read(spark, cfg, "movie"), averages)
@@ -85,14 +116,24 @@ def statistics_job(spark: SparkSession, cfg: dict) -> None:
           cfg, "genres_top_movies")
 
 
+def write_similarities(sims: DataFrame, cfg: dict, name: str) -> None:
+    """Long form, or with ``"lists"`` one sorted list per item (nested, or as text)."""
+    form = cfg.get("lists")
+    if form:
+        sims = sinks.similarity_lists(sims)
+        sims = sinks.with_text_recs(sims) if form == "text" else sims
+    write(sims, cfg, name)
+
+
 def offline_job(spark: SparkSession, cfg: dict) -> None:
     ratings = read(spark, cfg, "rating").select("uid", "mid", "score").persist()
     try:
-        model = als.fit_als(ratings, seed=cfg.get("seed", 42))
+        model = als.fit_als(ratings, seed=cfg.get("seed", 42),
+                            num_blocks=cfg.get("als_blocks", ALS_NUM_BLOCKS))
         rated = ratings.select("uid", "mid") if cfg.get("exclude_rated") else None
         user_recs = collect_sorted(als.user_recommendations(model, rated=rated), ["uid"])
         write(user_recs, cfg, "user_recs")
-        write(als.item_similarity(model), cfg, "movie_recs")
+        write_similarities(als.item_similarity(model), cfg, "movie_recs")
     finally:
         ratings.unpersist()
 
@@ -100,21 +141,28 @@ def offline_job(spark: SparkSession, cfg: dict) -> None:
 def als_trainer_job(spark: SparkSession, cfg: dict) -> DataFrame:
     ratings = read(spark, cfg, "rating").select("uid", "mid", "score")
     train, test = als.random_split(ratings, seed=cfg.get("seed", 42))
-    grid = als.als_grid(train, test, seed=cfg.get("seed", 42))
+    settings = {k: cfg[k] for k in ("ranks", "reg_params", "max_iter") if k in cfg}
+    grid = als.als_grid(train, test, seed=cfg.get("seed", 42),
+                        num_blocks=cfg.get("als_blocks", ALS_NUM_BLOCKS), **settings)
     best = als.best_params(grid)
     best.show(truncate=False)
+    if "als_best_params" in cfg["tables"]:
+        write(best, cfg, "als_best_params")
     return grid
 
 
 def content_job(spark: SparkSession, cfg: dict) -> None:
-    """TF-IDF similarity. ``factorised`` also writes the compact form
-    (item -> profile, profile pairs) that the streaming job can use."""
+    """TF-IDF similarity. ``factorised`` writes the compact form (item ->
+    profile, profile pairs), which the streaming job can use; the item-level
+    table, its expansion, is then written only with ``expand``."""
     movies = read(spark, cfg, "movie").select("mid", "genres")
     hashed = cfg.get("hashed", True)
     if cfg.get("factorised"):
         item_group, group_sims = tfidf.tfidf_similarity_groups(movies, hashed=hashed)
         write(item_group, cfg, "content_item_groups")
         write(group_sims, cfg, "content_group_recs")
+        if not cfg.get("expand"):
+            return
         item_group = read(spark, cfg, "content_item_groups")
         group_sims = read(spark, cfg, "content_group_recs")
         sims = tfidf.expand_to_items(
@@ -122,34 +170,45 @@ def content_job(spark: SparkSession, cfg: dict) -> None:
             group_sims.select(F.col("mid").alias("pa"), F.col("sim_mid").alias("pb"), "sim"))
     else:
         sims = tfidf.tfidf_item_similarity(movies, hashed=hashed)
-    write(sims, cfg, "content_movie_recs")
+    write_similarities(sims, cfg, "content_movie_recs")
 
 
 def streaming_job(spark: SparkSession, cfg: dict):
     s = cfg["stream"]
     if s.get("format", "kafka") == "kafka":
         stream = stream_source.kafka_stream(spark, s["bootstrap_servers"], s["topic"],
-                                            s.get("starting_offsets", "latest"), s.get("options"))
+                                            s.get("starting_offsets", "latest"), s.get("options"),
+                                            s.get("max_offsets_per_trigger",
+                                                  stream_source.MAX_OFFSETS_PER_TRIGGER))
     else:
-        stream = stream_source.text_stream(spark, s["path"])
-    history = _with_ts(read(spark, cfg, "rating"))
+        stream = stream_source.text_stream(spark, s["path"], s.get(
+            "max_files_per_trigger", stream_source.MAX_FILES_PER_TRIGGER))
+    names = [s.get("matrix", "movie_recs"), *([s["item_group"]] if s.get("item_group") else [])]
+
+    def version():
+        found = [current_version(spark, cfg, n) for n in names]
+        return None if None in found else "/".join(found)
 
     def load_matrix():
-        matrix = read(spark, cfg, s.get("matrix", "movie_recs"))
+        matrix = read(spark, cfg, names[0])
+        if "recs" in matrix.columns:  # stored lists, as text or nested
+            matrix = sinks.matrix_from_lists(matrix)
         # A group-level matrix (e.g. content_group_recs) comes with its item map.
-        groups = read(spark, cfg, s["item_group"]) if s.get("item_group") else None
-        version = stream_job.table_version(matrix)
-        if groups is not None:
-            version += stream_job.table_version(groups)
-        return version, matrix, groups
-
-    version, matrix, item_group = load_matrix()
-    # File-based matrices are re-read when the offline job writes a new version.
-    reload = load_matrix if cfg["tables"][s.get("matrix", "movie_recs")].get("format") != "jdbc" else None
+        return matrix, read(spark, cfg, names[1]) if len(names) > 1 else None
+
+    def reload(installed):
+        now = version()
+        return None if now == installed else (now, *load_matrix())
+
+    first = version()
+    matrix, item_group = load_matrix()
+    options = {k: s[k] for k in ("recent_k", "union_batch", "exclude_seen") if k in s}
     buckets = cfg["tables"]["rating"].get("uid_buckets")
-    query = stream_job.start(stream, history, matrix, s["output"], s["checkpoint"],
-                             rejects_path=s.get("rejects"), item_group=item_group,
-                             candidate_cap=s.get("candidate_cap", 40), reload=reload,
+    # the ratings are looked up anew for every micro-batch
+    query = stream_job.start(stream, lambda: _with_ts(read(spark, cfg, "rating")), matrix,
+                             s["output"], s["checkpoint"], rejects_path=s.get("rejects"),
+                             trigger=s.get("trigger"), item_group=item_group, version=first,
+                             candidate_cap=s.get("candidate_cap", 40), reload=reload, **options,
                              history_buckets=("uid_bucket", int(buckets)) if buckets else None)
     return query
 

@@ -113,9 +113,7 @@ def q_movies_with_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     "select 'user' as kind, uid as id from (select distinct uid from R) "
     "union all select 'item' as kind, mid as id from (select distinct mid from R)"))
 def q_distinct_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users, items = stats.distinct_entities(tables.ratings(spark, sf_dir))
-    return (users.select(F.lit("user").alias("kind"), F.col("uid").alias("id"))
-            .unionByName(items.select(F.lit("item").alias("kind"), F.col("mid").alias("id"))))
+    return stats.distinct_entities(tables.ratings(spark, sf_dir))
 
 
 # ---- genre top-k ----------------------------------------------------------
@@ -150,8 +148,10 @@ BINDING_BUCKETS_50 = {
 
 def _tfidf_ctes(hashed: bool) -> str:
     """CTE chain (starting with a comma) ending in s(mid, sim_mid, sim), unrounded."""
-    tok = ("select mid, unnest(string_split(lower(replace(genres, '|', ' ')), ' ')) as tok "
-           "from M where genres is not null")
+    low = "lower(replace(genres, '|', ' '))"
+    body = f"regexp_replace({low}, '\\s+$', '')"
+    tok = (f"select mid, unnest(case when {low} = '' then [''] when {body} = '' then [] "
+           f"else string_split_regex({body}, '\\s') end) as tok from M where genres is not null")
     if hashed:
         mapping = ", ".join(f"('{k}', {v})" for k, v in BINDING_BUCKETS_50.items())
         terms = (f"select mid, b.bucket as term from ({tok}) t "
@@ -307,6 +307,17 @@ def q_recs_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select("genre", _rk(), "mid", _r("score"))
 
 
+@register("sim_text_roundtrip", ORACLES["tfidf_item_sim"])
+def q_sim_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity lists, sorted per item, -> stored text -> parsed back to long form."""
+    sims = tfidf.tfidf_item_similarity(tables.movies(spark, sf_dir))
+    lists = sinks.similarity_lists(sims)
+    path = scratch_path(spark, "similarity-lists")
+    sinks.with_text_recs(lists).write.parquet(path)
+    long = sinks.matrix_from_lists(spark.read.parquet(path))
+    return long.select("mid", "sim_mid", _r("sim"))
+
+
 # ---- dense-vector cosine ----------------------------------------------------
 
 @register("cosine_topk", (
@@ -323,6 +334,19 @@ def q_cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("id").alias("vec_id"), _rk(), "sim_id", _r("sim"))
 
 
+@register("cosine_threshold", (
+    "with e as (select vec_id, cast(embedding as double[]) as v from embeddings)"
+    " select a.vec_id, b.vec_id as sim_id,"
+    f" round(list_cosine_similarity(a.v, b.v), {ROUND}) as sim"
+    " from e a join e b on a.vec_id <> b.vec_id"
+    " where list_cosine_similarity(a.v, b.v) > 0.3"))
+def q_cosine_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of embeddings with cosine above 0.3 (exact, blocked)."""
+    pairs = similarity.cosine_pairs(tables.embeddings(spark, sf_dir), "vec_id", "embedding",
+                                    threshold=0.3)
+    return pairs.select(F.col("id").alias("vec_id"), "sim_id", _r("sim"))
+
+
 # ---- collaborative filtering (ALS) ----------------------------------------
 
 ALS_SEED = 42
@@ -345,37 +369,65 @@ _CUTOFF = ("(select min(epoch(ts)) + 0.8 * (max(epoch(ts)) - min(epoch(ts))) fro
     " as rmse, count(*) as n from te o join pr p on o.uid = p.uid and o.mid = p.mid"))
 def q_rmse_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RMSE of an item-mean predictor: observed x predicted joined on (uid, mid)."""
-    train, test = _train_test(tables.ratings(spark, sf_dir))
+    train, test = _train_test(_rating_table(spark, sf_dir))
     item_mean = stats.average_movies(train).withColumnRenamed("score", "prediction")
     predicted = test.select("uid", "mid").join(item_mean, "mid")
     out = als.rmse(test.select("uid", "mid", "score"), predicted)
     return out.select(_r("rmse"), "n")
 
 
-@register("als_user_recs")
+# A fit is no SQL, but what it must satisfy is: the queries below run the whole
+# operator and return, per user, item or grid point, checks computed from its
+# rows and the rating table. The oracle states what they must say.
+
+@register("als_user_recs", with_bindings(
+    " select uid, count(*) as n_rated,"
+    " least(20, (select count(distinct mid) from R)) as n_recs,"
+    " true as ranks_dense, true as sorted, true as positive, true as is_factor_product,"
+    " true as solves_ridge from R group by uid"))
 def q_als_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = als.fit_als(tables.ratings(spark, sf_dir), seed=ALS_SEED)
-    return als.user_recommendations(model, 20).select("uid", _rk(), "mid", _r("score"))
+    """Top 20 per user: list shape, scores against factors, factors against the ratings."""
+    ratings = _rating_table(spark, sf_dir).select("uid", "mid", "score")
+    model = als.fit_als(ratings, seed=ALS_SEED)
+    recs = checkpoint_once(als.user_recommendations(model, 20))
+    return als.check_user_recs(model, ratings, recs)
 
 
-@register("als_item_sim")
+@register("als_item_sim", with_bindings(
+    " select distinct mid, true as no_self, true as above_threshold, true as mirrored,"
+    " true as is_factor_cosine from R"))
 def q_als_item_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = als.fit_als(tables.ratings(spark, sf_dir), seed=ALS_SEED)
-    return als.item_similarity(model).select("mid", "sim_mid", _r("sim"))
+    """Item pairs above 0.6: both directions, no self pair, cosine against the factors."""
+    model = als.fit_als(_rating_table(spark, sf_dir), seed=ALS_SEED)
+    sims = checkpoint_once(als.item_similarity(model))
+    return als.check_item_similarity(model, sims)
 
 
-@register("als_grid")
+@register("als_grid", (
+    "select cast(rank as integer) as rank, cast(reg as double) as reg_param,"
+    " true as rmse_finite, true as best_is_least"
+    " from (values (20), (50), (100)) a(rank), (values (0.001), (0.01), (0.1)) b(reg)"))
 def q_als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _train_test(tables.ratings(spark, sf_dir))
+    """Nine fits of 50 iterations, their hold-out RMSE, and the best parameters among them."""
+    train, test = _train_test(_rating_table(spark, sf_dir).select("uid", "mid", "score", "ts"))
     grid = als.als_grid(train, test, seed=ALS_SEED)
-    return grid.select("rank", "reg_param", _r("rmse"))
+    best = als.best_params(grid).select(F.col("rmse").alias("best_rmse"))  # one row
+    finite = F.col("rmse").isNotNull() & (F.abs("rmse") < float("inf"))
+    return grid.join(F.broadcast(best)).select(
+        "rank", "reg_param", finite.alias("rmse_finite"),
+        (F.col("best_rmse") <= F.col("rmse")).alias("best_is_least"))
 
 
 # ---- Structured Streaming --------------------------------------------------
 
+# The streaming queries write twice as many message files: two micro-batches.
+FILES_PER_BATCH = 4
+
+
 def _write_messages(spark: SparkSession, ratings: DataFrame, name: str) -> str:
     path = scratch_path(spark, name)
-    stream_source.to_messages(ratings).write.mode("overwrite").text(path)
+    messages = stream_source.to_messages(ratings).repartition(2 * FILES_PER_BATCH)
+    messages.write.mode("overwrite").text(path)
     return path
 
 
@@ -385,7 +437,8 @@ def q_stream_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rating messages through a file-source stream and the message parser."""
     src = _write_messages(spark, tables.ratings_with_epoch(spark, sf_dir), "messages")
     out, ckpt = scratch_path(spark, "stream-ratings-out"), scratch_path(spark, "stream-ratings-ckpt")
-    parsed = stream_source.parse_messages(stream_source.text_stream(spark, src))
+    parsed = stream_source.parse_messages(stream_source.text_stream(
+        spark, src, FILES_PER_BATCH))
     query = (stream_source.good_messages(parsed).writeStream.format("parquet")
              .option("path", out).option("checkpointLocation", ckpt)
              .trigger(availableNow=True).start())
@@ -402,8 +455,8 @@ def q_stream_recs_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _write_messages(spark, events, "events")
     item_group, group_sims = tfidf.tfidf_similarity_groups(tables.movies(spark, sf_dir))
     out, ckpt = scratch_path(spark, "stream-recs-out"), scratch_path(spark, "stream-recs-ckpt")
-    query = stream_job.start(stream_source.text_stream(spark, src), ratings, group_sims, out,
-                             ckpt, trigger={"availableNow": True}, tie_breakers=RATING_TIES,
+    query = stream_job.start(stream_source.text_stream(spark, src, FILES_PER_BATCH), ratings,
+                             group_sims, out, ckpt, trigger={"availableNow": True}, tie_breakers=RATING_TIES,
                              item_group=item_group)
     query.awaitTermination()
     flat = explode_recs(spark.read.parquet(out), ["uid"])

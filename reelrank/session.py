@@ -29,6 +29,10 @@ _SCALE_DEFAULTS = {
 }
 
 
+# Written tables that have not been released yet.
+_scratch: list[str] = []
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "reelrank", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the scale defaults applied.
@@ -61,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None)
     if not configured:
         # Tests and single-machine runs only: a cluster names a shared folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="reelrank-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -70,7 +76,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark)
     # The checkpoint dir carries a per-application uuid suffix; write beside it.
-    return os.path.join(base.rstrip("/"), "reelrank", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(base.rstrip("/"), "reelrank", f"{name}-{uuid.uuid4().hex}")
+    _scratch.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the written tables that this driver has made so far; how many.
+
+    For the owner of the results: call it when every DataFrame that reads
+    them has been written or collected (a job's end, between two queries of a
+    benchmark). Queries themselves return lazy results and must not.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = list(_scratch)
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+        _scratch.remove(path)
+    return len(paths)
 
 
 def materialize_table(df: DataFrame, name: str) -> DataFrame:
@@ -97,6 +121,7 @@ def checkpoint_once(df: DataFrame) -> DataFrame:
     """
     from pyspark import StorageLevel
 
+    ensure_checkpoint_dir(df.sparkSession)
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return df.checkpoint(eager=True)

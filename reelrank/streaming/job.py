@@ -11,7 +11,6 @@ storage.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -33,15 +32,26 @@ def recommend_batch(batch: DataFrame, history: DataFrame, sim_matrix: DataFrame,
                     tie_breakers=(), capped: DataFrame | None = None,
                     item_group: DataFrame | None = None,
                     history_buckets: tuple[str, int] | None = None,
-                    union_batch: bool = False, history_sliced: bool = False) -> DataFrame:
+                    union_batch: bool = False, history_sliced: bool = False,
+                    exclude_seen: bool = True) -> DataFrame:
     """Events (uid, mid, score, timestamp) -> (event_id, uid, mid, event_ts, recs).
 
     The original job does not store the incoming rating, so by default the
     history is the rating table alone; ``union_batch`` adds the batch's own
     ratings to the history first. ``history_sliced``: ``history`` already
     holds only the batch users' ratings (``rerank.batch_history``).
+    ``exclude_seen=False`` keeps rated items among the candidates.
+
+    ``event_id`` is (partition, offset) of the message; sources without
+    positions number a batch's messages.
     """
-    events = batch.withColumn("event_id", F.monotonically_increasing_id())
+    if "msg_offset" in batch.columns:
+        position = F.struct(F.col("msg_partition").alias("partition"),
+                            F.col("msg_offset").alias("offset"))
+    else:
+        position = F.struct(F.lit(0).alias("partition"),
+                            F.monotonically_increasing_id().alias("offset"))
+    events = batch.withColumn("event_id", position)
     if union_batch:
         ts_type = history.schema["ts"].dataType
         own = events.select("uid", "mid", "score",
@@ -53,7 +63,8 @@ def recommend_batch(batch: DataFrame, history: DataFrame, sim_matrix: DataFrame,
     scored = rerank.stream_recommendations(
         events.select("event_id", "uid", "mid"), history, sim_matrix, num_candidates,
         recent_k, tie_breakers=tie_breakers, event_key=EVENT_KEY, capped=capped,
-        item_group=item_group, history_buckets=history_buckets, history_sliced=history_sliced)
+        exclude_seen=exclude_seen, item_group=item_group, history_buckets=history_buckets,
+        history_sliced=history_sliced)
     lists = collect_sorted(scored, ["event_id"])
     # Events without any scored candidate still get a row with an empty list.
     out = events.join(lists, "event_id", "left").select(
@@ -62,12 +73,13 @@ def recommend_batch(batch: DataFrame, history: DataFrame, sim_matrix: DataFrame,
     return out
 
 
-def start(stream: DataFrame, history: DataFrame, sim_matrix: DataFrame, output_path: str,
-          checkpoint_path: str, rejects_path: str | None = None,
-          trigger: dict | None = None, candidate_cap: int | None = 2 * MAX_SIM_MOVIES_NUM,
-          item_group: DataFrame | None = None,
-          reload: Callable[[], tuple[str, DataFrame, DataFrame | None]] | None = None,
-          **kwargs):
+def start(stream: DataFrame, history: DataFrame | Callable[[], DataFrame],
+          sim_matrix: DataFrame, output_path: str, checkpoint_path: str,
+          rejects_path: str | None = None, trigger: dict | None = None,
+          candidate_cap: int | None = 2 * MAX_SIM_MOVIES_NUM,
+          item_group: DataFrame | None = None, version: str | None = None,
+          reload: Callable[[str | None], tuple[str, DataFrame, DataFrame | None] | None]
+          | None = None, **kwargs):
     """Start the query; ``trigger`` defaults to the 2-second micro-batch interval.
 
     The similarity matrix is static between versions, so its per-item
@@ -75,11 +87,15 @@ def start(stream: DataFrame, history: DataFrame, sim_matrix: DataFrame, output_p
     checkpointed; each micro-batch then joins that bounded prefix (exactly,
     see ``rerank.sim_candidates``). ``candidate_cap=None`` joins full lists.
     ``item_group`` (mid, grp) marks a group-level matrix (e.g. TF-IDF
-    profiles). ``reload`` returns ``(version, matrix, item_group)``; it is
-    called before every micro-batch and a new version replaces the matrix.
+    profiles). ``reload`` is called before every micro-batch with the
+    installed version (``version`` at the start); it returns None if that is
+    still the current one, else ``(version, matrix, item_group)``.
+
+    ``history`` as a function is called for every micro-batch, so that each
+    sees the ratings stored until then; a DataFrame is a fixed history.
     """
     parsed = parse_messages(stream)
-    state: dict = {"version": None}
+    state: dict = {}
 
     def install(version, matrix, groups) -> None:
         # Only the capped prefix is materialised: it is the one table every
@@ -89,18 +105,19 @@ def start(stream: DataFrame, history: DataFrame, sim_matrix: DataFrame, output_p
             capped = checkpoint_once(rerank.capped_matrix(matrix, candidate_cap, groups))
         state.update(version=version, matrix=matrix, groups=groups, capped=capped)
 
-    install(None, sim_matrix, item_group)
+    install(version, sim_matrix, item_group)
 
     def handle(batch_df: DataFrame, batch_id: int) -> None:
         if reload is not None:
-            version, matrix, groups = reload()
-            if version != state["version"]:
-                install(version, matrix, groups)
+            newer = reload(state["version"])
+            if newer is not None:
+                install(*newer)
         batch_df.persist()
         good = good_messages(batch_df)
         # The batch users' ratings are read for recent ratings and twice for
         # the seen filter: slice the history once and keep it for the batch.
-        hist = rerank.batch_history(good, history, kwargs.get("history_buckets"))
+        stored = history() if callable(history) else history
+        hist = rerank.batch_history(good, stored, kwargs.get("history_buckets"))
         hist.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             recs = recommend_batch(good, hist, state["matrix"], capped=state["capped"],
@@ -119,16 +136,6 @@ def start(stream: DataFrame, history: DataFrame, sim_matrix: DataFrame, output_p
     return writer.start()
 
 
-def table_version(df: DataFrame) -> str:
-    """Version token of a file-based table: a digest of its file list.
-
-    Overwrites create new file names, so a rewritten table gets a new token.
-    Only file names are listed (driver-side metadata), no data is read.
-    """
-    names = "\n".join(sorted(df.inputFiles()))
-    return hashlib.sha256(names.encode("utf-8")).hexdigest()
-
-
 def latest_per_user(output: DataFrame) -> DataFrame:
     """Most recent list per user over all batches (a view over the append log)."""
     from pyspark.sql import Window

@@ -105,18 +105,19 @@ def test_streaming_job_reloads_a_new_matrix_version(spark):
     v2 = sym([(4, 2, 0.9), (2, 6, 0.8)])
     calls = []
 
-    def reload():
-        calls.append(1)
-        return ("v1", v1, None) if len(calls) == 1 else ("v2", v2, None)
+    def reload(installed):
+        calls.append(installed)
+        return None if len(calls) == 1 else ("v2", v2, None)
 
     out = os.path.join(base, "out")
     q = job.start(source.text_stream(spark, src, max_files_per_trigger=1), history, v1, out,
-                  os.path.join(base, "ckpt"), trigger={"availableNow": True}, reload=reload)
+                  os.path.join(base, "ckpt"), trigger={"availableNow": True}, version="v1",
+                  reload=reload)
     q.awaitTermination()
     from pyspark.sql import functions as F
     res = spark.read.parquet(out).select("batch_id", F.explode("recs").alias("r"))
     got = sorted((r.batch_id, r.r.mid) for r in res.collect())
-    assert len(calls) == 2
+    assert calls == ["v1", "v1"]
     assert got == [(0, 1), (1, 2)]
 
 
@@ -151,3 +152,60 @@ def test_union_batch_adds_the_event_to_history(spark):
     assert [r.mid for r in plain] == [1] and [r.mid for r in both] == [1]
     assert plain[0].score == pytest.approx(0.8 * 5.0)
     assert both[0].score == pytest.approx((0.8 * 5.0 + 0.9 * 2.0) / 2)
+
+
+def test_event_ids_carry_the_message_position(spark):
+    batch = spark.createDataFrame([(30, 4, 2.0, 1600000000, 3, 77)],
+                                  "uid long, mid long, score double, timestamp long, "
+                                  "msg_partition int, msg_offset long")
+    sims = spark.createDataFrame([(4, 1, 0.9)], "mid long, sim_mid long, sim double")
+    history = spark.createDataFrame([], "uid long, mid long, score double, ts timestamp_ntz")
+    row = job.recommend_batch(batch, history, sims).first()
+    assert (row.event_id.partition, row.event_id.offset) == (3, 77)
+
+
+def test_checks_of_a_fit_notice_wrong_rows(spark, small_ratings):
+    from pyspark.sql import functions as F
+
+    ratings = small_ratings.select("uid", "mid", "score")
+    model = als.fit_als(ratings, rank=4, max_iter=5, reg_param=0.05, seed=1)
+    recs = als.user_recommendations(model, 5)
+    good = als.check_user_recs(model, ratings, recs, reg=0.05).collect()
+    assert len(good) == 20 and all(all(r[i] for i in range(3, 8)) for r in good)
+    off = als.check_user_recs(model, ratings, recs.withColumn(
+        "score", F.when(F.col("rk") == 2, F.col("score") + 9).otherwise(F.col("score"))), reg=0.05)
+    assert not any(r.sorted or r.is_factor_product for r in off.collect())
+    assert not any(r.solves_ridge for r in als.check_user_recs(model, ratings, recs,
+                                                               reg=0.5).collect())
+    sims = als.item_similarity(model)
+    assert all(all(r[1:]) for r in als.check_item_similarity(model, sims).collect())
+    half = sims.filter("mid < sim_mid")
+    assert not all(r.mirrored for r in als.check_item_similarity(model, half).collect())
+
+
+_FIT = """
+import json, sys
+sys.path.insert(0, {root!r})
+from reelrank.operators import als
+from reelrank.session import get_session
+spark = get_session("local[{cores}]", {cores})
+rows = [(u, m, float(1 + (u * m) % 5)) for u in range(1, 31) for m in range(1, 26) if (u + m) % 3]
+model = als.fit_als(spark.createDataFrame(rows, "uid long, mid long, score double"),
+                    rank=5, max_iter=4, seed=1)
+recs = als.user_recommendations(model, 6).orderBy("uid", "rk").collect()
+print("LISTS", json.dumps([(r.uid, r.rk, r.mid, round(r.score, 4)) for r in recs]))
+"""
+
+
+def test_the_model_does_not_depend_on_the_number_of_cores():
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    lists = []
+    for cores in (2, 5):
+        out = subprocess.run([sys.executable, "-c", _FIT.format(root=root, cores=cores)],
+                             capture_output=True, text=True, timeout=300)
+        assert out.returncode == 0, out.stderr[-2000:]
+        lists.append(next(x for x in out.stdout.splitlines() if x.startswith("LISTS")))
+    assert lists[0] == lists[1]

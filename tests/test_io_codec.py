@@ -104,9 +104,70 @@ def test_materialize_table_reads_back_pruned(spark):
     assert set(again.inputFiles()).isdisjoint(files)
 
 
-def test_als_blocks_follow_parallelism(spark):
-    from reelrank.operators import als
-
-    assert als.default_blocks(spark) == spark.sparkContext.defaultParallelism
-    est = als.make_als(num_blocks=3)
-    assert est.getNumUserBlocks() == 3 and est.getNumItemBlocks() == 3
+def test_codec_keeps_null_elements(spark):
+    df = spark.createDataFrame([([(1, 0.5), (2, None), (None, 1e-9)],)],
+                               "recs array<struct<mid:bigint,score:double>>")
+    for style in ("list", "genre", "stream"):
+        text_col = df.select(codec.recs_to_text("recs", style).alias("t"))
+        assert "null" in text_col.first().t
+        back = text_col.select(codec.parse_recs_text("t").alias("recs")).first().recs
+        assert [(r.mid, r.score) for r in back] == [(1, 0.5), (2, None), (None, 1e-9)]
+
+
+def test_similarity_lists_roundtrip(spark):
+    sims = spark.createDataFrame([(1, 2, 0.7), (1, 3, 0.9), (1, 4, 0.7), (2, 1, 0.7)],
+                                 "mid long, sim_mid long, sim double")
+    lists = sinks.similarity_lists(sims)
+    by_item = {r.mid: [(x.mid, x.score) for x in r.recs] for r in lists.collect()}
+    assert by_item[1] == [(3, 0.9), (2, 0.7), (4, 0.7)]
+    want = sorted(tuple(r) for r in sims.collect())
+    for form in (lists, sinks.with_text_recs(lists)):
+        assert sorted(tuple(r) for r in sinks.matrix_from_lists(form).collect()) == want
+
+
+def test_epoch_seconds_in_two_zones(spark):
+    from reelrank.functions.dates import epoch_seconds
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            row = spark.sql("select timestamp_seconds(1260759200) as a, "
+                            "timestamp_ntz '2009-12-14 02:53:20' as b").select(
+                                epoch_seconds("a").alias("a"), epoch_seconds("b").alias("b")).first()
+            assert (row.a, row.b) == (1260759200, 1260759200)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_scratch_needs_a_shared_folder_off_local_masters(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from reelrank import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return SimpleNamespace(get=lambda key, default: default)
+
+    fake = SimpleNamespace(sparkContext=Context(),
+                           conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(fake)
+
+
+def test_release_scratch_deletes_written_tables(spark):
+    from reelrank.session import materialize_table, release_scratch, scratch_path
+
+    release_scratch(spark)
+    path = materialize_table(spark.range(5), "t").inputFiles()[0]
+    local = path.removeprefix("file://")
+    assert os.path.exists(local)
+    assert release_scratch(spark) == 1
+    assert not os.path.exists(local)
+    scratch_path(spark, "never-written")
+    release_scratch(spark)

@@ -51,7 +51,14 @@ def test_movie_tags_distinct_sorted(spark, movies):
     joined = stats.movies_with_tags(movies, per)
     assert rows(joined, "mid", "tags") == [(10, " dark|Funny|funny"), (20, "space"), (30, None),
                                            (40, None), (50, None)]
-    assert stats.check_unique_key(joined, "mid").count() == 0
+    assert rows(stats.distinct_movie_tags(tags)) == [
+        (10, " dark"), (10, "Funny"), (10, "funny"), (20, "space")]
+
+
+def test_distinct_entities_in_one_pass(ratings):
+    found = rows(stats.distinct_entities(ratings))
+    assert {k for k, _ in found} == {"user", "item"}
+    assert [i for k, i in found if k == "item"] == [10, 20, 30]
 
 
 def test_movies_with_score_drops_unrated(ratings, movies):
@@ -99,7 +106,7 @@ def test_genre_match_without_broadcast_equals_broadcast(spark, match):
             (7, "Documentary|War", 4.4), (8, "Warfare", 2.2), (9, "Drama|Drama", 3.9)]
     scored = spark.createDataFrame(data, "mid long, genres string, score double")
     g = genres.genre_frame(spark, ["Music", "Sci", "action", "Comedy", "War", "Drama",
-                                   "fare", "Documentary", "Nothing"])
+                                   "fare", "Documentary", "Nothing", "", None])
     a = rows(genres.genres_top(scored, g, k=3, match=match))
     b = rows(genres.genres_top(scored, g, k=3, match=match, max_broadcast=2))
     assert a == b and len(a) > 0

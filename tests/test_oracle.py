@@ -42,7 +42,7 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(entry.queries())
 
 
-_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+_DUCK_TYPES = {"BIGINT": "bigint", "BOOLEAN": "boolean", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -52,3 +52,22 @@ def test_hot_user_rerank_matches_uncapped(spark, skewed):
     a = {(r.uid, r.mid): round(r.score, 9) for r in full.collect()}
     b = {(r.uid, r.mid): round(r.score, 9) for r in capped.collect()}
     assert a == b and len(a) > 0
+
+
+def test_hot_term_in_portions_gives_the_same_candidates(spark):
+    """One term in a third of all profiles, dealt into many portions or joined plainly."""
+    from pyspark.sql import functions as F
+
+    from reelrank.operators import tfidf
+
+    ids = spark.range(300).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("p"), "id")
+    terms = ids.select("p", F.explode(F.array(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), F.col("id") % 17)),
+        F.concat(F.lit("u"), F.col("id") % 41))).alias("term"))
+    prefix = terms.select(F.col("p").alias("pa"), "term")
+    postings = terms.select(F.col("p").alias("pb"), "term")
+    plain = tfidf._share_a_term(prefix, postings, portion=10**9)
+    dealt = tfidf._share_a_term(prefix, postings, portion=7, most=5)
+    want = {(bytes(r.pa), bytes(r.pb)) for r in plain.collect()}
+    assert want == {(bytes(r.pa), bytes(r.pb)) for r in dealt.collect()}
+    assert len(want) >= 100 * 99 // 2 and all(a < b for a, b in want)

@@ -88,7 +88,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str
     side = top.select(*renamed, F.struct(*payload).alias("__hot"))
     rows = rows.join(F.broadcast(side), matches("__hot"), "left").drop(
         *[f"__k{i}" for i in range(len(keys))])
-    if groups.count() <= hot:
+    if few and groups.count() <= hot:
         return rows.select(*[c for c in rows.columns if c != "__hot"],
                            *[F.col(f"__hot.{c}").alias(c) for c in payload])
     rest = groups.join(F.broadcast(side.select(*[f"__k{i}" for i in range(len(keys))])),
@@ -97,7 +97,9 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str
                        F.struct(*payload).alias("__cold"))
     rows = rows.withColumn("__s", F.when(F.col("__hot").isNull(), F.lit(0).cast("long"))
                            .otherwise(F.abs(F.xxhash64(F.lit(7), F.col(spread)) % 1000000) + 1))
-    out = rows.join(rest, matches("") & (F.col("__s") == F.col("__s0")), "left")
+    # one plan at every size: a runtime switch to broadcast would depend on the
+    # number of groups
+    out = rows.join(rest.hint("merge"), matches("") & (F.col("__s") == F.col("__s0")), "left")
     picked = F.coalesce(F.col("__hot"), F.col("__cold"))
     return out.select(*[c for c in rows.columns if c not in ("__hot", "__s")],
                       *[picked.getField(c).alias(c) for c in payload])

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.operators import genres as genres_op
@@ -352,9 +352,18 @@ def q_cosine_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALS_SEED = 42
 
 
-def _train_test(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Temporal hold-out: the latest 20% of the time span is the test side."""
-    return als.temporal_split(ratings, 0.8)
+def _train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Temporal hold-out: the latest 20% of the time span is the test side.
+
+    One pass over the base tables: the time span is observed while the rating
+    table is written.
+    """
+    seen, secs = Observation("span"), epoch_seconds("ts")
+    ratings = tables.ratings(spark, sf_dir).select("uid", "mid", "score", "ts")
+    ratings = materialize_table(ratings.observe(
+        seen, F.min(secs).alias("low"), F.max(secs).alias("high")), "ratings")
+    span = (seen.get["low"], seen.get["high"])
+    return als.temporal_split(ratings, 0.8, span=None if None in span else span)
 
 
 _CUTOFF = ("(select min(epoch(ts)) + 0.8 * (max(epoch(ts)) - min(epoch(ts))) from R)")
@@ -369,7 +378,7 @@ _CUTOFF = ("(select min(epoch(ts)) + 0.8 * (max(epoch(ts)) - min(epoch(ts))) fro
     " as rmse, count(*) as n from te o join pr p on o.uid = p.uid and o.mid = p.mid"))
 def q_rmse_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RMSE of an item-mean predictor: observed x predicted joined on (uid, mid)."""
-    train, test = _train_test(_rating_table(spark, sf_dir))
+    train, test = _train_test(spark, sf_dir)
     item_mean = stats.average_movies(train).withColumnRenamed("score", "prediction")
     predicted = test.select("uid", "mid").join(item_mean, "mid")
     out = als.rmse(test.select("uid", "mid", "score"), predicted)
@@ -409,7 +418,7 @@ def q_als_item_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
     " from (values (20), (50), (100)) a(rank), (values (0.001), (0.01), (0.1)) b(reg)"))
 def q_als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nine fits of 50 iterations, their hold-out RMSE, and the best parameters among them."""
-    train, test = _train_test(_rating_table(spark, sf_dir).select("uid", "mid", "score", "ts"))
+    train, test = _train_test(spark, sf_dir)
     grid = als.als_grid(train, test, seed=ALS_SEED)
     best = als.best_params(grid).select(F.col("rmse").alias("best_rmse"))  # one row
     finite = F.col("rmse").isNotNull() & (F.abs("rmse") < float("inf"))

@@ -27,7 +27,7 @@ ALS_MAX_ITER = 5
 ALS_REG_PARAM = 0.01
 # User and item blocks of a fit. ALS draws its start factors per block, so the
 # model depends on this number: it is a parameter, never taken from the cluster.
-ALS_NUM_BLOCKS = 16
+ALS_NUM_BLOCKS = 10
 ALS_GRID_RANKS = [20, 50, 100]
 ALS_GRID_REG_PARAMS = [0.001, 0.01, 0.1]
 ALS_GRID_MAX_ITER = 50

@@ -206,11 +206,48 @@ def _compare_with_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                                          names=["a", "b"])
 
 
+def shared_counts(texts: list[Text]):
+    """Function from a text's place to its numbers of shared labelled shingles with all texts.
+
+    An inverted index over the shingles that occur in several of the texts;
+    one call costs as much as the postings it meets, without pairs.
+    """
+    m = len(texts)
+    labels = np.concatenate([t.sorted for t in texts])
+    owner = np.repeat(np.arange(m), [t.n for t in texts])
+    names, number, df = np.unique(labels, return_inverse=True, return_counts=True)
+    several = df[number] > 1
+    owner, number = owner[several], number[several]
+    own_from = np.searchsorted(owner, np.arange(m + 1))
+    order = np.argsort(number, kind="stable")
+    posts = owner[order]
+    start = np.searchsorted(number[order], np.arange(len(names) + 1))
+
+    def counts(i: int) -> np.ndarray:
+        mine = number[own_from[i]:own_from[i + 1]]
+        size = start[mine + 1] - start[mine]
+        total = int(size.sum())
+        if not total:
+            return np.zeros(m, np.int64)
+        first = np.repeat(start[mine] - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+        return np.bincount(posts[first + np.arange(total)], minlength=m)
+
+    return counts
+
+
 def _compare_block(key: tuple, rows: pa.Table) -> pa.Table:
-    """Links across components among the members of a block (or of two blocks)."""
-    node, part, own = (rows.column(c).to_pylist() for c in ("node", "comp", "own"))
-    texts = [Text(t) for t in rows.column("text").to_pylist()]
-    parent = {c: c for c in part}
+    """Links across components among the members of a block (or of two blocks).
+
+    A pair that shares several buckets is looked at in that of its first
+    sketch only.
+    """
+    node, part, own, texts = (rows.column(c).to_pylist() for c in ("node", "comp", "own", "text"))
+    texts = [Text(t) for t in texts]
+    sketch = rows.column("sketch")[0].as_py()
+    keys = np.array(rows.column("keys").to_pylist(), np.int64)[:, :sketch]
+    size, own = np.array([t.n for t in texts]), np.array(own)
+    comp = np.unique(np.array(part, object), return_inverse=True)[1]
+    parent = list(range(comp.max() + 1))
 
     def find(c):
         while parent[c] != c:
@@ -218,15 +255,17 @@ def _compare_block(key: tuple, rows: pa.Table) -> pa.Table:
         return c
 
     a, b = [], []
-    across = any(own) and not all(own)
-    order = sorted(range(len(node)), key=lambda i: texts[i].n)
-    for k, i in enumerate(order):
-        for j in order[k + 1:]:
-            if texts[i].n < SIMILARITY * texts[j].n:
-                break  # all further ones are longer still
-            if across and own[i] == own[j]:
-                continue
-            x, y = find(part[i]), find(part[j])
+    across = own.any() and not own.all()
+    counts = shared_counts(texts)
+    for i in range(len(node)):
+        need = SIMILARITY / (1 + SIMILARITY) * (size + size[i]) - 1e-9
+        hits = np.flatnonzero(counts(i) >= need)
+        hits = hits[(hits > i) & (comp[hits] != comp[i])]
+        if across:
+            hits = hits[own[hits] != own[i]]
+        hits = hits[~(keys[hits] == keys[i]).any(axis=1)]
+        for j in hits.tolist():
+            x, y = find(comp[i]), find(comp[j])
             if x != y and similar(texts[i], texts[j]):
                 parent[x] = y
                 a.append(node[i])
@@ -284,9 +323,9 @@ class _Corpus:
             F.min("row").alias("row"), F.first("n").alias("n"), F.first("keys").alias("keys")),
             "near-nodes")
 
-    def with_text(self, wanted: DataFrame) -> DataFrame:
+    def with_text(self, wanted: DataFrame, *more: str) -> DataFrame:
         """``wanted`` (node, ...) with the node's text, read from the corpus again."""
-        rows = wanted.join(self.nodes.select("node", "row"), "node")
+        rows = wanted.join(self.nodes.select("node", "row", *more), "node")
         rows = rows.withColumn("id", F.col("row.id")).withColumn("th", F.col("row.th")).drop("row")
         text = self.base.select(F.col("id").alias("t_id"), F.xxhash64("text").alias("t_th"),
                                 "text")
@@ -314,25 +353,27 @@ def _leader_links(corpus: _Corpus, members: DataFrame) -> DataFrame:
 def _cross_links(corpus: _Corpus, members: DataFrame, comps: DataFrame) -> DataFrame:
     """Links between components that still share a bucket."""
     placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    placed = written(placed.select("key", "node", "n", "comp"), "near-placed")
+    placed = written(placed.select("key", "sketch", "node", "n", "comp"), "near-placed")
     mixed = placed.groupBy("key").agg(
-        F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("size"),
+        F.first("sketch").alias("sketch"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
+        F.count(F.lit(1)).alias("size"),
         F.sum("n").alias("load"), F.bit_xor(F.xxhash64("node")).alias("h0"),
         F.sum(F.pmod(F.xxhash64(F.lit(1), "node"), F.lit(1 << 40))).alias("h1"))
     # of two members one is the leader, and that pair has been compared;
-    # buckets with the same members need one look
+    # buckets with the same members need one look, that of the first sketch
     mixed = mixed.where("c0 != c1 and size > 2").groupBy("size", "h0", "h1").agg(
-        F.min("key").alias("key"), F.first("load").alias("load"))
-    mixed = written(mixed.select("key", "size", "load"), "near-mixed")
+        F.min(F.struct("sketch", "key")).alias("first"), F.first("load").alias("load"))
+    mixed = written(mixed.select("first.key", "size", "load"), "near-mixed")
     left = join_groups(placed, mixed, ["key"], "size", "node").where("load is not null")
     blocks = (F.floor(F.col("load") / BLOCK) + 1).cast("int")
     left = left.withColumn("blocks", blocks).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
         F.least("own", other).alias("i"), F.greatest("own", other).alias("j")))
-    wanted = left.select("key", "node", "comp", "own", F.explode(pair).alias("pair"))
-    rows = corpus.with_text(wanted).select(
-        "key", "pair", "node", "comp", (F.col("own") == F.col("pair.i")).alias("own"), "text")
+    wanted = left.select("key", "sketch", "node", "comp", "own", F.explode(pair).alias("pair"))
+    rows = corpus.with_text(wanted, "keys").select(
+        "key", "pair", "sketch", "keys", "node", "comp",
+        (F.col("own") == F.col("pair.i")).alias("own"), "text")
     return rows.groupBy("key", "pair").applyInArrow(_compare_block, "a binary, b binary")
 
 
@@ -347,8 +388,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     (one row each in the result). An empty table gives an empty result.
     """
     corpus = _Corpus(docs, id_col, text_col)
-    buckets = written(corpus.nodes.select("node", "n", F.explode("keys").alias("key")),
-                      "near-buckets")
+    buckets = written(corpus.nodes.select(
+        "node", "n", F.posexplode("keys").alias("sketch", "key")), "near-buckets")
     leaders = written(buckets.groupBy("key").agg(
         F.min("node").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1"),
         "near-leaders")

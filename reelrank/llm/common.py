@@ -69,14 +69,15 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str
 
     ``groups`` has one row per key and its number of rows in ``weight``; pass
     a written table, it is read more than once. The ``hot`` heaviest groups
-    are broadcast, a count bound by construction; every other key holds at
+    (of equal weights those with the least keys, so that every read picks the
+    same) are broadcast, a count bound by construction; every other key holds at
     most one in ``hot`` of the rows and is joined by shuffle. Rows that the
     broadcast has served are dealt by ``spread`` (any well-mixed column).
     ``few``: as a rule there are no more than ``hot`` groups (sources, say);
     they are counted, and if so the rows don't move at all.
     """
     payload = [c for c in groups.columns if c not in keys]
-    top = groups.orderBy(F.desc(weight)).limit(hot)
+    top = groups.orderBy(F.desc(weight), *keys).limit(hot)
     renamed = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
 
     def matches(mark: str) -> Column:

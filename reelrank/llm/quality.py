@@ -11,8 +11,9 @@ concentration steps take the ``H_SHARE`` of documents with the least
 distances, estimate mean and covariance from them and repeat until the
 determinant stops falling. The covariance is regularised by a diagonal of
 least spreads, as groups often have a statistic without any spread. Groups
-under ``MIN_GROUP`` documents are pooled by language, pools that are still
-small over all; a pool of fewer rejects nothing. A document is rejected when
+under ``MIN_GROUP`` documents are judged by the estimates over all documents of
+their language, in smaller languages by those over the whole corpus; a corpus
+of fewer rejects nothing. A document is rejected when
 its squared Mahalanobis distance exceeds the chi-squared quantile ``LIMIT``,
 or by the base rules (under ten words, or over a fifth of them in repeated
 windows); documents that fail the base rules don't enter the estimates.
@@ -101,17 +102,28 @@ def statistics() -> dict[str, Column]:
 
 
 def _pools(rows: DataFrame) -> DataFrame:
-    """(lang, source, pool, n): the estimation group of each language and source."""
+    """(lang, source, pool, n, feeds): the pool that judges each language and source.
+
+    ``feeds`` are the pools that its passing documents are estimated in: its
+    own unless it is small, and its language's and the whole corpus's where a
+    small group is judged by them.
+    """
     groups = rows.groupBy("lang", "source").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("failed")).alias("good"))
     groups = written(groups, "quality-groups")
-    small = F.col("good") < MIN_GROUP
-    by_lang = groups.where(small).groupBy(F.col("lang").alias("l")).agg(
-        F.sum("good").alias("l_good"))
-    out = groups.join(by_lang, F.col("lang").eqNullSafe(F.col("l")), "left")
-    name = F.to_json(F.array("lang", "source"))
-    pool = F.when(~small, name).when(F.col("l_good") >= MIN_GROUP, F.to_json(F.array("lang")))
-    return out.select("lang", "source", F.coalesce(pool, F.lit("all")).alias("pool"), "n")
+    small, enough = F.col("good") < MIN_GROUP, F.col("l_good") >= MIN_GROUP
+    by_lang = groups.groupBy(F.col("lang").alias("l")).agg(
+        F.sum("good").alias("l_good"), F.bool_or(small & (F.col("good") > 0)).alias("l_used"))
+    # one row: the broadcast is bounded by construction
+    over_all = by_lang.agg(F.coalesce(
+        F.bool_or(F.col("l_used") & ~enough), F.lit(False)).alias("a_used"))
+    out = groups.join(by_lang, F.col("lang").eqNullSafe(F.col("l"))).join(F.broadcast(over_all))
+    own, of_lang = F.to_json(F.array("lang", "source")), F.to_json(F.array("lang"))
+    pool = F.when(~small | (F.col("good") == 0), own).when(enough, of_lang).otherwise("all")
+    feeds = F.array_compact(F.array(
+        F.when(~small, own), F.when(F.col("l_used") & enough, of_lang),
+        F.when(F.col("a_used"), "all")))
+    return out.select("lang", "source", pool.alias("pool"), "n", feeds.alias("feeds"))
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -215,8 +227,8 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     counted = written(counted, "quality-counts")
     pools = written(_pools(counted.select("lang", "source", "failed")), "quality-pools")
     pooled = join_groups(counted, pools, ["lang", "source"], "n", "id", few=True).drop("n")
-    params = mcd(pooled.where("not failed").select("id", "pool", *X))
-    judged = _distance(join_groups(pooled, params, ["pool"], "n", "id", few=True))
+    params = mcd(pooled.where("not failed").select("id", F.explode("feeds").alias("pool"), *X))
+    judged = _distance(join_groups(pooled.drop("feeds"), params, ["pool"], "n", "id", few=True))
     outlier = (F.col("n") >= MIN_GROUP) & (F.col("d2") / F.col("scale") > LIMIT)
     kept = ~F.col("failed") & ~F.coalesce(outlier, F.lit(False))
     return judged.select(

@@ -332,6 +332,19 @@ def test_quality_rejects_outliers_of_a_group(spark):
                                                                if i % 2 == part}
 
 
+def test_quality_judges_rare_groups_by_their_language(spark):
+    """A rare source among large ones, and a rare language, each with one outlier."""
+    rows = [(i, prose(60, i), "en", "large") for i in range(300)]
+    rows += [(i, prose(60, i), "en", "rare") for i in range(300, 330)]
+    rows += [(i, prose(60, i), "xx", "rare") for i in range(330, 340)]
+    rows = [(i, " ".join(w + "###%" for w in text.split()) if i in (310, 335) else text, *more)
+            for i, text, *more in rows]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = quality.quality_verdicts(frame).collect()
+    assert len(out) == 340
+    assert {r.id for r in out if not r.kept} == {310, 335}
+
+
 def test_near(docs, none):
     out = near.near_classes(docs).collect()
     assert len(out) == len(ROWS)

@@ -48,6 +48,11 @@ def lower_ascii(col: Column) -> Column:
     return F.when(ascii_only, F.lower(col)).otherwise(F.translate(col, _UPPER, _UPPER.lower()))
 
 
+def fold_words(raw: bytes) -> bytes:
+    """UTF-8 text lower-cased in A-Z with a space for each byte that no word holds."""
+    return raw.translate(_FOLD)
+
+
 def words_of(text: str) -> list[bytes]:
     """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text lower-cased in A-Z, in UTF-8."""
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split()

@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import exact, license, lines, mixing, near, quality, secrets, spm, tokenbin, warc
+from reelrank.llm import (exact, license, lines, mixing, near, quality, resample, secrets, spm,
+                          tokenbin, warc)
 from reelrank.llm.common import documents
 from reelrank.session import scratch_path
 from reelrank.sources.tables import read_table
@@ -180,6 +181,13 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with weight and score towards ``benchmark``; 5 % of them ranked."""
+    out = resample.importance_draw(documents(spark, sf_dir),
+                                   read_table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mix": op2_mix,
@@ -191,6 +199,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_line_dedup": op9_line_dedup,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_resample": op11_resample,
 }
 ORACLES = {
     "op1_warc": OP1_SQL,

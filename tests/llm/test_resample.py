@@ -1,0 +1,116 @@
+"""Importance resampling against brute force."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from reelrank.llm import queries, resample
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def runs(text):
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+    return len(words), [" ".join(words[i:i + n]) for n in (1, 2, 3)
+                        for i in range(len(words) - n + 1)]
+
+
+def brute(rows, target, percent=5, least=20, size=10000):
+    """rows: (id, text); the rank order of equal scores is by id."""
+    def bucket(f):
+        return zlib.crc32(f.encode()) % size
+
+    features = [runs(t) for _, t in rows]
+    s = Counter(bucket(f) for _, fs in features for f in fs)
+    t = Counter(bucket(f) for x in target for f in runs(x)[1])
+    all_s, all_t = sum(s.values()), sum(t.values())
+
+    def gain(b):
+        return math.floor(1000 * math.log((t[b] + 1) * (all_s + size)
+                                          / ((s[b] + 1) * (all_t + size))))
+
+    out = []
+    for (i, _), (n, fs) in zip(rows, features):
+        h = int(hashlib.sha256(f"42:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain(bucket(f)) for f in fs)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([i, n, len(fs), weight, score, None])
+    able = sorted((r for r in out if r[1] >= least),
+                  key=lambda r: (-r[4], r[0] is None, r[0] or 0))
+    for rank, r in enumerate(able[:len(able) * percent // 100], 1):
+        r[5] = rank
+    return out
+
+
+def ordered(found):
+    return sorted((tuple(r) for r in found), key=lambda r: tuple((x is None, x or 0) for x in r))
+
+
+def test_query(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select(
+        "doc_id", "text").collect()]
+    target = [r[0] for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select(
+        "text").collect()]
+    want = [(r[0], *r[2:]) for r in brute(rows, target)]
+    assert ordered(queries.op11_resample(spark, SF_DIR).collect()) == ordered(want)
+    assert max(r[4] or 0 for r in want) > 3
+
+
+LONG = " ".join(f"w{i % 977}" + "x" * (i % 140) for i in range(30_000))
+ROWS = [(1, None), (2, ""), (3, "One"), (4, "Ein Wort, zwei"), (5, "é ü ß 中文 A-B_c"),
+        (None, "null id " * 10), (None, "null id " * 10), (7, "same text " * 12),
+        (7, "same text " * 12), (7, "other text " * 12), (8, LONG), (9, "z" * 70_000),
+        *[(i, f"doc {i} about things and more things " * 4) for i in range(20, 60)]]
+
+
+@pytest.mark.parametrize("window", [7, 1 << 20])
+def test_crc_of_runs(window):
+    crc = resample.Crc()
+    for _, text in ROWS:
+        n, features = runs(text)
+        found = list(resample.feature_buckets((text or "").encode(), crc, 10000, window)) if (
+            window > 7 or len(text or "") < 5000) else None
+        if found is None:
+            continue
+        assert sum(w for w, _ in found) == n
+        got = Counter(np.concatenate([b for _, b in found]).tolist()) if found else Counter()
+        assert got == Counter(zlib.crc32(f.encode()) % 10000 for f in features)
+
+
+@pytest.mark.parametrize("percent", [5, 37, 100])
+def test_edges(spark, percent):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string").withColumns(
+        {c: F.lit("x") for c in ("id", "rank", "row", "score", "o_id", "place", "part", "raw")})
+    target = spark.createDataFrame([("things and more",), (None,), ("",)], "text string")
+    out = resample.importance_draw(docs, target, percent=percent)
+    got = [tuple(r) for r in out.select("id", "n_words", "n_features", "weight", "score",
+                                        "rank").collect()]
+    want = brute(ROWS, ["things and more"], percent)
+    assert ordered(r[:5] for r in got) == ordered(r[:5] for r in want)
+    assert sorted(r[5] for r in got if r[5]) == sorted(r[5] for r in want if r[5])
+    # ranks follow score, then id; rows equal in both may swap
+    by_rank = sorted((r for r in got if r[5]), key=lambda r: r[5])
+    assert [(r[4], r[0]) for r in by_rank] == [
+        (r[4], r[0]) for r in sorted((r for r in want if r[5]), key=lambda r: r[5])]
+    sample = resample.importance_sample(docs, target, percent=percent)
+    assert sample.columns == docs.columns and sample.count() == len(by_rank)
+    none = resample.importance_draw(docs.limit(0), target)
+    assert none.collect() == []
+
+
+def test_bisection_with_a_hot_tie(spark):
+    """A third of all rows tied in score and id; the draw is exact and cuts through them."""
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-5)).otherwise(F.col("id")).cast("long").alias("a"),
+        F.lit(0).cast("long").alias("b"), F.col("id").alias("c"))
+    for k in (0, 1, 3001, 10000):
+        got = rows.where(resample.first_rows(rows, ["a", "b", "c"], k))
+        want = sorted((-5 if i % 3 == 0 else i, i) for i in range(9000))[:k]
+        assert sorted((r["a"], r["c"]) for r in got.collect()) == want

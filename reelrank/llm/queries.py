@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import (exact, license, lines, mixing, near, quality, resample, secrets, spm,
-                          tokenbin, warc)
+from reelrank.llm import (exact, license, lines, mixing, near, quality, resample, secrets,
+                          simhash, spm, tokenbin, warc)
 from reelrank.llm.common import documents
 from reelrank.session import scratch_path
 from reelrank.sources.tables import read_table
@@ -188,6 +188,13 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with fingerprint and component."""
+    out = simhash.simhash_components(documents(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), "fingerprint", "component_id",
+                      "component_size")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mix": op2_mix,
@@ -200,6 +207,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_resample": op11_resample,
+    "op12_simhash": op12_simhash,
 }
 ORACLES = {
     "op1_warc": OP1_SQL,

@@ -1,0 +1,120 @@
+"""SimHash components against brute force over all pairs."""
+
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from reelrank.llm import queries, simhash
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def brute_fingerprint(text):
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64)
+               if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(fps, ids):
+    fps = np.array(fps, np.uint64)
+    label = list(range(len(fps)))
+
+    def find(i):
+        while label[i] != i:
+            label[i] = i = label[label[i]]
+        return i
+
+    for i in range(len(fps)):
+        for j in np.flatnonzero(np.bitwise_count(fps[i + 1:] ^ fps[i]) <= 3) + i + 1:
+            label[find(int(j))] = find(i)
+    least = {}
+    for i, x in enumerate(ids):
+        if x is not None:
+            least[find(i)] = min(x, least.get(find(i), x))
+    return [least.get(find(i)) for i in range(len(fps))]
+
+
+def key(r):
+    return tuple((x is None, x or 0) if not isinstance(x, str) else (False, x) for x in r)
+
+
+def test_query(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    ids = [r[0] for r in rows]
+    fps = [brute_fingerprint(r[1]) for r in rows]
+    want = list(zip(ids, [f"{f:016x}" for f in fps], brute_components(fps, ids)))
+    got = [tuple(r)[:3] for r in queries.op12_simhash(spark, SF_DIR).collect()]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert sum(c != i for i, _, c in want) > 50
+
+
+TEXTS = [(1, None), (2, ""), (3, " \t\n"), (None, ""), (4, "One"), (5, "one"), (6, "A b"),
+         (7, "a b c d"), (8, "É é ß 中文 字"), (9, "x y z " * 5000), (9, "x y z " * 5000),
+         (10, "long" * 20_000 + " tail words here"), (None, "only a null id has this")]
+
+
+@pytest.mark.parametrize("window", [5, 1 << 20])
+def test_fingerprints(window):
+    for _, text in TEXTS:
+        assert simhash.fingerprint((text or "").encode(), window) == brute_fingerprint(text)
+
+
+def test_edges(spark):
+    docs = spark.createDataFrame(TEXTS, "doc_id long, text string").withColumns(
+        {c: F.lit(1) for c in ("id", "fp", "n", "comp", "least", "__hot", "path")})
+    got = [tuple(r)[:3] for r in simhash.simhash_components(docs).collect()]
+    fps = [brute_fingerprint(t) for _, t in TEXTS]
+    comps = brute_components(fps, [i for i, _ in TEXTS])
+    want = [(i, f"{f:016x}", c) for (i, _), f, c in zip(TEXTS, fps, comps)]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert simhash.simhash_components(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("most", [4, 40, 1000])
+def test_links_connect_what_is_near(spark, most):
+    """Chains, a dense ball and many fingerprints that agree in 40 bits, at several bounds."""
+    rng = np.random.default_rng(3)
+    far = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    walk = [int(far[0])]
+    for _ in range(300):  # each step changes up to 3 bits
+        walk.append(walk[-1] ^ int(np.bitwise_or.reduce(
+            np.uint64(1) << rng.integers(0, 64, rng.integers(1, 4), dtype=np.uint64))))
+    ball = [int(far[1]) ^ 1 << int(a) ^ 1 << int(b) for a, b in rng.integers(0, 64, (300, 2))]
+    shared = [(int(far[2]) & ~0xFFFFFF) | int(x) for x in rng.integers(0, 1 << 24, 400)]
+    fps = sorted({int(x) for x in far} | set(walk) | set(ball) | set(shared))
+    nodes = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp long")
+    parent = {f: f for f in fps}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for a, b in simhash.fingerprint_links(nodes, most).collect():
+        a, b = a % (1 << 64), b % (1 << 64)
+        parent[find(a)] = find(b)
+    comps = {}
+    for f in fps:
+        comps.setdefault(find(f), []).append(f)
+    got = {f: min(c) for c in comps.values() for f in c}
+    want = brute_components(fps, fps)
+    assert [got[f] for f in fps] == want
+
+
+def test_chain_of_every_pair_in_reach():
+    """Some segment of the ring passes for every difference of at most 3 bits, and only those."""
+    rng = np.random.default_rng(5)
+    for n in range(6):
+        diff = np.zeros(500, np.uint64)
+        for _ in range(n):
+            diff |= np.uint64(1) << rng.integers(0, 64, 500, dtype=np.uint64)
+        passed = np.zeros(500, bool)
+        for i in range(4):
+            passed[simhash.chain_passes(diff, np.full(500, i))] = True
+        assert (passed == (np.bitwise_count(diff) <= 3)).all()

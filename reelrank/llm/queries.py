@@ -7,19 +7,26 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import (exact, license, lines, mixing, near, quality, resample, secrets,
-                          simhash, spm, tokenbin, warc)
+from reelrank.llm import (align, exact, license, lines, mixing, near, quality, resample,
+                          secrets, simhash, spm, tokenbin, warc)
 from reelrank.llm.common import documents
 from reelrank.session import scratch_path
 from reelrank.sources.tables import read_table
 
-# Folder of the public tokenizer files; none of them is part of this repository.
-TOKENIZERS = os.environ.get("RECS_TOKENIZERS", "/opt/tokenizers")
 WORD_VOCABULARY, WORD_END = 49408, 2
 
 
 def tokenizer_file(name: str) -> str:
-    return os.path.join(TOKENIZERS, name)
+    """Place of a public tokenizer file; none of them is part of this repository.
+
+    ``RECS_TOKENIZERS`` names another folder for them.
+    """
+    folder = os.environ.get("RECS_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +202,13 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_size")
 
 
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents aligned under a byte-level BPE and a SentencePiece model."""
+    found = align.Alignment(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"),
+                            tokenizer_file("piece_bpe_32k.model"))
+    return found.documents().withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mix": op2_mix,
@@ -208,6 +222,7 @@ QUERIES = {
     "op10_sentencepiece": op10_sentencepiece,
     "op11_resample": op11_resample,
     "op12_simhash": op12_simhash,
+    "op13_align": op13_align,
 }
 ORACLES = {
     "op1_warc": OP1_SQL,

@@ -19,19 +19,16 @@ every B token of it, and an id pair counts in how many documents it is linked.
 So what moves is postings of a few bytes, never a row per link, and no task
 holds more than one chunk. A text of any length is one document of a chunk.
 
-Encoding runs over units, cut where a non-space is followed by one blank and a
-non-space: the byte-level pattern never joins those, nor has any piece text
-before a space sign. Each unit stands for a blank and its text, which is the
-blank that either tokenizer puts in front. Alignments of short units are
-remembered, up to a bound in bytes.
+Long texts are encoded in windows, cut where a non-space is followed by one
+blank and a non-space: the byte-level pattern never joins those, nor has any
+piece text before a space sign. A window stands for a blank and its text, which
+is the blank that either tokenizer puts in front.
 """
 
 from __future__ import annotations
 
 import hashlib
-import itertools
 import json
-import os
 import re
 import zlib
 from collections import Counter
@@ -52,11 +49,12 @@ SPACE = "▁"
 DOCUMENTS = 32_768  # of a chunk at most
 POSTINGS = 1 << 21  # of a chunk, after which no further document is added
 DENSE = 2047  # documents in a list of places; a full bitmap takes 4,096 bytes
-MEMORY_BYTES = 96 << 20  # of remembered units
-UNIT_CHARS = 48  # longer units are not remembered
-WINDOW = 1 << 20  # characters of a text that are cut into units at a time
+WINDOW = 1 << 20  # characters of a text that are encoded at a time
 ENUMERATED = 4096  # links of a group that are listed one by one
 CUT = re.compile(r"(?<=\S) (?=\S)")
+# Fixed value: the pattern that cuts texts of byte-level BPE models.
+PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"""
+           r"""|\s+(?!\S)|\s+""")
 _SHIFT = 32
 
 
@@ -67,92 +65,108 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class Unit:
-    """The alignment of a blank and a unit."""
-
-    __slots__ = ("groups", "pairs", "more", "n")
-
-    def __init__(self, groups: bytes, pairs: np.ndarray, more: list, n: tuple) -> None:
-        self.groups, self.pairs, self.more, self.n = groups, pairs, more, n
-
-
 class Aligner:
-    """Both tokenizers (a byte-level BPE as JSON, a SentencePiece model) and remembered units."""
+    """Both tokenizers: a byte-level BPE as JSON and a SentencePiece model."""
 
     def __init__(self, a_json: bytes, b_model: bytes) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(a_json.decode())
-        self.a.encode_special_tokens = True
-        vocabulary = json.loads(a_json)["model"]["vocab"]
+        spec = json.loads(a_json)
         letter = _byte_letters()
-        self.a_bytes = {i: bytes(map(letter.__getitem__, t)) for t, i in vocabulary.items()}
+        tokens = {bytes(map(letter.__getitem__, t)): i
+                  for t, i in spec["model"]["vocab"].items()}
+        self._encode_a, self._decode_a = _encoder(a_json, spec, tokens)
+        n_a = max(tokens.values()) + 1
+        self.a_size = np.zeros(n_a, np.int64)
+        for t, i in tokens.items():
+            self.a_size[i] = len(t)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i)
-                        else p.replace(SPACE, " ").encode()
-                        for i, p in enumerate(map(self.b.id_to_piece,
-                                                  range(self.b.get_piece_size())))]
-        if any(p.lstrip(b" ").count(b" ") for p in self.b_bytes):
+        n_b = self.b.get_piece_size()
+        names = list(map(self.b.id_to_piece, range(n_b)))
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i)
+                   else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
+        if any(p.lstrip(b" ").count(b" ") for p in b_bytes):
             raise ValueError("pieces that hold a blank after text are not supported")
-        self.memory: dict[str, Unit | None] = {}
-        self.used = 0
+        self.b_size = np.array(list(map(len, b_bytes)), np.int64)
+        # texts of ids within and at the end of a side of a group
+        self.n_a, self.n_b = n_a, n_b
+        self.printed = [f"{i}{sign}".encode() for n, signs in ((n_a, ",|"), (n_b, ",;"))
+                        for sign in signs for i in range(n)]
+
+    def align(self, text: str):
+        """(n_a, n_b, n_groups, printed groups, pairs, [(A ids, B ids) of large groups]).
 
-    def _unit(self, text: str, a_ids: list[int], b_ids: list[int]) -> Unit | None:
-        """None if the tokens of either side don't give back the blank and the unit."""
+        Of a blank and the text; None if either side's tokens don't give it back.
+        """
         raw = b" " + text.encode()
-        a_parts, b_parts = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
+        a, b = self._encode_a(" " + text), np.array(self.b.encode(text, num_threads=1), np.int64)
+        # pieces are parts of the text with blanks as space signs, so they give it back unless
+        # it has that sign itself, a piece is unknown or the lengths differ
+        if SPACE in text or (b == self.b.unk_id()).any() or self._decode_a(a) != raw:
+            return None
+        a = np.array(a, np.int64)
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        if b_end[-1] != len(raw):
             return None
-        a_ends = list(itertools.accumulate(map(len, a_parts)))
-        b_ends = list(itertools.accumulate(map(len, b_parts)))
-        groups, pairs, more = [], [], []
-        a_from = b_from = j = 0
-        last = len(b_ends) - 1
-        for i, end in enumerate(a_ends):
-            while j < last and b_ends[j] < end:
-                j += 1
-            if b_ends[j] != end:
-                continue
-            a, b = a_ids[a_from:i + 1], b_ids[b_from:j + 1]
-            a_from, b_from = i + 1, j + 1
-            groups.append(",".join(map(str, a)) + "|" + ",".join(map(str, b)))
-            if len(a) * len(b) <= ENUMERATED:
-                pairs += [x << _SHIFT | y for x in a for y in b]
-            else:
-                more.append((a, b))
-        n = (len(a_ids), len(b_ids), len(groups))
-        return Unit(";".join(groups).encode(), np.array(pairs, np.int64), more, n)
-
-    def units(self, texts: list[str]) -> list[Unit | None]:
-        """Alignments of the units, new ones encoded together."""
-        get = self.memory.get
-        new = {t for t in texts if get(t, 0) == 0}
-        if not new:
-            return list(map(self.memory.__getitem__, texts))
-        new = list(new)
-        fresh = {}
-        encoded = self.a.encode_batch_fast([" " + t for t in new], add_special_tokens=False)
-        for text, a, b in zip(new, encoded, self.b.encode(new, num_threads=1)):
-            fresh[text] = self._unit(text, a.ids, b)
-        out = [fresh[t] if t in fresh else self.memory[t] for t in texts]
-        for text, unit in fresh.items():
-            if len(text) <= UNIT_CHARS:
-                size = 500 + 4 * len(text) + (unit.pairs.nbytes + len(unit.groups) if unit else 0)
-                if self.used + size > MEMORY_BYTES:
-                    self.memory.clear()
-                    self.used = 0
-                self.used += size
-                self.memory[text] = unit
-        return out
-
-
-def _windows(text: str) -> Iterator[list[str]]:
+        at = np.searchsorted(b_end, a_end)
+        a_last = np.flatnonzero(b_end[at] == a_end)  # both sides end with the last byte
+        b_last = at[a_last]
+        a_first, b_first = (np.concatenate([[0], x[:-1] + 1]) for x in (a_last, b_last))
+        p, q = a_last - a_first + 1, b_last - b_first + 1
+        a_group, b_group = (np.repeat(np.arange(len(p)), x) for x in (p, q))
+        # a token is preceded by its own side's tokens and by the groups' other sides before
+        codes = np.empty(len(a) + len(b), np.int64)
+        code, other = a.copy(), 2 * self.n_a + b
+        code[a_last] += self.n_a
+        other[b_last] += self.n_b
+        codes[np.arange(len(a)) + b_first[a_group]] = code
+        codes[np.arange(len(b)) + a_last[b_group] + 1] = other
+        groups = b"".join(map(self.printed.__getitem__, codes.tolist()))[:-1]
+        large = p * q > ENUMERATED
+        times = np.where(large, 0, q)[a_group]  # links of each A token
+        before = np.cumsum(times) - times
+        partner = np.arange(times.sum()) + np.repeat(b_first[a_group] - before, times)
+        pairs = np.repeat(a << _SHIFT, times) | b[partner]
+        more = [(a[a_first[g]:a_last[g] + 1].tolist(), b[b_first[g]:b_last[g] + 1].tolist())
+                for g in np.flatnonzero(large)]
+        return len(a), len(b), len(p), groups, pairs, more
+
+
+def _encoder(a_json: bytes, spec: dict, tokens: dict[bytes, int]):
+    """Functions text -> ids and ids -> bytes of a byte-level BPE.
+
+    Where ids count up in the order of the merges and text is cut by the usual
+    pattern, tiktoken encodes by the file's vocabulary, several times as fast
+    as the tokenizers library, which is used for any other file.
+    """
+    model, cutter = spec["model"], spec.get("pre_tokenizer") or {}
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    letter = _byte_letters()
+    merged = [tokens.get(bytes(map(letter.get, "".join(m)))) for m in merges]
+    ranked = (merged == sorted(set(merged) - {None}) and len(tokens) == 256 + len(merges)
+              and cutter.get("type") == "ByteLevel" and cutter.get("use_regex")
+              and not cutter.get("add_prefix_space") and not spec.get("normalizer")
+              and not model.get("ignore_merges"))
+    if ranked:
+        import tiktoken
+
+        encoding = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=tokens,
+                                     special_tokens={})
+        return encoding.encode_ordinary, encoding.decode_bytes
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_str(a_json.decode())
+    library.encode_special_tokens = True
+    by_id = {i: t for t, i in tokens.items()}
+    return (lambda text: library.encode(text, add_special_tokens=False).ids,
+            lambda ids: b"".join(map(by_id.__getitem__, ids)))
+
+
+def _windows(text: str) -> Iterator[str]:
     start = 0
     while True:
         at = CUT.search(text, start + WINDOW) if len(text) - start > WINDOW else None
-        yield CUT.split(text[start:at.start()] if at else text[start:])
+        yield text[start:at.start()] if at else text[start:]
         if not at:
             return
         start = at.end()
@@ -175,21 +189,20 @@ def align_text(aligner: Aligner, text: str):
         return zero
     digest, counts, pairs, links = hashlib.sha256(), np.zeros(3, np.int64), [], []
     for window in _windows(text):
-        units = aligner.units(window)
-        if None in units:
+        found = aligner.align(window)
+        if found is None:
             return zero
         if counts[2]:
             digest.update(b";")
-        digest.update(b";".join([u.groups for u in units]))
-        counts += np.array([u.n for u in units], np.int64).sum(axis=0)
-        some, times = np.unique(np.concatenate([u.pairs for u in units]), return_counts=True)
+        digest.update(found[3])
+        counts += found[:3]
+        some, times = np.unique(found[4], return_counts=True)
         pairs.append(some)
         links.append(times)
-        for u in units:
-            for a, b in u.more:
-                for some, times in _weighted(a, b):
-                    pairs.append(some)
-                    links.append(times)
+        for a, b in found[5]:
+            for some, times in _weighted(a, b):
+                pairs.append(some)
+                links.append(times)
     if len(pairs) > 1:
         all_pairs, all_links = np.concatenate(pairs), np.concatenate(links)
         some, at = np.unique(all_pairs, return_inverse=True)

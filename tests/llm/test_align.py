@@ -109,9 +109,8 @@ TEXTS = [None, "", " ", "  ", "\n", " lead", "trail ", "a▁b", "▁", "same tex
 
 @pytest.mark.parametrize("small", [False, True])
 def test_edges(spark, libraries, monkeypatch, small):
-    if small:  # many chunks and windows, a memory that overflows, all groups weighted
-        for name, value in (("POSTINGS", 500), ("WINDOW", 50), ("MEMORY_BYTES", 20_000),
-                            ("ENUMERATED", 0)):
+    if small:  # many chunks and windows, all groups weighted
+        for name, value in (("POSTINGS", 500), ("WINDOW", 50), ("ENUMERATED", 0)):
             monkeypatch.setattr(align, name, value)
     rows = [(None if i == 3 else i // 2 if i < 20 else i, t) for i, t in enumerate(TEXTS)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
@@ -127,6 +126,23 @@ def test_edges(spark, libraries, monkeypatch, small):
         assert none.documents().collect() == [] and none.pairs().collect() == []
 
 
+def test_both_encoders(libraries):
+    """The library takes over for files that tiktoken can't stand in for."""
+    import json
+
+    with open(A, "rb") as f, open(B, "rb") as g:
+        spec, model = json.load(f), g.read()
+    fast = align.Aligner(json.dumps(spec).encode(), model)
+    spec["pre_tokenizer"]["trim_offsets"] = False
+    spec["model"]["merges"] = spec["model"]["merges"][:-1]
+    slow = align.Aligner(json.dumps(spec).encode(), model)
+    assert "tiktoken" in str(type(fast._encode_a.__self__))
+    assert not hasattr(slow._encode_a, "__self__")
+    for text in [t for t in TEXTS[1:] if t][-50:]:
+        assert fast._encode_a(text) == libraries[0].encode(text, add_special_tokens=False).ids
+        assert slow._decode_a(slow._encode_a(text)) == text.encode()
+
+
 def test_bitmaps():
     rng = np.random.default_rng(1)
     sets = [np.sort(rng.choice(align.DOCUMENTS, n, replace=False))

@@ -75,12 +75,13 @@ class Aligner:
         letter = _byte_letters()
         tokens = {bytes(map(letter.__getitem__, t)): i
                   for t, i in spec["model"]["vocab"].items()}
-        self._encode_a, self._decode_a = _encoder(a_json, spec, tokens)
+        self._encode_a = _encoder(a_json, spec, tokens)
         n_a = max(tokens.values()) + 1
         self.a_size = np.zeros(n_a, np.int64)
         for t, i in tokens.items():
             self.a_size[i] = len(t)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
+        self.b_unknown = self.b.unk_id()
         n_b = self.b.get_piece_size()
         names = list(map(self.b.id_to_piece, range(n_b)))
         b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i)
@@ -88,25 +89,26 @@ class Aligner:
         if any(p.lstrip(b" ").count(b" ") for p in b_bytes):
             raise ValueError("pieces that hold a blank after text are not supported")
         self.b_size = np.array(list(map(len, b_bytes)), np.int64)
-        # texts of ids within and at the end of a side of a group
+        # texts of ids within and at the end of a side of a group, as characters and a mask
         self.n_a, self.n_b = n_a, n_b
-        self.printed = [f"{i}{sign}".encode() for n, signs in ((n_a, ",|"), (n_b, ",;"))
-                        for sign in signs for i in range(n)]
+        printed = np.array([f"{i}{sign}".encode() for n, signs in ((n_a, ",|"), (n_b, ",;"))
+                            for sign in signs for i in range(n)])
+        self.printed = printed.view(np.uint8).reshape(len(printed), -1)
+        self.present = self.printed > 0
 
     def align(self, text: str):
         """(n_a, n_b, n_groups, printed groups, pairs, [(A ids, B ids) of large groups]).
 
         Of a blank and the text; None if either side's tokens don't give it back.
         """
-        raw = b" " + text.encode()
-        a, b = self._encode_a(" " + text), np.array(self.b.encode(text, num_threads=1), np.int64)
-        # pieces are parts of the text with blanks as space signs, so they give it back unless
-        # it has that sign itself, a piece is unknown or the lengths differ
-        if SPACE in text or (b == self.b.unk_id()).any() or self._decode_a(a) != raw:
-            return None
-        a = np.array(a, np.int64)
+        size = 1 + len(text.encode())
+        a, b = (np.array(ids, np.int64) for ids in (
+            self._encode_a(" " + text), self.b.encode(text, num_threads=1)))
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
-        if b_end[-1] != len(raw):
+        # tokens are parts of the text (pieces: with blanks as space signs), so they give it
+        # back unless it has that sign itself, a piece is unknown or the lengths differ
+        if SPACE in text or (b == self.b_unknown).any() or not (
+                a_end[-1] == b_end[-1] == size):
             return None
         at = np.searchsorted(b_end, a_end)
         a_last = np.flatnonzero(b_end[at] == a_end)  # both sides end with the last byte
@@ -121,7 +123,7 @@ class Aligner:
         other[b_last] += self.n_b
         codes[np.arange(len(a)) + b_first[a_group]] = code
         codes[np.arange(len(b)) + a_last[b_group] + 1] = other
-        groups = b"".join(map(self.printed.__getitem__, codes.tolist()))[:-1]
+        groups = self.printed[codes][self.present[codes]].tobytes()[:-1]
         large = p * q > ENUMERATED
         times = np.where(large, 0, q)[a_group]  # links of each A token
         before = np.cumsum(times) - times
@@ -133,7 +135,7 @@ class Aligner:
 
 
 def _encoder(a_json: bytes, spec: dict, tokens: dict[bytes, int]):
-    """Functions text -> ids and ids -> bytes of a byte-level BPE.
+    """Function from text to ids of a byte-level BPE.
 
     Where ids count up in the order of the merges and text is cut by the usual
     pattern, tiktoken encodes by the file's vocabulary, several times as fast
@@ -152,14 +154,12 @@ def _encoder(a_json: bytes, spec: dict, tokens: dict[bytes, int]):
 
         encoding = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=tokens,
                                      special_tokens={})
-        return encoding.encode_ordinary, encoding.decode_bytes
+        return encoding.encode_ordinary
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_str(a_json.decode())
     library.encode_special_tokens = True
-    by_id = {i: t for t, i in tokens.items()}
-    return (lambda text: library.encode(text, add_special_tokens=False).ids,
-            lambda ids: b"".join(map(by_id.__getitem__, ids)))
+    return lambda text: library.encode(text, add_special_tokens=False).ids
 
 
 def _windows(text: str) -> Iterator[str]:

@@ -140,7 +140,7 @@ def test_both_encoders(libraries):
     assert not hasattr(slow._encode_a, "__self__")
     for text in [t for t in TEXTS[1:] if t][-50:]:
         assert fast._encode_a(text) == libraries[0].encode(text, add_special_tokens=False).ids
-        assert slow._decode_a(slow._encode_a(text)) == text.encode()
+        assert slow.a_size[slow._encode_a(text)].sum() == len(text.encode())
 
 
 def test_bitmaps():

@@ -1,7 +1,8 @@
 """Helpers shared by the training-data operators.
 
-Every operator first selects its id and text columns under names of its own,
-so extra or clashing columns of the input never reach the plan's internals.
+Every operator first selects its id and text columns under names of its own;
+what else an input row has travels in one struct (``whole_row``), so extra or
+clashing columns never meet the plan's internals.
 """
 
 from __future__ import annotations
@@ -42,6 +43,31 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as the struct ``row``."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def unpacked(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, from the struct ``row`` of ``df``."""
+    return df.select(*columns_of_row(docs))
+
+
+def columns_of_row(docs: DataFrame) -> list[Column]:
+    return [F.col("row").getField(c).alias(c) for c in docs.columns]
+
+
+def one_of_each(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """One row for each value of ``keys``, whatever number of rows one value holds.
+
+    Places in a written table are compared with map-side combining; no value's
+    rows come together in a task.
+    """
+    placed = written(rows.withColumn("place_", F.monotonically_increasing_id()), name)
+    first = placed.groupBy(*keys).agg(F.min("place_").alias("place_")).select("place_")
+    return placed.join(first, "place_", "left_semi").drop("place_")
+
+
 def lower_ascii(col: Column) -> Column:
     """Lower-case A-Z and nothing else (``lower`` only where all is ASCII)."""
     ascii_only = F.octet_length(col) == F.char_length(col)

@@ -15,10 +15,11 @@ number of the largest groups and shuffles the rest.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import join_groups, lower_ascii, written
+from reelrank.llm.common import (join_groups, lower_ascii, one_of_each, unpacked, whole_row,
+                                 written)
 
 FIRST_BYTES = 64
 GROWTH = 8
@@ -76,31 +77,43 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     id stays. A null id is smaller than any other. Of rows that repeat both
     id and text exactly one is kept. An empty table gives an empty result.
     Digit sizes grow with the offset, so a text of any length takes
-    logarithmically many levels. Other input columns are ignored.
+    logarithmically many levels. Other input columns are ignored, whatever
+    their names.
     """
-    members = written(equal_classes(docs, id_col, text_col), "radix-classes")
-    classes = written(members.groupBy("level", "gid").agg(
-        F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "radix-keepers")
-    flags = join_groups(members, classes, ["level", "gid"], "group_size", "id")
-    flags = flags.groupBy(F.col("id").alias("f_id"), F.col("sha").alias("f_sha")).agg(
-        F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"),
-        F.count(F.lit(1)).alias("same"))
+    flags = _flags(docs, id_col, text_col)
     base = docs.select(F.col(id_col).alias("id"),
                        F.sha2(_normalised(F.col(text_col)), 256).alias("sha"))
     out = base.join(flags, F.col("id").eqNullSafe(F.col("f_id")) &
                     (F.col("sha") == F.col("f_sha")), "left")
+    stays = F.coalesce(F.col("id").eqNullSafe(F.col("keep_id")), F.lit(True))
     out = out.select(
-        "id", "sha", F.col("f_sha").isNotNull().alias("shared"),
-        F.when(F.col("f_sha").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        F.coalesce("same", F.lit(1).cast("long")).alias("same"))
-    single = out.where("same = 1").withColumn("nth", F.lit(1))
-    nth = F.row_number().over(Window.partitionBy("id", "sha").orderBy("group_size"))
-    repeated = out.where("same > 1").withColumn("nth", nth)
-    return single.unionByName(repeated).select(
-        F.col("id").alias("doc_id"), "keep_id", "group_size",
-        (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
-        F.col("sha").alias("text_sha256"))
+        "id", "sha", F.when(F.col("f_sha").isNull(), F.col("id")).otherwise(F.col("keep_id"))
+        .alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        F.coalesce("same", F.lit(1).cast("long")).alias("same"),
+        F.when(F.col("f_sha").isNull(), True).otherwise(stays).alias("stays"))
+    names = [F.col("id").alias("doc_id"), "keep_id", "group_size", F.col("stays").alias("kept"),
+             F.col("sha").alias("text_sha256")]
+    if flags.where("same > 1 and id_stays").isEmpty():
+        return out.select(*names)
+    # of rows that repeat id and text one stays
+    once, again = out.where("same = 1 or not stays"), out.where("same > 1 and stays")
+    again = written(again.withColumn("place", F.monotonically_increasing_id()), "radix-repeated")
+    first = again.groupBy("id", "sha").agg(F.min("place").alias("place")).select(
+        "place", F.lit(True).alias("first"))
+    again = again.join(first, "place", "left").withColumn("stays", F.col("first").isNotNull())
+    return once.select(*names).unionByName(again.select(*names))
+
+
+def _flags(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(f_id, f_sha, keep_id, group_size, same, id_stays) of texts that occur more than once."""
+    members = written(equal_classes(docs, id_col, text_col), "radix-classes")
+    classes = written(members.groupBy("level", "gid").agg(
+        F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "radix-keepers")
+    flags = join_groups(members, classes, ["level", "gid"], "group_size", "id")
+    return written(flags.groupBy(F.col("id").alias("f_id"), F.col("sha").alias("f_sha")).agg(
+        F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"),
+        F.count(F.lit(1)).alias("same"),
+        F.first(F.col("id").eqNullSafe(F.col("keep_id"))).alias("id_stays")), "radix-flags")
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id",
@@ -111,18 +124,14 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id",
     row pass without a join of their text: only ids and digests of classes
     with at least two rows are matched.
     """
-    members = written(equal_classes(docs, id_col, text_col), "radix-classes")
-    classes = written(members.groupBy("level", "gid").agg(
-        F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "radix-keepers")
-    flags = join_groups(members, classes, ["level", "gid"], "group_size", "id")
-    flags = flags.groupBy(F.col("id").alias("__f_id"), F.col("sha").alias("__f_sha")).agg(
-        F.first(F.col("id").eqNullSafe(F.col("keep_id"))).alias("__stays"),
-        F.count(F.lit(1)).alias("__same"))
-    tagged = docs.withColumn("__sha", F.sha2(_normalised(F.col(text_col)), 256))
-    tagged = tagged.join(flags, F.col(id_col).eqNullSafe(F.col("__f_id")) &
-                         (F.col("__sha") == F.col("__f_sha")), "left")
-    tagged = tagged.where("coalesce(__stays, true)")
-    once = tagged.where("coalesce(__same, 1) = 1")
-    nth = F.row_number().over(Window.partitionBy("__f_id", "__f_sha").orderBy(F.lit(1)))
-    again = tagged.where("__same > 1").withColumn("__nth", nth).where("__nth = 1").drop("__nth")
-    return once.unionByName(again).select(*docs.columns)
+    flags = _flags(docs, id_col, text_col).drop("keep_id", "group_size")
+    rows = docs.select(whole_row(docs), F.col(id_col).alias("id"),
+                       F.sha2(_normalised(F.col(text_col)), 256).alias("sha"))
+    rows = rows.join(flags, F.col("id").eqNullSafe(F.col("f_id")) &
+                     (F.col("sha") == F.col("f_sha")), "left")
+    rows = rows.where("coalesce(id_stays, true)")
+    if flags.where("same > 1 and id_stays").isEmpty():
+        return unpacked(rows, docs)
+    again = rows.where("same > 1").select("row", "id", "sha")
+    return unpacked(rows.where("coalesce(same, 1) = 1"), docs).unionByName(
+        unpacked(one_of_each(again, ["id", "sha"], "radix-repeated"), docs))

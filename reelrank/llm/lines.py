@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reelrank.llm.common import join_groups, ship, written
 
@@ -72,8 +73,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, removed, total = [], [], []
-        for text, starts in zip(batch.column("__text").to_pylist(),
-                                batch.column("__starts").to_pylist()):
+        for text, starts in zip(batch.column("text").to_pylist(),
+                                batch.column("starts").to_pylist()):
             total.append(0 if text is None else text.count("\n") + 1)
             if text is not None and starts:
                 text, n = without_windows(text, starts)
@@ -81,12 +82,9 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 removed.append(0)
             texts.append(text)
-        keep = [i for i, c in enumerate(batch.schema.names) if c not in ("__text", "__starts")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(i) for i in keep] + [pa.array(texts, pa.string()),
-                                               pa.array(total, pa.int64()),
-                                               pa.array(removed, pa.int64())],
-            names=[batch.schema.names[i] for i in keep] + ["__text", "__lines", "__removed"])
+            [batch.column("row"), pa.array(texts, pa.string()), pa.array(total, pa.int64()),
+             pa.array(removed, pa.int64())], names=["row", "text", "n_lines", "n_removed"])
 
 
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id",
@@ -117,20 +115,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null texts stay null (0 lines) and have no windows; rows with the same id
     and text are one document, so neither loses lines to the other; a null id
     sorts first. Lines are compared byte by byte through the hash, case and
-    inner white space included.
+    inner white space included. ``details`` takes the place of columns of these
+    names; others may have any name. An empty table gives an empty result.
     """
     starts = repeated_windows(docs, id_col, text_col).select(
-        F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("starts").alias("__starts"))
-    rows = docs.withColumn("__th0", F.xxhash64(F.col(text_col)))
-    rows = rows.join(starts, F.col(id_col).eqNullSafe(F.col("__id")) &
-                     (F.col("__th0") == F.col("__th")), "left")
-    rows = rows.drop("__id", "__th", "__th0")
+        F.col("id").alias("s_id"), F.col("th").alias("s_th"), "starts")
     rest = [c for c in docs.columns if c != text_col]
-    rows = rows.select(*rest, F.col(text_col).alias("__text"), "__starts")
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
-    schema = (kinds + ", " if kinds else "") + "__text string, __lines long, __removed long"
-    out = rows.mapInArrow(_clean, schema).withColumnRenamed("__text", text_col)
-    extra = [F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed")]
-    if not details:
-        return out.select(*docs.columns)
-    return out.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")], *extra)
+    row = F.struct(*rest) if rest else F.struct(F.lit(0).alias("none"))
+    rows = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       F.xxhash64(F.col(text_col)).alias("th"))
+    rows = rows.join(starts, F.col("id").eqNullSafe(F.col("s_id")) &
+                     (F.col("th") == F.col("s_th")), "left").select("row", "text", "starts")
+    schema = StructType([rows.schema["row"], *StructType.fromDDL(
+        "text string, n_lines long, n_removed long")])
+    out = rows.mapInArrow(_clean, schema)
+    extra = ["n_lines", "n_removed"] if details else []
+    return out.select(*[F.col("text").alias(c) if c == text_col
+                        else F.col("row").getField(c).alias(c)
+                        for c in docs.columns if c not in extra], *extra)

@@ -5,7 +5,8 @@ its documents is ``target rows of the source / rows of the source``. A
 document's number of copies is the quantile of that Poisson distribution at a
 uniform number hashed from (seed, id, text): the same document gets the same
 count in every run, on every partitioning and after every retry. Copies are
-then dealt to random partitions and random places within them.
+then dealt to random partitions and random places within them; the rates are
+all that is shipped to the rows.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import join_groups, written
+from reelrank.llm.common import columns_of_row, join_groups, unpacked, whole_row, written
 
 
 def uniform(seed: int, *cols: Column) -> Column:
@@ -23,21 +24,25 @@ def uniform(seed: int, *cols: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def poisson_cdf(rate: Column) -> Column:
-    """P(X <= 0), P(X <= 1), ... up to a tail below the 52 bits of ``uniform``.
+def poisson_quantile(rate: Column, u: Column) -> Column:
+    """Number of k with P(X <= k) <= u: the Poisson quantile of ``rate`` at ``u``.
 
-    The terms are kept as logarithms, so large rates do not underflow.
+    The terms are kept as logarithms, so large rates do not underflow. The
+    search runs up to a tail below the 52 bits of ``uniform``: steps in
+    proportion to the copies that the row gets on average.
     """
     top = F.ceil(rate + 12 * F.sqrt(rate) + 20).cast("int")
     log_rate = F.ln(F.greatest(rate, F.lit(1e-300)))
-    start = F.struct((-rate).alias("lp"), F.array(F.exp(-rate)).alias("cdf"))
+    start = F.struct((-rate).alias("lp"), F.exp(-rate).alias("cdf"),
+                     (F.exp(-rate) <= u).cast("int").alias("n"))
 
     def step(acc, k):
         lp = acc["lp"] + log_rate - F.ln(k.cast("double"))
-        last = F.element_at(acc["cdf"], -1)
-        return F.struct(lp.alias("lp"), F.concat(acc["cdf"], F.array(last + F.exp(lp))).alias("cdf"))
+        cdf = acc["cdf"] + F.exp(lp)
+        return F.struct(lp.alias("lp"), cdf.alias("cdf"),
+                        (acc["n"] + (cdf <= u).cast("int")).alias("n"))
 
-    return F.aggregate(F.sequence(F.lit(1), top), start, step, lambda acc: acc["cdf"])
+    return F.aggregate(F.sequence(F.lit(1), top), start, step, lambda acc: acc["n"])
 
 
 def source_rates(docs: DataFrame, source_col: str = "source", weights: dict | None = None,
@@ -73,26 +78,29 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with each row repeated by its Poisson count, globally shuffled.
 
     Rows with count 0 leave; ``details=True`` adds rate, n_copies, copy (from
-    0) and shuffle_key. Rows that repeat id and text get the same count each.
-    A null id or text hashes as the empty string; a null source is a source
-    of its own. An empty table gives an empty result.
+    0) and shuffle_key in place of columns of these names. Rows that repeat id
+    and text get the same count each, but places of their own. A null id or
+    text hashes as the empty string; a null source is a source of its own. An
+    empty table gives an empty result. Whole texts of any length are hashed;
+    other columns may have any name.
     """
-    rates = written(source_rates(docs, source_col, weights, temperature, total)
-                    .withColumn("cdf", poisson_cdf(F.col("rate")))
-                    .select(F.col("source").alias("__src"), F.col("n_rows").alias("__n"),
-                            F.col("rate").alias("__rate"), F.col("cdf").alias("__cdf")), "rates")
-    drawn = docs.withColumn("__src", F.col(source_col)).withColumn(
-        "__u", uniform(seed, F.col(id_col), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    drawn = join_groups(drawn, rates, ["__src"], "__n", "__u", few=True)
-    below = F.filter("__cdf", lambda p: p <= F.col("__u"))
-    drawn = drawn.withColumn("__copies", F.size(below)).where("__copies > 0")
-    drawn = drawn.drop("__cdf", "__src", "__n")
-    copies = drawn.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)))
-    copies = copies.withColumn("__key", F.xxhash64(F.lit(seed), "__u", "__copy"))
-    dealt = copies.repartition(F.col("__key")).sortWithinPartitions("__key")
-    extra = [F.col("__rate").alias("rate"), F.col("__copies").cast("long").alias("n_copies"),
-             F.col("__copy").cast("long").alias("copy"), F.col("__key").alias("shuffle_key")]
+    rates = written(source_rates(docs, source_col, weights, temperature, total).select(
+        F.col("source").alias("src"), F.col("n_rows").alias("n"), "rate"), "rates")
+    # ``place`` sets apart rows that repeat id and text, for the deal only
+    drawn = docs.select(
+        whole_row(docs), F.col(source_col).alias("src"), F.monotonically_increasing_id()
+        .alias("place"), uniform(seed, F.col(id_col), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+        .alias("u"))
+    drawn = join_groups(drawn, rates, ["src"], "n", "u", few=True)
+    drawn = drawn.withColumn("copies", poisson_quantile(F.col("rate"), F.col("u"))).where(
+        "copies > 0")
+    copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    copies = copies.withColumn("key", F.xxhash64(F.lit(seed), "u", "copy", "place"))
+    dealt = copies.repartition(F.col("key")).sortWithinPartitions("key")
     if not details:
-        return dealt.select(*docs.columns)
+        return unpacked(dealt, docs)
+    extra = [F.col("rate"), F.col("copies").cast("long").alias("n_copies"),
+             F.col("copy").cast("long").alias("copy"), F.col("key").alias("shuffle_key")]
     named = ("rate", "n_copies", "copy", "shuffle_key")
-    return dealt.select(*[c for c in docs.columns if c not in named], *extra)
+    return dealt.select(*[c for c, name in zip(columns_of_row(docs), docs.columns)
+                          if name not in named], *extra)

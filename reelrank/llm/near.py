@@ -31,10 +31,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import join_groups, map_texts, ship, words_of, written
+from reelrank.llm.common import (join_groups, map_texts, one_of_each, ship, unpacked, whole_row,
+                                 words_of, written)
 
 ship(__name__)
 
@@ -423,22 +424,24 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each class: the one with the least id."""
+    """``docs`` with one row of each class: the one with the least id.
+
+    Of rows that repeat id and text one stays. All columns are kept as they
+    are, whatever their names; see ``near_classes`` for the other cases.
+    """
     found = near_classes(docs, id_col, text_col)
     gone = found.where("not (row <=> class_row)").select(
-        F.col("row.id").alias("__id"), F.col("row.th").alias("__th")).distinct()
+        F.col("row.id").alias("g_id"), F.col("row.th").alias("g_th")).distinct()
     many = found.where("row <=> class_row").groupBy("row").agg(
         F.count(F.lit(1)).alias("n")).where("n > 1")
-    th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    tagged = docs.withColumn("__th0", th)
-    left = tagged.join(gone, F.col(id_col).eqNullSafe(F.col("__id")) &
-                       (F.col("__th0") == F.col("__th")), "left_anti")
-    many = written(many.select(F.col("row.id").alias("__id"), F.col("row.th").alias("__th")),
+    many = written(many.select(F.col("row.id").alias("g_id"), F.col("row.th").alias("g_th")),
                    "near-repeated")
+    rows = docs.select(whole_row(docs), F.col(id_col).alias("id"),
+                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"))
+    match = F.col("id").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th"))
+    left = rows.join(gone, match, "left_anti")
     if many.isEmpty():
-        return left.select(*docs.columns)
-    match = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__th0") == F.col("__th"))
-    once = left.join(many, match, "left_anti")
-    nth = F.row_number().over(Window.partitionBy("__id", "__th").orderBy(F.lit(1)))
-    again = left.join(many, match).withColumn("__nth", nth).where("__nth = 1")
-    return once.select(*docs.columns).unionByName(again.select(*docs.columns))
+        return unpacked(left, docs)
+    again = left.join(many, match, "left_semi")
+    return unpacked(left.join(many, match, "left_anti"), docs).unionByName(
+        unpacked(one_of_each(again, ["id", "th"], "near-repeated-rows"), docs))

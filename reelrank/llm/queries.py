@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.llm import (align, exact, license, lines, mixing, near, quality, resample,
@@ -37,20 +37,21 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     path = scratch_path(spark, "op1-archives")
     warc.write_warc(warc.page_records(read_table(spark, sf_dir, "pages")), path)
-    page = F.expr("cast(substring(record_id, length('urn:page:') + 1) as bigint)")
+    def page(name: str) -> Column:  # null for a page without id
+        return F.regexp_extract(name, "^urn:page:(-?[0-9]+)$", 1).try_cast("long")
+
     full = warc.read_warc(spark, path, ["warc_type", "record_id", "payload"])
     full = full.where("warc_type = 'response'").select(
-        page.alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+        page("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha2("payload", 256).alias("payload_digest"),
         F.col("warc_type").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
     again = warc.read_warc(spark, path, ["warc_type", "record_id", "refers_to", "payload_digest",
                                          "payload_length"])
     again = again.where("warc_type = 'revisit'").select(
-        page.alias("page_id"), F.col("payload_length").alias("payload_bytes"),
+        page("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"),
         F.expr("substring(payload_digest, length('sha256:') + 1)").alias("payload_digest"),
         F.col("warc_type").alias("record_type"),
-        F.expr("cast(substring(refers_to, length('urn:page:') + 1) as bigint)")
-        .alias("refers_to"))
+        page("refers_to").alias("refers_to"))
     return full.unionByName(again)
 
 

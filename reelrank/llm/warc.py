@@ -382,8 +382,9 @@ def page_records(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url"
     Of rows with equal payloads of at least ``least`` bytes the one with the
     smallest id is the response (several if they repeat that id), the others
     revisit it. A null body is an empty payload; rows with a null id are
-    responses that nothing refers to; a null URI is left out of the headers.
-    Equality goes by SHA-256. Only digests and ids are grouped; the payload
+    responses that nothing refers to, named by digest and place; a null URI is
+    left out of the headers. Equality goes by SHA-256. An empty table gives no
+    records; payloads of any length are one record each. Only digests and ids are grouped; the payload
     moves at most once, and a hot payload is never gathered in one place.
     """
     base = pages.select(F.col(id_col).alias("id"), F.col(uri_col).alias("target_uri"),
@@ -396,7 +397,9 @@ def page_records(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url"
     rows = join_groups(base, groups, ["sha"], "n", "id")
     again = F.coalesce((F.col("id") != F.col("first")), F.lit(False))
     named = F.when(F.col("id").isNotNull(), F.concat(F.lit("urn:page:"), F.col("id").cast("string")))
-    unnamed = F.concat(F.lit("urn:page-sha256:"), "sha")
+    # a number that no other record of this table gets: pages without id may repeat a payload
+    unnamed = F.concat(F.lit("urn:page-sha256:"), "sha", F.lit(":"),
+                       F.monotonically_increasing_id().cast("string"))
     return rows.select(
         F.when(again, "revisit").otherwise("response").alias("warc_type"),
         F.coalesce(named, unnamed).alias("record_id"), "target_uri",

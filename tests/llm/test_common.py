@@ -1,0 +1,98 @@
+"""Hot keys and repeated rows in the shared helpers and the operators that use them."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from reelrank.llm import exact, mixing, near, queries
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_every_row_meets_its_group_among_equal_weights(spark, few):
+    """Thousands of groups of two, which each read of the groups gets in another order."""
+    import pyarrow as pa
+
+    from reelrank.llm.common import join_groups
+
+    def shuffled(batches):
+        table = pa.Table.from_batches(batches)
+        order = list(range(table.num_rows))
+        random.SystemRandom().shuffle(order)
+        yield from table.take(order).to_batches()
+
+    groups = spark.range(4000, numPartitions=8).select(
+        F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit(2).cast("long").alias("n"),
+        (F.col("id") * 3).alias("value"))
+    groups = groups.mapInArrow(shuffled, groups.schema)
+    data = spark.range(8000).select(
+        "id", F.when(F.col("id") % 4000 > 0, F.col("id") % 4000).alias("k"))
+    out = join_groups(data, groups, ["k"], "n", "id", hot=300, few=few).collect()
+    assert len(out) == 8000
+    assert [r for r in out if r.value != (r.k or 0) * 3 or r.n != 2] == []
+
+
+def test_hot_row_is_dealt_evenly(spark):
+    """A third of all rows repeat id and text: their copies spread like any others."""
+    docs = spark.range(6000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("t"), "id")).otherwise(F.lit("dup"))
+        .alias("text"), F.lit("s").alias("source"))
+    for seed in (3, 17):
+        out = mixing.mix_sources(docs, seed=seed, total=30_000)
+        n = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count(F.lit(1)).alias("n")).collect()]
+        assert max(n) < 1.4 * np.median(n)
+
+
+def test_large_rates(spark):
+    rows = [(rate, (i + 0.5) / 8) for rate in (1e-3, 1.0, 1e3, 3e5) for i in range(8)]
+    df = spark.createDataFrame(rows, "rate double, u double")
+    got = df.select("rate", "u", mixing.poisson_quantile(F.col("rate"), F.col("u")).alias("k"))
+    for rate, u, k in got.collect():
+        if rate >= 1e3:  # close to normal with a small skew
+            from statistics import NormalDist
+            z = NormalDist().inv_cdf(u)
+            assert abs(k - (rate + z * rate ** 0.5 + (z * z - 1) / 6)) < 2
+        else:
+            p, cdf, n = np.exp(-rate), np.exp(-rate), 0
+            while cdf <= u:
+                n += 1
+                p *= rate / n
+                cdf += p
+            assert k == n
+
+
+def test_repeated_rows(spark):
+    """A third of all rows repeat id and text: one of them stays."""
+    rows = [(None, "dup text")] * 40 + [(7, "Dup Text")] * 3 + [(i, f"text {i}") for i in
+                                                                range(10, 40)]
+    random.Random(1).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = exact.exact_duplicates(docs).collect()
+    assert len(out) == len(rows) and sum(r["kept"] for r in out) == 31
+    assert {(r["keep_id"], r["group_size"]) for r in out if r["doc_id"] in (None, 7)} == {(7, 43)}
+    for drop in (exact.drop_exact_duplicates, near.drop_near_duplicates):
+        left = sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in drop(docs).collect())
+        assert len(left) == 31 and left[1:] == list(range(10, 40))
+        assert left[0] == (7 if drop is exact.drop_exact_duplicates else -1)
+
+
+def test_warc_query_on_odd_pages(spark, tmp_path):
+    body = "x" * 200
+    rows = [(None, "u", body), (None, None, body), (None, "u", None), (5, "u", body),
+            (3, None, body), (4, "u", None), (-2, "u", "short"), (6, "u", "short"),
+            (3, "again", body)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn(
+        "record_id", F.lit("clash")).withColumn("__hot", F.lit(1))
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted((tuple(r) for r in queries.op1_warc(spark, str(tmp_path)).collect()), key=str)
+    import hashlib
+    want = []
+    for page, _, html in rows:
+        raw = (html or "").encode()
+        again = html == body and page is not None and page > 3
+        want.append((page, len(raw), hashlib.sha256(raw).hexdigest(),
+                     "revisit" if again else "response", 3 if again else None))
+    assert got == sorted(want, key=str)

@@ -18,7 +18,9 @@ from reelrank.session import scratch_path
 
 # Columns that have the names of internal ones.
 CLASH = ["id", "n", "rest", "digit", "gid", "node", "key", "keys", "size", "rate", "copies",
-         "copy", "th", "place", "starts", "pool", "failed", "x0", "found", "base", "kept", "row"]
+         "copy", "th", "place", "starts", "pool", "failed", "x0", "found", "base", "kept", "row",
+         "__u", "__copy", "__key", "__src", "__rate", "__id", "__th", "__th0", "__sha", "__same",
+         "__f_id", "__text", "__lines", "__starts", "__hot", "__s", "place_", "src", "u"]
 SCHEMA = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
      T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
@@ -101,8 +103,8 @@ def test_poisson_quantile(spark):
     u = [0.0, 0.1, 0.5, 0.9, 0.999999, 1 - 2**-52]
     for rate in (0.0, 0.3, 5.0, 900.0):
         frame = spark.createDataFrame([(rate, x) for x in u], "rate double, u double")
-        got = {r["u"]: r["k"] for r in frame.select("u", F.size(F.filter(
-            mixing.poisson_cdf(F.col("rate")), lambda p: p <= F.col("u"))).alias("k")).collect()}
+        got = {r["u"]: r["k"] for r in frame.select("u", mixing.poisson_quantile(
+            F.col("rate"), F.col("u")).alias("k")).collect()}
         k = np.arange(0, 2000)
         logs = np.concatenate([[0], np.cumsum(np.log(np.arange(1, 2000)))])
         cdf = np.cumsum(np.exp(-rate + k * np.log(max(rate, 1e-300)) - logs))

@@ -71,29 +71,3 @@ def test_hot_term_in_portions_gives_the_same_candidates(spark):
     want = {(bytes(r.pa), bytes(r.pb)) for r in plain.collect()}
     assert want == {(bytes(r.pa), bytes(r.pb)) for r in dealt.collect()}
     assert len(want) >= 100 * 99 // 2 and all(a < b for a, b in want)
-
-
-@pytest.mark.parametrize("few", [False, True])
-def test_every_row_meets_its_group_among_equal_weights(spark, few):
-    """Thousands of groups of two, which each read of the groups gets in another order."""
-    import random
-
-    import pyarrow as pa
-
-    from reelrank.llm.common import join_groups
-
-    def shuffled(batches):
-        table = pa.Table.from_batches(batches)
-        order = list(range(table.num_rows))
-        random.SystemRandom().shuffle(order)
-        yield from table.take(order).to_batches()
-
-    groups = spark.range(4000, numPartitions=8).select(
-        F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit(2).cast("long").alias("n"),
-        (F.col("id") * 3).alias("value"))
-    groups = groups.mapInArrow(shuffled, groups.schema)
-    data = spark.range(8000).select(
-        "id", F.when(F.col("id") % 4000 > 0, F.col("id") % 4000).alias("k"))
-    out = join_groups(data, groups, ["k"], "n", "id", hot=300, few=few).collect()
-    assert len(out) == 8000
-    assert [r for r in out if r.value != (r.k or 0) * 3 or r.n != 2] == []

@@ -166,14 +166,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
     """(start, end, length class, bin of -log10 p) of the runs outside the base spans."""
-    out = []
+    out, at, reach = [], 0, 0
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
-        if any(s < end and start < e for s, _, e in base):
+        # both lists go by their starts: reach is how far the spans that start before go
+        while at < len(base) and base[at][0] < end:
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach > start:
             continue
         p = judge(m[0])
-        at = min(TOP_BIN, int(-math.log10(max(p, 1e-300)) * BINS_A_DECADE))
-        out.append((start, end, length_class(end - start), at))
+        bin_ = min(TOP_BIN, int(-math.log10(max(p, 1e-300)) * BINS_A_DECADE))
+        out.append((start, end, length_class(end - start), bin_))
     return out
 
 

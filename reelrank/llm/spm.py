@@ -42,17 +42,25 @@ STRETCHES_KEPT, UNITS_KEPT, PAIRS_KEPT = 600_000, 500_000, 1_000_000
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
 
 
+KEY_CHARS = 64  # of a remembered key
+
+
 class _Memory(dict):
-    """What ``make`` gives for a key, remembered for up to ``most`` keys at a time."""
+    """What ``make`` gives for a key, remembered for up to ``most`` keys at a time.
+
+    Long keys are made anew each time, which bounds the bytes as well.
+    """
 
     def __init__(self, make, most: int) -> None:
         super().__init__()
         self.make, self.most = make, most
 
     def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        got = self[key] = self.make(key)
+        got = self.make(key)
+        if isinstance(key, int) or len(key) <= KEY_CHARS:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = got
         return got
 
 

@@ -96,3 +96,36 @@ def test_warc_query_on_odd_pages(spark, tmp_path):
         want.append((page, len(raw), hashlib.sha256(raw).hexdigest(),
                      "revisit" if again else "response", 3 if again else None))
     assert got == sorted(want, key=str)
+
+
+def test_long_key_dump_is_linear():
+    """Candidates beside many base spans: one pass over both lists, same result as all pairs."""
+    import time
+
+    from reelrank.llm import secrets
+
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    parts = []
+    for _ in range(300):
+        parts += ["token=" + "".join(rng.choices(letters, k=24)),
+                  "".join(rng.choices(letters, k=32)), "".join(rng.choices("0123456789abcdef", k=40))]
+    text = "\n".join(parts)
+    base = secrets.base_spans(text)
+    got = secrets.candidates(text, base)
+    want = [m.span() for m in secrets.CANDIDATE.finditer(text)
+            if not any(s < m.end() and m.start() < e for s, _, e in base)]
+    assert [g[:2] for g in got] == want and want
+    many = (text + "\n") * 40
+    began = time.process_time()
+    secrets.candidates(many, secrets.base_spans(many))
+    assert time.process_time() - began < 60
+
+
+def test_long_words_are_not_remembered():
+    from reelrank.llm import spm, tokenbin
+
+    for kind in (spm._Memory, tokenbin._Memory):
+        memory = kind(len, 3)
+        assert [memory["x" * n] for n in (1, 64, 65, 10_000)] == [1, 64, 65, 10_000]
+        assert sorted(map(len, memory)) == [1, 64]

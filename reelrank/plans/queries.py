@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reelrank.operators import genres as genres_op
 from reelrank.functions import recs as recs_codec
-from reelrank.operators import als, rerank, similarity, stats, tfidf
+from reelrank.operators import als, products, rerank, similarity, stats, tfidf
 from reelrank.operators.topk import explode_recs
 from reelrank.plans.sql import values_list, with_bindings
 from reelrank.session import checkpoint_once, materialize_table, scratch_path
@@ -347,6 +347,25 @@ def q_cosine_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("id").alias("vec_id"), "sim_id", _r("sim"))
 
 
+@register("product_topk", (
+    "with u as (select vec_id, cast(embedding as double[]) as x from embeddings),"
+    " i as (select vec_id, list_transform(x, lambda v: v * ((vec_id % 10 + 1) / 10.0)) as y from u),"
+    " p as (select u.vec_id, i.vec_id as item_id, list_dot_product(u.x, i.y) as score from u, i),"
+    " r as (select vec_id, item_id, score, row_number() over (partition by vec_id"
+    f"       order by round(score, {ROUND}) desc, item_id) as rk from p)"
+    f" select vec_id, rk, item_id, round(score, {ROUND}) as score from r where rk <= 20"))
+def q_product_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty largest inner products per embedding with items of ten lengths (exact, norm order)."""
+    users = tables.embeddings(spark, sf_dir)
+    longer = (F.col("vec_id") % 10 + 1) / F.lit(10.0)
+    items = users.select("vec_id", F.transform(
+        "embedding", lambda v: v.cast("double") * longer).alias("embedding"))
+    best = products.largest_products(users, items, 20, "vec_id", "embedding", "vec_id",
+                                     "embedding", first_rows=128)
+    return best.select(F.col("user").alias("vec_id"), _rk(), F.col("item").alias("item_id"),
+                       _r("score"))
+
+
 # ---- collaborative filtering (ALS) ----------------------------------------
 
 ALS_SEED = 42
@@ -404,9 +423,9 @@ def q_als_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("als_item_sim", with_bindings(
     " select distinct mid, true as no_self, true as above_threshold, true as mirrored,"
-    " true as is_factor_cosine from R"))
+    " true as is_factor_cosine, true as complete from R"))
 def q_als_item_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item pairs above 0.6: both directions, no self pair, cosine against the factors."""
+    """Item pairs above 0.6: both directions, no self pair, cosine against the factors, none lost."""
     model = als.fit_als(_rating_table(spark, sf_dir), seed=ALS_SEED)
     sims = checkpoint_once(als.item_similarity(model))
     return als.check_item_similarity(model, sims)

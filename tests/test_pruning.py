@@ -1,0 +1,101 @@
+"""Angle-pruned cosine blocks and norm-ordered products against brute force."""
+
+import numpy as np
+import pytest
+
+from reelrank.operators import als, products, similarity
+
+
+def frame(spark, vecs, name="features"):
+    return spark.createDataFrame([(i, None if v is None else [float(x) for x in v])
+                                  for i, v in enumerate(vecs)], f"id long, {name} array<double>")
+
+
+def clustered(rng, n, spread):
+    centres = rng.normal(size=(12, 16))
+    return centres[rng.integers(0, 12, n)] + spread * rng.normal(size=(n, 16))
+
+
+@pytest.mark.parametrize("kind", ["clustered", "random", "odd"])
+def test_pruned_pairs(spark, kind, monkeypatch):
+    rng = np.random.default_rng(2)
+    vecs = {"clustered": lambda: clustered(rng, 400, 0.1),
+            "random": lambda: rng.normal(size=(300, 16)),
+            "odd": lambda: np.concatenate([np.zeros((3, 16)), np.ones((150, 16)),
+                                           -np.ones((20, 16)), rng.normal(size=(60, 16))])}[kind]()
+    vecs = [None, *vecs] if kind == "odd" else list(vecs)  # the first vector is null
+    monkeypatch.setattr(similarity, "PIVOT_ROWS", 20)
+    monkeypatch.setattr(similarity, "BLOCK_BYTES", 8 * 16 * 40)  # hot clusters in several blocks
+    df = frame(spark, vecs)
+    got = {(r.id, r.sim_id): r.sim for r in
+           similarity.cosine_pairs(df, "id", "features", threshold=0.6).collect()}
+    kept = [(i, np.asarray(v) / np.linalg.norm(v)) for i, v in enumerate(vecs)
+            if v is not None and np.linalg.norm(v)]
+    sims = np.array([v for _, v in kept]) @ np.array([v for _, v in kept]).T
+    want = {(a, b): sims[x, y] for x, (a, _) in enumerate(kept) for y, (b, _) in enumerate(kept)
+            if a != b and sims[x, y] > 0.6}
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    plain = similarity.cosine_pairs(df, "id", "features", threshold=0.6, prune=False)
+    assert plain.count() == len(want)
+    blocks = similarity.DirectionalBlocks(similarity.unit_vectors(df, "id", "features"), len(vecs),
+                                          16, 0.6, pivot_rows=20)
+    assert blocks.products <= blocks.all_products
+    if kind == "clustered":
+        assert blocks.products < 0.4 * blocks.all_products
+    assert similarity.cosine_pairs(df.limit(0), "id", "features", threshold=0.6).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["falling", "equal", "ties"])
+def test_largest_products(spark, kind):
+    rng = np.random.default_rng(4)
+    users = rng.normal(size=(70, 8))
+    items = rng.normal(size=(300, 8))
+    if kind == "falling":
+        items *= (0.97 ** np.arange(300))[:, None]
+    if kind == "ties":
+        items = np.repeat(items[:30], 10, axis=0)  # every score ten times
+        users[5] = 0
+    best = products.largest_products(frame(spark, users), frame(spark, [*items, None]), 7,
+                                     first_rows=16, block_bytes=8 * 8 * 64).collect()
+    scores = users @ items.T
+    got = {}
+    for r in sorted(best, key=lambda r: (r.user, r.rk)):
+        got.setdefault(r.user, []).append((r.item, r.score))
+    for u in range(len(users)):
+        order = sorted(range(300), key=lambda i: (-round(scores[u, i], 6), i))[:7]
+        assert [i for i, _ in got[u]] == order
+        assert all(abs(s - scores[u, i]) < 1e-9 for i, s in got[u])
+    made = sum({r.user: r.products for r in best}.values())
+    assert made <= 70 * 300 and (kind != "falling" or made < 0.5 * 70 * 300)
+    none = frame(spark, items).limit(0)
+    assert products.largest_products(frame(spark, users), none, 7).collect() == []
+    assert products.largest_products(none, frame(spark, items), 7).collect() == []
+
+
+def test_top_items_of_a_model(spark):
+    data = [(u, m, float(1 + (u * m) % 5)) for u in range(1, 31) for m in range(1, 41)
+            if (u + m) % 3]
+    model = als.fit_als(spark.createDataFrame(data, "uid long, mid long, score double"), rank=4,
+                        max_iter=4, seed=1)
+    want = {(r.uid, r.rk): r.score for r in als.user_recommendations(model, 5).collect()}
+    got = {(r.uid, r.rk): r.score for r in als.top_items(model, 5).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], rel=1e-5) for k in want)
+
+
+def test_lost_pairs_show(spark):
+    """A similarity table that lacks pairs, in both directions or all, turns the check red."""
+    data = [(u, m, float(1 + (u * m) % 5)) for u in range(1, 21) for m in range(1, 16)
+            if (u + m) % 3]
+    model = als.fit_als(spark.createDataFrame(data, "uid long, mid long, score double"), rank=3,
+                        max_iter=4, seed=1)
+    sims = als.item_similarity(model)
+    good = als.check_item_similarity(model, sims).collect()
+    assert all(all(r) for r in good) and sims.count() > 0
+    a, b = sims.select("mid", "sim_mid").first()
+    pair = f"(mid = {a} and sim_mid = {b}) or (mid = {b} and sim_mid = {a})"
+    bad = {r.mid for r in als.check_item_similarity(model, sims.where(f"not ({pair})")).collect()
+           if not r.complete}
+    assert bad == {a, b}
+    none = als.check_item_similarity(model, sims.limit(0)).collect()
+    assert any(not r.complete for r in none)

@@ -20,6 +20,7 @@ from reelrank.plans.sql import values_list, with_bindings
 from reelrank.session import checkpoint_once, materialize_table, scratch_path
 from reelrank.functions.dates import epoch_seconds
 from reelrank.sources import sinks, tables, text
+from reelrank.streaming import commits, log, recent
 from reelrank.streaming import job as stream_job
 from reelrank.streaming import source as stream_source
 
@@ -489,3 +490,69 @@ def q_stream_recs_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     query.awaitTermination()
     flat = explode_recs(spark.read.parquet(out), ["uid"])
     return flat.select("uid", "mid", _r("score"))
+
+
+# ---- positioned log, keyed state, committed sink ---------------------------
+
+LOG_PARTITIONS = 4
+
+
+@register("stream_ratings_log", with_bindings(
+    "select uid, mid, score, cast(epoch(ts) as bigint) as timestamp,"
+    " (select count(*) from R) as n_positions from R"))
+def q_stream_ratings_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings appended to a message log, streamed with their positions into a committed table."""
+    path, out, ckpt = (scratch_path(spark, f"ratings-log{x}") for x in ("", "-out", "-ckpt"))
+    messages = stream_source.to_messages(tables.ratings_with_epoch(spark, sf_dir))
+    log.append_messages(messages.repartition(LOG_PARTITIONS), path)
+    good = stream_source.good_messages(stream_source.parse_messages(log.log_stream(spark, path)))
+    commits.write_stream(good, out, ckpt).awaitTermination()
+    rows = commits.read_committed(spark, out, good.schema)
+    positions = rows.select("msg_partition", "msg_offset").distinct().agg(
+        F.count(F.lit(1)).alias("n_positions"))  # one row
+    return rows.join(F.broadcast(positions)).select(
+        "uid", "mid", "score", "timestamp", "n_positions")
+
+
+@register("stream_user_recent", ORACLES["user_recent_k"])
+def q_stream_user_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest 20 ratings per user from keyed state, over two runs of a stream."""
+    path, out, ckpt = (scratch_path(spark, f"recent{x}") for x in ("-log", "-out", "-ckpt"))
+    ratings = tables.ratings(spark, sf_dir).withColumn("timestamp", epoch_seconds("ts"))
+    line = F.concat_ws("|", "uid", "mid", "score", "timestamp", *RATING_TIES)
+    half = F.pmod(F.xxhash64("ok", "ln"), F.lit(2))
+    for k in (0, 1):  # the second run goes on from the first one's checkpoint
+        part = ratings.where(half == k).select(line.alias("value"))
+        log.append_messages(part.repartition(LOG_PARTITIONS), path)
+        fields = F.split("value", "[|]")
+        parsed = log.log_stream(spark, path).select(*[
+            F.get(fields, i).cast(t).alias(c) for i, (c, t) in enumerate((
+                ("uid", "long"), ("mid", "long"), ("score", "double"), ("timestamp", "long"),
+                ("ok", "long"), ("ln", "long")))])
+        lists = recent.recent_ratings(parsed, 20, RATING_TIES)
+        commits.write_stream(lists, out, ckpt).awaitTermination()
+    return recent.latest_lists(commits.read_committed(spark, out, recent.SCHEMA)).select(
+        "uid", _rk(), "mid", "score")
+
+
+@register("stream_recs_log", with_bindings(
+    _tfidf_ctes(False) + _RERANK_CTES
+    + " , n as (select count(*) as n_events from ev)"
+      " select uid, mid, round(base + log10(greatest(ups, 1)) - log10(greatest(downs, 1)),"
+      f" {ROUND}) as score, n_events from sc, n"))
+def q_stream_recs_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming job from the message log into the committed table; newest list per user."""
+    ratings = _rating_table(spark, sf_dir)
+    events = rerank.latest_events(ratings.withColumn("timestamp", epoch_seconds("ts")),
+                                  RATING_TIES, keep=["timestamp"])
+    path, out, ckpt = (scratch_path(spark, f"recs-log{x}") for x in ("", "-out", "-ckpt"))
+    log.append_messages(stream_source.to_messages(events).repartition(LOG_PARTITIONS), path)
+    item_group, group_sims = tfidf.tfidf_similarity_groups(tables.movies(spark, sf_dir))
+    query = stream_job.start(log.log_stream(spark, path), ratings, group_sims, out, ckpt,
+                             trigger={"availableNow": True}, tie_breakers=RATING_TIES,
+                             item_group=item_group, committed=True)
+    query.awaitTermination()
+    lists = commits.read_committed(spark, out, stream_job.LISTS_SCHEMA)
+    n = lists.select("event_id").distinct().agg(F.count(F.lit(1)).alias("n_events"))  # one row
+    flat = explode_recs(stream_job.latest_per_user(lists), ["uid"])
+    return flat.join(F.broadcast(n)).select("uid", "mid", _r("score"), "n_events")

@@ -21,9 +21,13 @@ from reelrank.config import MAX_SIM_MOVIES_NUM, MAX_USER_RATINGS_NUM, STREAM_BAT
 from reelrank.operators import rerank
 from reelrank.operators.topk import collect_sorted
 from reelrank.session import checkpoint_once
+from reelrank.streaming import commits
 from reelrank.streaming.source import good_messages, parse_messages, rejected_messages
 
 EVENT_KEY = ("event_id",)
+# Rows of ``recommend_batch`` for messages with positions.
+LISTS_SCHEMA = ("event_id struct<partition: int, offset: bigint>, uid long, mid long, "
+                "event_ts timestamp, recs array<struct<mid: bigint, score: double>>")
 
 
 def recommend_batch(batch: DataFrame, history: DataFrame, sim_matrix: DataFrame,
@@ -79,7 +83,7 @@ def start(stream: DataFrame, history: DataFrame | Callable[[], DataFrame],
           candidate_cap: int | None = 2 * MAX_SIM_MOVIES_NUM,
           item_group: DataFrame | None = None, version: str | None = None,
           reload: Callable[[str | None], tuple[str, DataFrame, DataFrame | None] | None]
-          | None = None, **kwargs):
+          | None = None, committed: bool = False, **kwargs):
     """Start the query; ``trigger`` defaults to the 2-second micro-batch interval.
 
     The similarity matrix is static between versions, so its per-item
@@ -93,6 +97,10 @@ def start(stream: DataFrame, history: DataFrame | Callable[[], DataFrame],
 
     ``history`` as a function is called for every micro-batch, so that each
     sees the ratings stored until then; a DataFrame is a fixed history.
+
+    ``committed`` writes the lists through the commit log of
+    ``streaming.commits`` (visible once the micro-batch is committed, once
+    only) in place of one folder per batch; read them by ``read_committed``.
     """
     parsed = parse_messages(stream)
     state: dict = {}
@@ -122,7 +130,10 @@ def start(stream: DataFrame, history: DataFrame | Callable[[], DataFrame],
         try:
             recs = recommend_batch(good, hist, state["matrix"], capped=state["capped"],
                                    item_group=state["groups"], history_sliced=True, **kwargs)
-            recs.write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")
+            if committed:
+                commits.write_batch(recs, output_path, batch_id)
+            else:
+                recs.write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")
             if rejects_path:
                 (rejected_messages(batch_df).write.mode("overwrite")
                  .parquet(f"{rejects_path}/batch_id={batch_id}"))

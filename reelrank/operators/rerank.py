@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelrank.config import (MAX_SIM_MOVIES_NUM, MAX_USER_RATINGS_NUM, RERANK_SIM_THRESHOLD,
@@ -89,10 +89,39 @@ def capped_matrix(sim_matrix: DataFrame, cap: int = 2 * MAX_SIM_MOVIES_NUM,
     return top.join(sizes, "src").withColumn("cap", F.lit(cap))
 
 
+def seen_bitmaps(seen: DataFrame) -> DataFrame:
+    """(uid, bucket, bits): rated items as bitmaps of 32,768 item ids each.
+
+    For users with long histories: a lookup reads one bit of one row, where
+    an anti join would meet all of the user's ratings. Repeated ratings set
+    their bit once; a hot user's ratings are combined in each map task.
+    """
+    return seen.where("uid is not null and mid is not null").groupBy(
+        "uid", F.bitmap_bucket_number("mid").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("mid")).alias("bits"))
+
+
+def is_set(bits: Column, position: Column) -> Column:
+    """Whether a bitmap has the bit; false for a null bitmap."""
+    byte = F.conv(F.hex(F.substring(bits, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    bit = F.expr("1").cast("int") * F.pow(F.lit(2), position % 8).cast("int")
+    return F.coalesce(byte.cast("int").bitwiseAND(bit) != 0, F.lit(False))
+
+
+def drop_seen(cand: DataFrame, bitmaps: DataFrame, item_col: str = "sim_mid") -> DataFrame:
+    """Rows of ``cand`` (uid, item, ...) whose bit isn't set in ``seen_bitmaps``."""
+    rows = cand.withColumn("bucket", F.bitmap_bucket_number(item_col))
+    rows = rows.join(bitmaps, ["uid", "bucket"], "left")
+    unseen = ~is_set(F.col("bits"), F.bitmap_bit_position(item_col))
+    return rows.where(unseen).select(*cand.columns)
+
+
 def _unseen_top(ev: DataFrame, lists: DataFrame, seen: DataFrame | None, num: int,
                 event_key: Sequence[str]) -> DataFrame:
     cand = ev.join(lists, "src").filter(F.col("sim_mid") != F.col("event_mid"))
-    if seen is not None:
+    if seen is not None and "bits" in seen.columns:
+        cand = drop_seen(cand, seen)
+    elif seen is not None:
         rated = seen.select("uid", F.col("mid").alias("sim_mid"))
         cand = cand.join(rated, ["uid", "sim_mid"], "left_anti")
     return top_k_per_group(cand, list(event_key), _candidate_order(), num)
@@ -114,7 +143,8 @@ def sim_candidates(events: DataFrame, sim_matrix: DataFrame, seen: DataFrame | N
 
     events: event_key columns + uid, mid. sim_matrix: (mid, sim_mid, sim),
     item-level, or group-level together with ``item_group`` (mid, grp).
-    seen: (uid, mid) pairs already rated, or None to keep rated items.
+    seen: (uid, mid) pairs already rated or their ``seen_bitmaps``, or None to
+    keep rated items.
     Returns event_key + (rk, sim_mid, sim). Items missing from the matrix
     give no candidates.
 

@@ -95,10 +95,10 @@ def q_movies_with_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     movies = tables.movies_full(spark, sf_dir)
     per_movie = stats.movie_tags(tables.tags(spark, sf_dir))
     docs = stats.movies_with_tags(movies, per_movie)
-    # Through the document sink (one document per mid, checked) and back.
+    # Through the document index (one document per mid, checked) and back.
     path = scratch_path(spark, "movie-documents")
-    sinks.write_documents(docs, path, fmt="parquet", id_col="mid")
-    return spark.read.parquet(path)
+    sinks.write_index(docs, path, "mid")
+    return sinks.read_index(spark, path)
 
 
 @register("movies_with_score", with_bindings(
@@ -249,6 +249,19 @@ def q_sim_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cands.select("uid", _rk(), "sim_mid", _r("sim"))
 
 
+@register("sim_candidates_bitmap", ORACLES["sim_candidates"])
+def q_sim_candidates_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same candidates, rated items looked up in per-user bitmaps."""
+    ratings = _rating_table(spark, sf_dir)
+    item_group, group_sims = tfidf.tfidf_similarity_groups(tables.movies(spark, sf_dir))
+    events = checkpoint_once(rerank.latest_events(ratings, RATING_TIES))
+    capped = checkpoint_once(rerank.capped_matrix(group_sims, CANDIDATE_CAP, item_group))
+    seen = materialize_table(rerank.seen_bitmaps(ratings.select("uid", "mid")), "seen")
+    cands = rerank.sim_candidates(events, group_sims, seen, 20, capped=capped,
+                                  item_group=item_group)
+    return cands.select("uid", _rk(), "sim_mid", _r("sim"))
+
+
 @register("stream_recs", with_bindings(
     _tfidf_ctes(False) + _RERANK_CTES
     + f" select uid, mid, round(base + log10(greatest(ups, 1)) - log10(greatest(downs, 1)),"
@@ -296,6 +309,49 @@ def q_load_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good
 
 
+# Planted faults by (ok + ln) % 40; the oracle states the same lines.
+_FAULTY_SQL = with_bindings(
+    ", f as (select (ok + ln) % 40 as k, uid, mid, score, cast(epoch(ts) as bigint) as t from R),"
+    " v as (select case k when 0 then concat_ws(',', uid, mid, score)"
+    "  when 1 then concat_ws(',', uid, mid, score, t, 'x')"
+    "  when 2 then concat_ws(',', uid, mid, 'abc', t) when 3 then concat_ws(',', '', mid, score, t)"
+    "  when 4 then concat_ws(',', uid, mid || '.5', score, t) else null end as value,"
+    "  case k when 0 then 'fields:3' when 1 then 'fields:5' when 2 then 'type:score'"
+    "  when 3 then 'empty:uid' when 4 then 'type:mid' else null end as reason from f)"
+    " select value, reason, (select count(*) from v) as n_lines,"
+    " (select count(reason) from v) as n_rejects, (select count(*) from v where reason is null)"
+    " as n_good from v where reason is not null")
+
+
+@register("load_rejects", _FAULTY_SQL)
+def q_load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rating lines with planted faults: rejects with reasons, counts observed while loading."""
+    path, kept = scratch_path(spark, "faulty-text"), scratch_path(spark, "loaded")
+    r = tables.ratings(spark, sf_dir).withColumn("t", epoch_seconds("ts"))
+    k = (F.col("ok") + F.col("ln")) % 40
+
+    def line(*cols):
+        return F.concat_ws(",", *cols)
+
+    value = (F.when(k == 0, line("uid", "mid", "score"))
+             .when(k == 1, line("uid", "mid", "score", "t", F.lit("x")))
+             .when(k == 2, line("uid", "mid", F.lit("abc"), "t"))
+             .when(k == 3, line(F.lit(""), "mid", "score", "t"))
+             .when(k == 4, line("uid", F.concat(F.col("mid").cast("string"), F.lit(".5")), "score",
+                                "t")).otherwise(line("uid", "mid", "score", "t")))
+    r.select(value.alias("value")).write.text(path)
+    seen = Observation("faults")
+    good, rejects = text.split_faults(
+        spark.read.text(path), ["uid", "mid", "score", "timestamp"],
+        ["bigint", "bigint", "double", "bigint"], metrics=seen)
+    good.write.parquet(kept)
+    n = seen.get
+    return rejects.select(
+        "value", "reason", F.lit(n["n_lines"]).cast("long").alias("n_lines"),
+        F.lit(n["n_rejects"]).cast("long").alias("n_rejects"),
+        F.lit(spark.read.parquet(kept).count()).cast("long").alias("n_good"))
+
+
 @register("recs_text_roundtrip", ORACLES["genres_top10"])
 def q_recs_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Genre top-10 lists -> legacy text -> parsed back -> flat rows."""
@@ -432,19 +488,23 @@ def q_als_item_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return als.check_item_similarity(model, sims)
 
 
-@register("als_grid", (
-    "select cast(rank as integer) as rank, cast(reg as double) as reg_param,"
-    " true as rmse_finite, true as best_is_least"
-    " from (values (20), (50), (100)) a(rank), (values (0.001), (0.01), (0.1)) b(reg)"))
+@register("als_grid", with_bindings(
+    f", tr as (select * from R where epoch(ts) < {_CUTOFF}),"
+    f" te as (select * from R where epoch(ts) >= {_CUTOFF}),"
+    " n as (select count(*) as n_test from te where uid in (select uid from tr)"
+    "       and mid in (select mid from tr))"
+    " select cast(rank as integer) as rank, cast(reg as double) as reg_param, n_test,"
+    " true as rmse_of_factors, true as has_rank, true as solves_ridge, true as best_is_least"
+    " from (values (20), (50), (100)) a(rank), (values (0.001), (0.01), (0.1)) b(reg), n"))
 def q_als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nine fits of 50 iterations, their hold-out RMSE, and the best parameters among them."""
     train, test = _train_test(spark, sf_dir)
-    grid = als.als_grid(train, test, seed=ALS_SEED)
+    grid = als.als_grid(train, test, seed=ALS_SEED, checks=True)
     best = als.best_params(grid).select(F.col("rmse").alias("best_rmse"))  # one row
-    finite = F.col("rmse").isNotNull() & (F.abs("rmse") < float("inf"))
+    same = F.abs(F.col("rmse") - F.col("rmse_of_factors")) <= 1e-4 * F.col("rmse_of_factors")
     return grid.join(F.broadcast(best)).select(
-        "rank", "reg_param", finite.alias("rmse_finite"),
-        (F.col("best_rmse") <= F.col("rmse")).alias("best_is_least"))
+        "rank", "reg_param", "n_test", same.alias("rmse_of_factors"), "has_rank", "solves_ridge",
+        (F.col("best_rmse") <= F.col("rmse_of_factors") + 1e-4).alias("best_is_least"))
 
 
 # ---- Structured Streaming --------------------------------------------------

@@ -7,7 +7,7 @@ CSV scans, so they parallelise over the input files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.config import MOVIE_FIELD_SEP
@@ -60,6 +60,50 @@ def parse_csv_lines(lines: DataFrame, names: list[str], types: list[str],
     return good, rejects
 
 
+def line_fault(value: Column, names: list[str], types: list[str], sep: str = ",") -> Column:
+    """Why a line is rejected, null if it isn't: its first fault from the left.
+
+    ``fields:<n>`` for a wrong number of fields, ``empty:<name>`` for a field
+    without text, ``type:<name>`` for one that isn't of its type. A null line
+    has no fields.
+    """
+    parts = F.split(value, f"[{sep}]", -1)
+    size = F.coalesce(F.size(parts), F.lit(0))
+    fault = F.when(value.isNull(), "fields:0").when(
+        size != len(names), F.concat(F.lit("fields:"), size.cast("string")))
+    for i, (name, typ) in enumerate(zip(names, types)):
+        field = F.trim(F.try_element_at(parts, F.lit(i + 1)))
+        if typ != "string":
+            fault = fault.when(field == "", f"empty:{name}").when(
+                field.try_cast(typ).isNull(), f"type:{name}")
+    return fault
+
+
+def split_faults(lines: DataFrame, names: list[str], types: list[str], sep: str = ",",
+                 value_col: str = "value", metrics: Observation | str | None = None
+                 ) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects (value, reason)) of delimited lines, batch or stream.
+
+    ``metrics`` counts lines, rejects and rejects by kind of fault while
+    whichever side reads all lines runs: an ``Observation`` for a batch, a
+    name for a stream's progress events.
+    """
+    value = F.col(value_col)
+    told = lines.select(value.alias("value"), line_fault(value, names, types, sep).alias("reason"))
+    if metrics is not None:
+        bad = F.col("reason")
+        told = told.observe(metrics, F.count(F.lit(1)).alias("n_lines"),
+                            F.count(bad).alias("n_rejects"),
+                            *[F.count_if(bad.startswith(kind)).alias(f"n_{kind}")
+                              for kind in ("fields", "empty", "type")])
+    parts = F.split("value", f"[{sep}]", -1)
+    fields = [F.try_element_at(parts, F.lit(i + 1)) for i in range(len(names))]
+    good = told.where("reason is null").select(*[
+        (f if t == "string" else F.trim(f).try_cast(t)).alias(n)
+        for f, n, t in zip(fields, names, types)])
+    return good, told.where("reason is not null")
+
+
 def read_ratings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``uid,mid,score,timestamp`` lines (no header)."""
     return parse_csv_lines(spark.read.text(path), ["uid", "mid", "score", "timestamp"],

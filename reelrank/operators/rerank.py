@@ -135,6 +135,11 @@ def _event_sources(events: DataFrame, keys: list[str], item_group: DataFrame | N
     return ev.join(groups, "event_mid")
 
 
+def event_sources(events: DataFrame, item_group: DataFrame | None) -> DataFrame:
+    """(src): the matrix keys that the items of ``events`` look up."""
+    return _event_sources(events, ["uid"], item_group).select("src")
+
+
 def sim_candidates(events: DataFrame, sim_matrix: DataFrame, seen: DataFrame | None,
                    num: int = MAX_SIM_MOVIES_NUM, event_key: Sequence[str] = ("uid",),
                    capped: DataFrame | None = None,

@@ -209,6 +209,7 @@ def streaming_job(spark: SparkSession, cfg: dict):
                              s["output"], s["checkpoint"], rejects_path=s.get("rejects"),
                              trigger=s.get("trigger"), item_group=item_group, version=first,
                              candidate_cap=s.get("candidate_cap", 40), reload=reload, **options,
+                             buckets=s.get("matrix_buckets"),
                              history_buckets=("uid_bucket", int(buckets)) if buckets else None)
     return query
 

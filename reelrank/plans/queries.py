@@ -461,6 +461,31 @@ def q_rmse_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(_r("rmse"), "n")
 
 
+_DRAW = (f"cast(cast('0x' || substr(md5('{ALS_SEED}|' || ok || '|' || ln), 1, 8) as bigint)"
+         " as double) / 4294967296.0")
+
+
+@register("rmse_random_split", with_bindings(
+    f", d as (select *, {_DRAW} as draw from R),"
+    " tr as (select * from d where draw < 0.8), te as (select * from d where draw >= 0.8),"
+    " im as (select mid, avg(score) as m from tr group by mid),"
+    " pr as (select te.uid, te.mid, im.m as prediction from te join im using (mid))"
+    f" select round(sqrt(avg((o.score - p.prediction) * (o.score - p.prediction))), {ROUND})"
+    " as rmse, count(*) as n,"
+    " (select count(*) from tr) as n_train, (select count(*) from te) as n_test"
+    " from te o join pr p on o.uid = p.uid and o.mid = p.mid"))
+def q_rmse_random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RMSE of an item-mean predictor on a random 20% of the ratings, and both sides' sizes."""
+    ratings = _rating_table(spark, sf_dir)
+    train, test = als.hash_split(ratings, RATING_TIES, seed=ALS_SEED)
+    item_mean = stats.average_movies(train).withColumnRenamed("score", "prediction")
+    predicted = test.select("uid", "mid").join(item_mean, "mid")
+    out = als.rmse(test.select("uid", "mid", "score"), predicted)
+    sizes = train.agg(F.count(F.lit(1)).alias("n_train")).join(
+        F.broadcast(test.agg(F.count(F.lit(1)).alias("n_test"))))  # one row each
+    return out.join(F.broadcast(sizes)).select(_r("rmse"), "n", "n_train", "n_test")
+
+
 # A fit is no SQL, but what it must satisfy is: the queries below run the whole
 # operator and return, per user, item or grid point, checks computed from its
 # rows and the rating table. The oracle states what they must say.
@@ -509,14 +534,15 @@ def q_als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- Structured Streaming --------------------------------------------------
 
-# The streaming queries write twice as many message files: two micro-batches.
-FILES_PER_BATCH = 4
+# The streaming queries write at least twice as many message files: two micro-batches or more.
+FILES_PER_BATCH, MESSAGES_PER_FILE = 4, 100_000
 
 
 def _write_messages(spark: SparkSession, ratings: DataFrame, name: str) -> str:
     path = scratch_path(spark, name)
-    messages = stream_source.to_messages(ratings).repartition(2 * FILES_PER_BATCH)
-    messages.write.mode("overwrite").text(path)
+    messages = stream_source.to_messages(ratings)
+    n_files = max(2 * FILES_PER_BATCH, -(-messages.count() // MESSAGES_PER_FILE))
+    messages.repartition(n_files).write.mode("overwrite").text(path)
     return path
 
 
@@ -552,6 +578,27 @@ def q_stream_recs_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select("uid", "mid", _r("score"))
 
 
+MATRIX_BUCKETS = 8
+
+
+@register("stream_recs_bucketed", ORACLES["stream_recs"])
+def q_stream_recs_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming job with its matrix in bucketed tables that no micro-batch moves."""
+    ratings = _rating_table(spark, sf_dir)
+    events = rerank.latest_events(ratings.withColumn("timestamp", epoch_seconds("ts")),
+                                  RATING_TIES, keep=["timestamp"])
+    src = _write_messages(spark, events, "events")
+    item_group, group_sims = tfidf.tfidf_similarity_groups(tables.movies(spark, sf_dir))
+    out, ckpt = scratch_path(spark, "stream-recs-out"), scratch_path(spark, "stream-recs-ckpt")
+    query = stream_job.start(stream_source.text_stream(spark, src, FILES_PER_BATCH), ratings,
+                             group_sims, out, ckpt, trigger={"availableNow": True},
+                             tie_breakers=RATING_TIES, item_group=item_group,
+                             buckets=MATRIX_BUCKETS)
+    query.awaitTermination()
+    flat = explode_recs(spark.read.parquet(out), ["uid"])
+    return flat.select("uid", "mid", _r("score"))
+
+
 # ---- positioned log, keyed state, committed sink ---------------------------
 
 LOG_PARTITIONS = 4

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from reelrank.config import MAX_SIM_MOVIES_NUM, MAX_USER_RATINGS_NUM, STREAM_BATCH_INTERVAL
 from reelrank.operators import rerank
 from reelrank.operators.topk import collect_sorted
-from reelrank.session import checkpoint_once
+from reelrank.session import checkpoint_once, scratch_path
+from reelrank.sources import lookup
 from reelrank.streaming import commits
 from reelrank.streaming.source import good_messages, parse_messages, rejected_messages
 
@@ -83,7 +84,7 @@ def start(stream: DataFrame, history: DataFrame | Callable[[], DataFrame],
           candidate_cap: int | None = 2 * MAX_SIM_MOVIES_NUM,
           item_group: DataFrame | None = None, version: str | None = None,
           reload: Callable[[str | None], tuple[str, DataFrame, DataFrame | None] | None]
-          | None = None, committed: bool = False, **kwargs):
+          | None = None, committed: bool = False, buckets: int | None = None, **kwargs):
     """Start the query; ``trigger`` defaults to the 2-second micro-batch interval.
 
     The similarity matrix is static between versions, so its per-item
@@ -101,6 +102,10 @@ def start(stream: DataFrame, history: DataFrame | Callable[[], DataFrame],
     ``committed`` writes the lists through the commit log of
     ``streaming.commits`` (visible once the micro-batch is committed, once
     only) in place of one folder per batch; read them by ``read_committed``.
+
+    ``buckets`` stores each matrix version and its prefix as bucketed tables
+    (``sources.lookup``) in the checkpoint folder: micro-batches then move
+    their own rows to the matrix's buckets and the matrix not at all.
     """
     parsed = parse_messages(stream)
     state: dict = {}
@@ -109,9 +114,18 @@ def start(stream: DataFrame, history: DataFrame | Callable[[], DataFrame],
         # Only the capped prefix is materialised: it is the one table every
         # micro-batch joins; the item map is a plain read or projection.
         capped = None
+        stored = None
         if candidate_cap:
-            capped = checkpoint_once(rerank.capped_matrix(matrix, candidate_cap, groups))
-        state.update(version=version, matrix=matrix, groups=groups, capped=capped)
+            capped = rerank.capped_matrix(matrix, candidate_cap, groups)
+        if buckets:
+            spark = matrix.sparkSession
+            stored = lookup.store_matrix(matrix, capped, scratch_path(spark, "matrix"), buckets)
+            matrix, capped = stored.frames(spark)
+        elif candidate_cap:
+            capped = checkpoint_once(capped)
+        if state.get("stored"):
+            state["stored"].forget(matrix.sparkSession)
+        state.update(version=version, matrix=matrix, groups=groups, capped=capped, stored=stored)
 
     install(version, sim_matrix, item_group)
 
@@ -128,7 +142,10 @@ def start(stream: DataFrame, history: DataFrame | Callable[[], DataFrame],
         hist = rerank.batch_history(good, stored, kwargs.get("history_buckets"))
         hist.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            recs = recommend_batch(good, hist, state["matrix"], capped=state["capped"],
+            capped = state["capped"]
+            if buckets and capped is not None:
+                capped = lookup.prune(capped, rerank.event_sources(good, state["groups"]))
+            recs = recommend_batch(good, hist, state["matrix"], capped=capped,
                                    item_group=state["groups"], history_sliced=True, **kwargs)
             if committed:
                 commits.write_batch(recs, output_path, batch_id)

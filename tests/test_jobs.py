@@ -1,6 +1,9 @@
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
+from reelrank.operators import als
 from reelrank.plans import jobs
 
 
@@ -132,3 +135,18 @@ def test_streaming_job_sees_new_ratings_and_a_new_matrix(spark):
     # (0.8 * 4 + 0.8 * 5 + 0.9 * 1) / 3 + log10(2) - log10(1)
     assert lists[1] == {2: 3.00103}
     assert lists[2] == {9: 4.10103}
+
+
+def test_hash_split_does_not_move_with_the_layout(spark):
+    frame = spark.range(4000).select(F.col("id").alias("ok"), (F.col("id") % 3).alias("ln"),
+                                     F.lit(1.0).alias("score"))
+    train, test = als.hash_split(frame, ["ok", "ln"], 0.8, seed=5)
+    a, b = ({r.ok for r in x.collect()} for x in (train, test))
+    assert a | b == set(range(4000)) and not a & b
+    assert abs(len(a) - 3200) < 120
+    moved = als.hash_split(frame.repartition(7), ["ok", "ln"], 0.8, seed=5)[0]
+    assert {r.ok for r in moved.collect()} == a
+    assert {r.ok for r in als.hash_split(frame, ["ok", "ln"], 0.8, seed=6)[0].collect()} != a
+    nulls = spark.createDataFrame([(None, 1, 1.0)] * 3, "ok long, ln long, score double")
+    sides = [x.count() for x in als.hash_split(nulls, ["ok", "ln"])]
+    assert sorted(sides) == [0, 3]

@@ -2,20 +2,25 @@
 
 The battery takes every run of 20 or more key-like characters, infers the
 encoding (the smallest alphabet among hex, base32, base62, base64 that holds
-it) and tests the symbols for what a random key shows: chi-squared uniformity
+it; 26 or 52 letters for letters alone) and tests the symbols for what a random key shows: chi-squared uniformity
 over the alphabet, the runs test about the alphabet's middle, and lag-one
 serial correlation, combined by Fisher's method. A token on which the battery
-rejects randomness is dropped.
+rejects randomness is dropped; if it has separators (``/ + - _``), its pieces
+of 20 or more characters are tested instead, as keys stand behind paths and names.
 
 The others are tested against ordinary text of the same length (letter
-repeats and changes between lower case, upper case and digits), which gives a
-p-value that falls with the length of a random token. The Benjamini-Hochberg
-procedure controls the share of false discoveries over the whole corpus,
-separately for each class of lengths, since short tokens tell less.
-
-Defined results: null text counts as empty; every row gives one row; texts
-are read whole; spans are code points, end exclusive. Base spans are never
-dropped by the battery.
+repeats, for letters alone their rarity, and changes between lower case, upper
+case and digits), which gives a p-value that falls with the length of a random
+token. The Benjamini-Hochberg procedure controls the share of false discoveries
+over the whole corpus, separately for each class of lengths, since short tokens
+tell less, and for letters alone, which ordinary text is full of.
+
+Defined results: null text counts as empty; an empty table gives an empty
+result; every row gives one row, repeated rows and ids included, and null ids
+stay null; texts are read whole, however long, in time linear in them; spans
+are code points, end exclusive, sorted by start, then kind, and of equal starts
+and kinds by end. Base spans are never dropped by the battery. Only id and text
+are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -48,7 +53,12 @@ ALPHABETS = (
     ("base62", _UPPER + _LOWER + _DIGITS), ("base64", _UPPER + _LOWER + _DIGITS + "+/"),
     ("base64", _UPPER + _LOWER + _DIGITS + "-_"),
 )
+#: Keys of letters alone; no digit says that they are no words.
+LETTERS = (("letters", _LOWER), ("letters", _UPPER), ("letters", _UPPER + _LOWER))
+SEPARATORS = re.compile("[/+_-]+")
+LEAST = 20
 _SETS = tuple((frozenset(a), {c: i for i, c in enumerate(a)}) for _, a in ALPHABETS)
+_LETTER_SETS = tuple((frozenset(a), {c: i for i, c in enumerate(a)}) for _, a in LETTERS)
 
 #: Share of ordinary text: English letter frequencies in per mille, digits as one letter in 20.
 LETTER_SHARE = dict(zip("etaoinshrdlcumwfgypbvkjxqz",
@@ -58,6 +68,7 @@ SWITCH = 0.15  # chance that two neighbours in ordinary text differ in class
 BATTERY_ALPHA = 0.001
 FALSE_DISCOVERY = 0.01
 LENGTH_CLASSES = (20, 28, 40, 64, 128)
+FAMILIES = 2 * len(LENGTH_CLASSES)
 BINS_A_DECADE, TOP_BIN = 4, 160
 
 
@@ -122,23 +133,48 @@ def ordinary(token: str, moments: tuple[float, float]) -> float:
     mean = n * (n - 1) / 2 * s2
     var = n * (n - 1) / 2 * (s2 - s2 * s2) + n * (n - 1) * (n - 2) * max(s3 - s2 * s2, 0)
     repeats = 1 - _normal_tail((pairs + 0.5 - mean) / math.sqrt(max(var, 1e-9)))
+    return _fisher(max(repeats, 1e-12), _switches(token))
+
+
+_LOG_SHARE = {c: math.log(v / sum(LETTER_SHARE.values())) for c, v in LETTER_SHARE.items()}
+_LOG_MEAN = sum(math.exp(v) * v for v in _LOG_SHARE.values())
+_LOG_VAR = sum(math.exp(v) * (v - _LOG_MEAN) ** 2 for v in _LOG_SHARE.values())
+
+
+def _switches(token: str) -> float:
+    """P-value of the changes of class between neighbours in ordinary text."""
     kinds = [_class(c) for c in token]
     changes = sum(a != b for a, b in zip(kinds, kinds[1:]))
-    m, tail = n - 1, 0.0
+    m, tail = len(token) - 1, 0.0
     term = (1 - SWITCH) ** m
     for k in range(m + 1):
         if k >= changes:
             tail += term
         term *= (m - k) / (k + 1) * SWITCH / (1 - SWITCH)
-    return _fisher(max(repeats, 1e-12), max(min(tail, 1.0), 1e-300))
+    return max(min(tail, 1.0), 1e-300)
+
+
+def ordinary_letters(token: str) -> float:
+    """P-value of letters as a piece of ordinary text: rare letters, many changes of case."""
+    n = len(token)
+    logs = sum(_LOG_SHARE[c] for c in token.lower())
+    rare = _normal_tail((n * _LOG_MEAN - logs) / math.sqrt(n * _LOG_VAR))
+    return _fisher(max(rare, 1e-300), _switches(token))
 
 
 def judge(token: str) -> float:
     """P-value of a candidate as ordinary text; 1 when it isn't random in an encoding."""
     body = token.rstrip("=")
-    if not (any(c in _DIGITS for c in body) and any(c not in _DIGITS for c in body)):
-        return 1.0  # digits or letters alone: no encoding is inferred
+    if body.isdigit():
+        return 1.0  # digits alone: numbers, no encoding is inferred
     symbols = set(body)
+    if body.isalpha():
+        own, index = next(x for x in _LETTER_SETS if symbols <= x[0])
+        if randomness([index[c] for c in body], len(own)) < BATTERY_ALPHA:
+            return 1.0
+        return ordinary_letters(body)
+    if not symbols & set(_DIGITS):
+        return 1.0  # words joined by separators; their pieces are judged
     for (own, index), (_, alphabet), moments in zip(_SETS, ALPHABETS, _MOMENTS):
         if symbols <= own:
             if randomness([index[c] for c in body], len(alphabet)) < BATTERY_ALPHA:
@@ -147,10 +183,29 @@ def judge(token: str) -> float:
     return 1.0
 
 
+def judged(start: int, token: str) -> list[tuple[int, int, float]]:
+    """(start, end, p) of a run, or of its long pieces where the run isn't random itself."""
+    p = judge(token)
+    if p < 1 or not SEPARATORS.search(token):
+        return [(start, start + len(token), p)]
+    out, at = [], 0
+    for m in [*SEPARATORS.finditer(token), None]:
+        end = m.start() if m else len(token)
+        if len(token[at:end].rstrip("=")) >= LEAST:
+            out.append((start + at, start + end, judge(token[at:end])))
+        at = m.end() if m else end
+    return out or [(start, start + len(token), p)]
+
+
 def length_class(n: int) -> int:
     return max(i for i, least in enumerate(LENGTH_CLASSES) if n >= least)
 
 
+def family(token: str) -> int:
+    """Tokens whose false discoveries are controlled together: by length, letters alone apart."""
+    return length_class(len(token)) + len(LENGTH_CLASSES) * token.isalpha()
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the base patterns, sorted."""
     out = []
@@ -165,7 +220,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """(start, end, length class, bin of -log10 p) of the runs outside the base spans."""
+    """(start, end, family, bin of -log10 p) of the runs outside the base spans."""
     out, at, reach = [], 0, 0
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
@@ -175,9 +230,9 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             at += 1
         if reach > start:
             continue
-        p = judge(m[0])
-        bin_ = min(TOP_BIN, int(-math.log10(max(p, 1e-300)) * BINS_A_DECADE))
-        out.append((start, end, length_class(end - start), bin_))
+        for a, b, p in judged(start, m[0]):
+            bin_ = min(TOP_BIN, int(-math.log10(max(p, 1e-300)) * BINS_A_DECADE))
+            out.append((a, b, family(text[a:b]), bin_))
     return out
 
 
@@ -192,11 +247,11 @@ def _kernel(texts: list[str]) -> list:
 
 
 def discovery_bins(counts: list[tuple[int, int, int]]) -> dict[int, int]:
-    """Least bin per length class at which Benjamini-Hochberg holds; none: TOP_BIN + 1.
+    """Least bin per family at which Benjamini-Hochberg holds; none: TOP_BIN + 1.
 
-    ``counts``: (length class, bin, tokens). A bin stands for its largest p.
+    ``counts``: (family, bin, tokens). A bin stands for its largest p.
     """
-    least = {c: TOP_BIN + 1 for c in range(len(LENGTH_CLASSES))}
+    least = {c: TOP_BIN + 1 for c in range(FAMILIES)}
     for c in least:
         own = sorted(((b, n) for k, b, n in counts if k == c), reverse=True)
         total, seen = sum(n for _, n in own), 0
@@ -212,7 +267,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     ``kind`` indexes KINDS; ``base`` has the spans of the fixed patterns,
     ``spans`` those and the accepted random tokens. What returns to the driver
-    is a histogram of at most len(LENGTH_CLASSES) x (TOP_BIN + 1) counts over
+    is a histogram of at most FAMILIES x (TOP_BIN + 1) counts over
     all candidates of the corpus.
     """
     span = "array<struct<start:int,kind:int,end:int>>"
@@ -221,7 +276,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     one = written(one, "secret-candidates")
     counts = one.select(F.explode("found").alias("c")).groupBy("c.size", "c.bin").count()
     least = discovery_bins([tuple(r) for r in counts.collect()])
-    floors = F.array(*[F.lit(least[c]) for c in range(len(LENGTH_CLASSES))])
+    floors = F.array(*[F.lit(least[c]) for c in range(FAMILIES)])
     good = F.filter("found", lambda c: c["bin"] >= F.get(floors, c["size"]))
     good = F.transform(good, lambda c: F.struct(
         c["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"),

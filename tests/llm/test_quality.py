@@ -1,10 +1,8 @@
-"""Counts of the quality rules against brute force on a whole table; estimates are settled."""
+"""Counts of the quality rules against brute force on a whole table."""
 
 import random
 import re
 
-from pyspark.sql import functions as F
-
 from reelrank.llm import quality, queries
 from tests.llm.test_queries import MORE_DIR, read_texts
 
@@ -50,24 +48,3 @@ def test_counts_of_odd_texts(spark):
     got = {r["id"]: r for r in quality.quality_verdicts(frame).collect()}
     for i, t in enumerate(texts):
         assert tuple(got[i][c] for c in COUNTS) == brute(t), repr(t)
-
-
-def test_no_step_lowers_a_settled_pool(spark):
-    r = random.Random(9)
-    rows = []
-    # three pools of different shapes, in one a fifth far out (the estimates bear a quarter)
-    for i in range(1500):
-        pool, far = i % 3, i % 15 == 0
-        rows.append((i, f"p{pool}", *[r.gauss(3.0 * far, 0.3 + 0.5 * pool * (k == 1))
-                                      for k in range(4)]))
-    points = spark.createDataFrame(
-        rows, "id long, pool string, " + ", ".join(f"{x} double" for x in quality.X))
-    params = quality.mcd(points)
-    again = quality._concentrate(points, params.drop("scale"))
-    det = sum((2 * F.ln(F.col(f"c{i}{i}")) for i in range(1, 4)), 2 * F.ln("c00"))
-    before = {r["pool"]: r["d"] for r in params.select("pool", det.alias("d")).collect()}
-    after = {r["pool"]: r["log_det"] for r in again.collect()}
-    assert before.keys() == after.keys() == {"p0", "p1", "p2"}
-    assert all(after[p] > before[p] - quality.SETTLED for p in before)
-    location = {r["pool"]: r["m0"] for r in params.collect()}
-    assert abs(location["p0"]) < 0.2  # the far rows don't move it

@@ -6,10 +6,13 @@ of words in repeated five-word windows). Shares are taken over the text and a
 few neutral words, so that short texts don't stand out by chance.
 
 Per group (language, source) location and scatter are minimum covariance
-determinant (MCD) estimates: from the coordinatewise median and MAD,
-concentration steps take the ``H_SHARE`` of documents with the least
-distances, estimate mean and covariance from them and repeat until the
-determinant stops falling. The covariance is regularised by a diagonal of
+determinant (MCD) estimates. Concentration steps take the ``H_SHARE`` of
+documents with the least distances, estimate mean and covariance from them and
+repeat until the group's determinant stops falling, however many steps that
+takes. There are two starts, both from coordinatewise median and MAD, one
+without correlations and one with those of the hyperbolic tangents of the
+standardised statistics; of the two ends the one with the smaller determinant
+stays. The covariance is regularised by a diagonal of
 least spreads, as groups often have a statistic without any spread. Groups
 under ``MIN_GROUP`` documents are judged by the estimates over all documents of
 their language, in smaller languages by those over the whole corpus; a corpus
@@ -40,7 +43,8 @@ X = ("x0", "x1", "x2", "x3")
 FLOORS = (0.08, 0.05, 0.12, 0.12)
 #: Chi-squared with len(X) degrees of freedom: median, and quantile 1 - 1e-5.
 MEDIAN, LIMIT = 3.3567, 28.473
-H_SHARE, MIN_GROUP, MAX_STEPS, SETTLED = 0.75, 50, 8, 1e-3
+#: A step that lowers the log determinant by less than SETTLED is the last of its pool.
+H_SHARE, MIN_GROUP, SETTLED = 0.75, 50, 1e-3
 ACCURACY = 2000  # of percentile_approx: ranks within 1/2000 of a group
 
 
@@ -160,29 +164,49 @@ def _measured(rows: DataFrame, params: DataFrame) -> DataFrame:
     return _distance(join_groups(rows, params, ["pool"], "n", "id", few=True))
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Median and scaled MAD of each pool as location and diagonal scatter."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """Two starts per pool: median and scaled MAD, alone and with tanh correlations."""
     middle = rows.groupBy("pool").agg(F.count(F.lit(1)).alias("n"), *[
         F.percentile_approx(x, 0.5, ACCURACY).alias(f"m{i}") for i, x in enumerate(X)])
     middle = written(middle, "mcd-medians")
     away = join_groups(rows, middle, ["pool"], "n", "id", few=True)
-    spread = away.groupBy("pool").agg(F.first("n").alias("n"), *[
+    spread = written(away.groupBy("pool").agg(F.first("n").alias("n"), *[
         F.first(f"m{i}").alias(f"m{i}") for i in range(len(X))], *[
-        F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, ACCURACY).alias(f"a{i}")
-        for i, x in enumerate(X)])
-    zero = {f"s{i}{j}": F.lit(0.0) for i in range(len(X)) for j in range(i)}
-    diag = {f"s{i}{i}": F.pow(1.4826 * F.col(f"a{i}"), F.lit(2.0)) for i in range(len(X))}
-    return _cholesky(spread.withColumns(zero | diag))
+        (1.4826 * F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, ACCURACY)
+         ).alias(f"a{i}") for i, x in enumerate(X)]), "mcd-spreads")
+    pairs = [(i, j) for i in range(len(X)) for j in range(i)]
+    bent = [F.tanh((F.col(x) - F.col(f"m{i}")) / F.greatest(F.col(f"a{i}"), F.lit(FLOORS[i])))
+            for i, x in enumerate(X)]
+    bent_rows = join_groups(rows, spread, ["pool"], "n", "id", few=True).select(
+        "pool", *[b.alias(f"b{i}") for i, b in enumerate(bent)])
+    # a statistic without spread has no correlations
+    like = bent_rows.groupBy("pool").agg(*[F.when(
+        (F.var_pop(f"b{i}") > 0) & (F.var_pop(f"b{j}") > 0),
+        F.covar_pop(f"b{i}", f"b{j}") / F.sqrt(F.var_pop(f"b{i}") * F.var_pop(f"b{j}"))
+    ).otherwise(0.0).alias(f"r{i}{j}") for i, j in pairs])
+    both = spread.join(like, "pool").withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
+    diag = {f"s{i}{i}": F.pow(f"a{i}", F.lit(2.0)) for i in range(len(X))}
+    rest = {f"s{i}{j}": F.col("start") * F.col(f"r{i}{j}") * F.col(f"a{i}") * F.col(f"a{j}")
+            for i, j in pairs}
+    return _cholesky(both.withColumns(diag | rest))
 
 
 def _concentrate(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """One C-step: mean and covariance of the nearest ``H_SHARE`` of each pool."""
-    near = _measured(rows, params).select("pool", "id", "n", "d2", *X)
-    reach = near.groupBy("pool").agg(
+    """One C-step from each of ``params``: mean and covariance of the nearest ``H_SHARE``.
+
+    ``rows`` of pools that ``params`` doesn't hold are left out.
+    """
+    by_pool = params.groupBy("pool").agg(
+        F.first("n").alias("n"), F.collect_list(F.struct("start", *_PARAMS)).alias("from"))
+    near = join_groups(rows, written(by_pool, "mcd-from"), ["pool"], "n", "id", few=True)
+    near = near.select("pool", "id", "n", F.explode("from").alias("from"), *X)
+    near = _distance(near.select("pool", "id", "n", "from.*", *X)).select(
+        "pool", "start", "id", "n", "d2", *X)
+    reach = near.groupBy("pool", "start").agg(
         F.percentile_approx("d2", H_SHARE, ACCURACY).alias("reach"), F.first("n").alias("n"))
     reach = written(reach, "mcd-reach")
-    core = join_groups(near.drop("n"), reach, ["pool"], "n", "id", few=True).where("d2 <= reach")
-    sums = core.groupBy("pool").agg(
+    core = join_groups(near.drop("n"), reach, ["pool", "start"], "n", "id", few=True)
+    sums = core.where("d2 <= reach").groupBy("pool", "start").agg(
         F.first("n").alias("n"), *[F.avg(x).alias(f"m{i}") for i, x in enumerate(X)],
         *[F.covar_pop(X[i], X[j]).alias(f"s{i}{j}") for i in range(len(X)) for j in range(i + 1)])
     return _cholesky(sums)
@@ -191,21 +215,31 @@ def _concentrate(rows: DataFrame, params: DataFrame) -> DataFrame:
 def mcd(rows: DataFrame) -> DataFrame:
     """(pool, n, m<i>, c<i><j>, scale) of rows (id, pool, x<i>); read-once tables are written.
 
-    ``scale`` makes the median squared distance no larger than that of a
-    normal sample (never below 1).
+    A step that doesn't lower a determinant is not taken, and the floors bound
+    every determinant from below, so each start settles after finitely many
+    steps; what has settled takes no part in further ones. ``scale`` makes the
+    median squared distance no larger than that of a normal sample (never
+    below 1).
     """
-    keep = ["pool", "n", *_PARAMS, "log_det"]
-    params = written(_start(rows).select(*keep), "mcd-start")
-    for step in range(MAX_STEPS):
-        new = written(_concentrate(rows, params).select(*keep), f"mcd-step-{step}")
-        moved = new.join(params.select("pool", F.col("log_det").alias("before")), "pool").agg(
-            F.max(F.abs(F.col("log_det") - F.col("before")))).first()[0]
-        params = new
-        if moved is None or moved < SETTLED:
-            break
-    spread = _measured(rows, params.drop("log_det")).groupBy("pool").agg(
+    keep = ["pool", "start", "n", *_PARAMS, "log_det"]
+    params = written(_starts(rows).select(*keep, F.lit(True).alias("falling")), "mcd-start")
+    while params.where("falling").limit(1).count():
+        step = _concentrate(rows, params.where("falling")).select(
+            F.col("pool").alias("pool_"), F.col("start").alias("start_"),
+            F.struct(*keep).alias("new"))
+        old = params.select("pool", "start", F.struct(*keep).alias("old"))
+        same = F.col("pool").eqNullSafe(F.col("pool_")) & (F.col("start") == F.col("start_"))
+        falls = F.coalesce(F.col("new.log_det") < F.col("old.log_det") - SETTLED, F.lit(False))
+        taken = old.join(step, same, "left").select(
+            F.when(falls, F.col("new")).otherwise(F.col("old")).alias("p"),
+            falls.alias("falling"))
+        params = written(taken.select("p.*", "falling"), "mcd-step")
+    best = params.groupBy("pool").agg(F.min(F.struct(
+        "log_det", "start", "n", *_PARAMS)).alias("best")).select("pool", "best.*")
+    best = written(best.drop("log_det", "start"), "mcd-best")
+    spread = _measured(rows, best).groupBy("pool").agg(
         F.greatest(F.percentile_approx("d2", 0.5, ACCURACY) / MEDIAN, F.lit(1.0)).alias("scale"))
-    return written(params.drop("log_det").join(spread, "pool"), "mcd-params")
+    return written(best.join(spread, "pool"), "mcd-params")
 
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

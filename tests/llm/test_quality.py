@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from reelrank.llm import quality, queries
 from tests.llm.test_queries import MORE_DIR, read_texts
 
@@ -48,3 +50,53 @@ def test_counts_of_odd_texts(spark):
     got = {r["id"]: r for r in quality.quality_verdicts(frame).collect()}
     for i, t in enumerate(texts):
         assert tuple(got[i][c] for c in COUNTS) == brute(t), repr(t)
+
+
+def skewed_rows(spark, n=3000):
+    """Two pools: a drawn-out cloud with a far cluster, whose steps move slowly, and a plain one."""
+    r = np.random.default_rng(11)
+    slow = r.standard_cauchy((n, 4)) @ np.array([[1, .9, 0, 0], [0, .4, .5, 0],
+                                                 [0, 0, 1, .7], [0, 0, 0, .3]])
+    slow[: n // 5] = 6 + 0.2 * r.normal(size=(n // 5, 4))
+    plain = r.normal(size=(n // 10, 4))
+    rows = [(i, pool, *map(float, x)) for pool, part in (("slow", slow), ("plain", plain))
+            for i, x in enumerate(part)]
+    frame = spark.createDataFrame(rows, "id long, pool string, x0 double, x1 double, x2 double, "
+                                        "x3 double")
+    return frame, {"slow": slow, "plain": plain}
+
+
+def test_steps_go_on_until_settled(spark, monkeypatch):
+    """The end is a fixed point: an exact step from it doesn't lower the determinant."""
+    steps, one_step = [], quality._concentrate
+
+    def counted(*args):
+        steps.append(args)
+        return one_step(*args)
+
+    monkeypatch.setattr(quality, "_concentrate", counted)
+    frame, points = skewed_rows(spark)
+    found = {r["pool"]: r for r in quality.mcd(frame).collect()}
+    assert set(found) == set(points) and len(steps) > 3
+    for pool, x in points.items():
+        p = found[pool]
+        low = np.array([[p[f"c{i}{j}"] if j <= i else 0.0 for j in range(4)] for i in range(4)])
+        mean = np.array([p[f"m{i}"] for i in range(4)])
+        d2 = np.square(np.linalg.solve(low, (x - mean).T)).sum(0)
+        core = x[d2 <= np.quantile(d2, quality.H_SHARE)]
+        cov = np.cov(core.T, bias=True) + np.diag(np.square(quality.FLOORS))
+        before, after = 2 * np.log(np.diag(low)).sum(), np.linalg.slogdet(cov)[1]
+        assert after > before - 0.02  # percentile_approx may miss the quantile by 1/2000
+        assert p["n"] == len(x) and p["scale"] >= 1
+    # the far cluster is a fifth of the slow pool and isn't part of its estimate
+    p = found["slow"]
+    assert max(abs(p[f"m{i}"]) for i in range(4)) < 2
+
+
+def test_pools_settle_on_their_own(spark, monkeypatch):
+    """A pool's estimate is the same whatever other pools are estimated beside it."""
+    frame, _ = skewed_rows(spark)
+    names = [f"m{i}" for i in range(4)] + ["c00", "c10", "c33", "scale"]
+    both = quality.mcd(frame).where("pool = 'plain'").select(*names).first()
+    alone = quality.mcd(frame.where("pool = 'plain'")).select(*names).first()
+    assert np.allclose(both, alone)

@@ -1,7 +1,10 @@
 """WARC archives as a PySpark Python data source (format name ``warc``).
 
 Reading: archives (``.warc`` or ``.warc.gz``, one gzip member per record) are
-planned as partitions of whole files of about ``partitionBytes``. A record's
+planned as partitions of about ``partitionBytes``. Archives written here are
+cut at the record starts that their manifest lists, so one large archive is
+read by many tasks; where record starts of other archives lie is not known
+without reading them, so these are taken whole. A record's
 headers are parsed first; pushed predicates on the header columns decide
 before its block is touched. A block is only inflated when the requested
 schema has ``payload`` and the predicates hold; else the reader jumps to the
@@ -10,7 +13,8 @@ archives, or by inflating without keeping when a member has no such field).
 
 Writing: one archive (or more, at ``rollBytes``) per task, each member with a
 skip-lengths field. Names are unique per attempt and the commit lists the
-files in a manifest, so leftovers of failed attempts are never read.
+files in a manifest, with a record start every ``splitBytes``, so leftovers of
+failed attempts are never read.
 """
 
 from __future__ import annotations
@@ -25,7 +29,8 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo,
-                                    In, InputPartition, StringContains, StringEndsWith,
+                                    GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan,
+                                    LessThanOrEqual, StringContains, StringEndsWith,
                                     StringStartsWith, WriterCommitMessage)
 from pyspark.sql.types import StructType
 
@@ -175,10 +180,14 @@ def _dechunk(body: bytes) -> bytes:
         at = end + 2 + size + 2
 
 
-def read_records(src: io.BufferedReader, size: int, gz: bool, wanted, columns: set[str]
-                 ) -> Iterator[dict]:
-    """The records of an archive for which ``wanted(header columns)`` holds."""
-    while src.tell() < size:
+def read_records(src: io.BufferedReader, start: int, end_at: int, gz: bool, wanted,
+                 columns: set[str]) -> Iterator[dict]:
+    """The records that begin in bytes ``start`` to ``end_at`` and for which ``wanted`` holds.
+
+    ``start`` is the first byte of a record; ``wanted`` takes the header columns.
+    """
+    src.seek(start)
+    while src.tell() < end_at:
         part = _Member(src) if gz else _Plain(src)
         data = bytearray()
         end = _until(part, data, 0)
@@ -221,10 +230,33 @@ def read_records(src: io.BufferedReader, size: int, gz: bool, wanted, columns: s
         yield row
 
 
-class _Files(InputPartition):
-    def __init__(self, files: list[tuple[str, int]]) -> None:
+class _Ranges(InputPartition):
+    """Ranges (path, start, end) of archives; each starts at a record."""
+
+    def __init__(self, ranges: list[tuple[str, int, int]]) -> None:
         super().__init__(None)
-        self.files = files
+        self.ranges = ranges
+
+
+def plan_ranges(files: list[dict], most: int) -> list[list[tuple[str, int, int]]]:
+    """Lists of ranges (path, start, end) of about ``most`` bytes, cut at the files' marks.
+
+    A list is longer only by what lies between two marks (or by a whole file
+    without any).
+    """
+    parts, part, room = [], [], most
+    for f in sorted(files, key=lambda f: f["path"]):
+        starts = [0, *f.get("marks", [])]
+        for start, end in zip(starts, [*starts[1:], f["bytes"]]):
+            if part and end - start > room:
+                parts.append(part)
+                part, room = [], most
+            if part and part[-1][0] == f["path"]:
+                part[-1] = (f["path"], part[-1][1], end)
+            else:
+                part.append((f["path"], start, end))
+            room -= end - start
+    return [*parts, part] if part else parts
 
 
 class WarcReader(DataSourceReader):
@@ -234,7 +266,8 @@ class WarcReader(DataSourceReader):
         self.arrow = to_arrow_schema(schema)
 
     def pushFilters(self, filters: list) -> Iterator:
-        kinds = (EqualTo, In, StringStartsWith, StringEndsWith, StringContains)
+        kinds = (EqualTo, In, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual,
+                 StringStartsWith, StringEndsWith, StringContains)
         for f in filters:
             if isinstance(f, kinds) and len(f.attribute) == 1 and f.attribute[0] in HEADER_COLUMNS:
                 self.filters.append((type(f).__name__, f.attribute[0], f.value))
@@ -252,33 +285,29 @@ class WarcReader(DataSourceReader):
             listed = [{"path": i.path if "://" not in path else
                        path.split("://")[0] + "://" + i.path, "bytes": i.size}
                       for i in infos if i.path.endswith((".warc", ".warc.gz"))]
-        parts, open_part, room = [], [], most
-        for f in sorted(listed, key=lambda f: f["path"]):
-            if open_part and f["bytes"] > room:
-                parts.append(_Files(open_part))
-                open_part, room = [], most
-            open_part.append((f["path"], f["bytes"]))
-            room -= f["bytes"]
-        return [*parts, _Files(open_part)] if open_part else [_Files([])]
+        return [_Ranges(p) for p in plan_ranges(listed, most)] or [_Ranges([])]
 
     def _wanted(self, row: dict) -> bool:
         for kind, column, value in self.filters:
             got = row[column]
             if got is None or not {
                     "EqualTo": lambda: got == value, "In": lambda: got in value,
+                    # code points order as UTF-8 does in Spark
+                    "GreaterThan": lambda: got > value, "GreaterThanOrEqual": lambda: got >= value,
+                    "LessThan": lambda: got < value, "LessThanOrEqual": lambda: got <= value,
                     "StringStartsWith": lambda: got.startswith(value),
                     "StringEndsWith": lambda: got.endswith(value),
                     "StringContains": lambda: value in got}[kind]():
                 return False
         return True
 
-    def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Ranges) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
-        for path, size in partition.files:
+        for path, start, end in partition.ranges:
             system, inner = open_fs(path)
             with system.open_input_file(inner) as raw:
                 src = io.BufferedReader(raw, 1 << 20)
-                for row in read_records(src, size, path.endswith(".gz"), self._wanted,
+                for row in read_records(src, start, end, path.endswith(".gz"), self._wanted,
                                         set(self.columns)):
                     rows.append({c: row.get(c) for c in self.columns})
                     held += len(row.get("payload") or b"") + 500
@@ -299,11 +328,12 @@ class WarcWriter(DataSourceArrowWriter):
         self.path = options["path"]
         self.roll = int(options.get("rollbytes", 1 << 30))
         self.level = int(options.get("level", 6))
+        self.split = int(options.get("splitbytes", 32 << 20))
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> _Written:
         from pyspark import TaskContext
 
-        files, out, size = [], None, 0
+        files, out, size, marks = [], None, 0, []
         system, inner = open_fs(self.path)
         system.create_dir(inner, recursive=True)
         for batch in batches:
@@ -312,17 +342,19 @@ class WarcWriter(DataSourceArrowWriter):
                     name = new_part(self.path, TaskContext.get().partitionId(), ".warc.gz")
                     system, inner = open_fs(name)
                     out = system.open_output_stream(inner, compression=None, buffer_size=1 << 20)
-                    size = 0
+                    size, marks = 0, []
+                elif size - (marks[-1] if marks else 0) >= self.split:
+                    marks.append(size)
                 member = gzip_member(record_bytes(row), self.level)
                 out.write(member)
                 size += len(member)
                 if size >= self.roll:
                     out.close()
-                    files.append({"path": name, "bytes": size})
+                    files.append({"path": name, "bytes": size, "marks": marks})
                     out = None
         if out is not None:
             out.close()
-            files.append({"path": name, "bytes": size})
+            files.append({"path": name, "bytes": size, "marks": marks})
         return _Written(files)
 
     def commit(self, messages: list[_Written]) -> None:
@@ -333,7 +365,7 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class WarcDataSource(DataSource):
-    """Options: path, partitionBytes (read), rollBytes and level (write)."""
+    """Options: path, partitionBytes (read), rollBytes, splitBytes and level (write)."""
 
     @classmethod
     def name(cls) -> str:
@@ -354,7 +386,8 @@ def _register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcDataSource)
 
 
-def read_warc(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, columns: list[str] | None = None,
+              **options) -> DataFrame:
     """Records of the archives below ``path``; filters on it are pushed down.
 
     Without ``payload`` among the columns no block is inflated beyond its
@@ -364,7 +397,7 @@ def read_warc(spark: SparkSession, path: str, columns: list[str] | None = None)
     schema = StructType.fromDDL(SCHEMA)
     if columns is not None:
         schema = StructType([schema[c] for c in columns])
-    return spark.read.format("warc").schema(schema).load(path)
+    return spark.read.format("warc").options(**options).schema(schema).load(path)
 
 
 def write_warc(records: DataFrame, path: str, **options) -> None:

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -170,6 +171,48 @@ def test_warc(spark, docs, none):
     assert warc.read_warc(spark, empty).count() == 0
 
 
+def test_warc_archives_are_split_at_records(spark):
+    rows = [(i, f"http://h/{i}", prose(60, i)) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = scratch_path(spark, "test-warc-split")
+    warc.write_warc(warc.page_records(pages), path, splitBytes=2000, rollBytes=30_000)
+    files = warc.read_manifest(path)
+    assert 1 < len(files) < 300 and all(len(f["marks"]) > 3 for f in files[:-1])
+    parts = warc.plan_ranges(files, 5000)
+    assert len(parts) > 2 * len(files)
+    for f in files:  # each byte of each archive in exactly one range
+        own = sorted(r[1:] for part in parts for r in part if r[0] == f["path"])
+        assert [a for a, _ in own] + [f["bytes"]] == [0] + [b for _, b in own]
+    assert len(warc.plan_ranges(files, 1 << 40)) == 1 and warc.plan_ranges([], 10) == []
+    whole = [{k: v for k, v in f.items() if k != "marks"} for f in files]
+    assert len(warc.plan_ranges(whole, 5000)) == len(files)
+    got = warc.read_warc(spark, path, partitionBytes=5000)
+    assert got.rdd.getNumPartitions() == len(parts)
+    assert {(r["record_id"], bytes(r["payload"]).decode()) for r in got.collect()} == {
+        (f"urn:page:{i}", text) for i, _, text in rows}
+    assert got.count() == len(rows)
+
+
+def test_warc_ranges_are_pushed_down(spark, tmp_path):
+    def record(i, date):
+        line = f"WARC-Date: {date}\r\n" if date else ""
+        return (f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <r{i}>\r\n{line}"
+                "Content-Length: 2\r\n\r\nab\r\n\r\n").encode()
+
+    dates = [f"20{y:02d}-0{m}-01T00:00:00Z" for y in range(10, 16) for m in (1, 6)] + [None]
+    (tmp_path / "a.warc").write_bytes(b"".join(record(i, d) for i, d in enumerate(dates)))
+    got = warc.read_warc(spark, str(tmp_path), ["record_id", "date"])
+    for op, holds in (("<", str.__lt__), ("<=", str.__le__), (">", str.__gt__),
+                      (">=", str.__ge__)):
+        some = got.where(f"date {op} '{dates[5]}'")
+        assert {r[0] for r in some.collect()} == {
+            f"r{i}" for i, d in enumerate(dates) if d and holds(d, dates[5])}
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert "Scan" in plan and not re.search(rf"Filter .*date#\d+ {op} ", plan), plan
+    both = got.where(f"date >= '{dates[2]}' and date < '{dates[4]}'")
+    assert both.count() == 2
+
+
 def test_warc_foreign_archives(spark, tmp_path):
     """Plain archives and members without a skip length; chunked bodies; unknown types."""
     import gzip

@@ -36,7 +36,7 @@ MAGIC = b"PKIDS001"
 BLOCK = 1 << 16
 SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
 _BLANKS = re.compile(r"[\t-\r ]+")
-WORDS_KEPT, UNITS_KEPT = 700_000, 500_000
+WORDS_KEPT, UNITS_KEPT = 350_000, 250_000
 # Words of which each character is visible ASCII or a Latin-1 letter. In them
 # tokens end between letters and signs and around digits, unless an apostrophe
 # or a special token's mark is about.

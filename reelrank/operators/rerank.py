@@ -15,7 +15,7 @@ join the ratings table and the long-form similarity matrix.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from reelrank.config import (MAX_SIM_MOVIES_NUM, MAX_USER_RATINGS_NUM, RERANK_SI
                              RERANK_UP_SCORE)
 from reelrank.functions.keys import bucket_of
 from reelrank.operators.topk import top_k_per_group
+from reelrank.session import checkpoint_once
 
 # Similarities are compared after rounding to this many places when ranking
 # candidates, so last-bit noise cannot reorder equal similarities.
@@ -69,6 +70,18 @@ def _lists(sim_matrix: DataFrame, item_group: DataFrame | None) -> DataFrame:
             .join(members, "gb").select("src", "sim_mid", "sim"))
 
 
+def _prefix(sim_matrix: DataFrame, item_group: DataFrame | None, cap: int) -> DataFrame:
+    """The first ``cap`` rows of each source key's list.
+
+    Items of a group are equally similar and go by id, so only each group's
+    ``cap`` smallest ids can be among them: copies beyond are never listed.
+    """
+    if item_group is not None:
+        item_group = top_k_per_group(item_group, ["grp"], [F.asc("mid")], cap).drop("rk")
+    lists = _lists(sim_matrix, item_group)
+    return top_k_per_group(lists, ["src"], _candidate_order(), cap).drop("rk")
+
+
 def capped_matrix(sim_matrix: DataFrame, cap: int = 2 * MAX_SIM_MOVIES_NUM,
                   item_group: DataFrame | None = None) -> DataFrame:
     """Each source key's ``cap`` most similar items plus its full list length.
@@ -78,7 +91,7 @@ def capped_matrix(sim_matrix: DataFrame, cap: int = 2 * MAX_SIM_MOVIES_NUM,
     grouped matrix this is one short list per group, not per item.
     """
     lists = _lists(sim_matrix, item_group)
-    top = top_k_per_group(lists, ["src"], _candidate_order(), cap).drop("rk")
+    top = _prefix(sim_matrix, item_group, cap)
     if item_group is None:
         sizes = lists.groupBy("src").agg(F.count(F.lit(1)).alias("n_sims"))
     else:
@@ -90,29 +103,38 @@ def capped_matrix(sim_matrix: DataFrame, cap: int = 2 * MAX_SIM_MOVIES_NUM,
 
 
 def seen_bitmaps(seen: DataFrame) -> DataFrame:
-    """(uid, bucket, bits): rated items as bitmaps of 32,768 item ids each.
+    """(uid, bucket, bits): rated items as bitmaps of 64 item ids each.
 
     For users with long histories: a lookup reads one bit of one row, where
     an anti join would meet all of the user's ratings. Repeated ratings set
-    their bit once; a hot user's ratings are combined in each map task.
+    their bit once; a hot user's ratings are combined in each map task. A
+    bitmap is one long, so that it never takes more than its ratings do,
+    however far apart the items' ids are.
     """
+    mid = F.col("mid").cast("long")
     return seen.where("uid is not null and mid is not null").groupBy(
-        "uid", F.bitmap_bucket_number("mid").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("mid")).alias("bits"))
+        "uid", _bitmap(mid).alias("bucket")).agg(F.bit_or(_bit(mid)).alias("bits"))
+
+
+def _bitmap(mid: Column) -> Column:
+    return F.shiftright(mid, 6)
 
 
-def is_set(bits: Column, position: Column) -> Column:
-    """Whether a bitmap has the bit; false for a null bitmap."""
-    byte = F.conv(F.hex(F.substring(bits, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10)
-    bit = F.expr("1").cast("int") * F.pow(F.lit(2), position % 8).cast("int")
-    return F.coalesce(byte.cast("int").bitwiseAND(bit) != 0, F.lit(False))
+def _bit(mid: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), mid.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def is_set(bits: Column, mid: Column) -> Column:
+    """Whether an item's bitmap has its bit; false for a null bitmap."""
+    return F.coalesce(bits.bitwiseAND(_bit(mid)) != 0, F.lit(False))
 
 
 def drop_seen(cand: DataFrame, bitmaps: DataFrame, item_col: str = "sim_mid") -> DataFrame:
     """Rows of ``cand`` (uid, item, ...) whose bit isn't set in ``seen_bitmaps``."""
-    rows = cand.withColumn("bucket", F.bitmap_bucket_number(item_col))
+    item = F.col(item_col).cast("long")
+    rows = cand.withColumn("bucket", _bitmap(item))
     rows = rows.join(bitmaps, ["uid", "bucket"], "left")
-    unseen = ~is_set(F.col("bits"), F.bitmap_bit_position(item_col))
+    unseen = ~is_set(F.col("bits"), item)
     return rows.where(unseen).select(*cand.columns)
 
 
@@ -158,7 +180,9 @@ def sim_candidates(events: DataFrame, sim_matrix: DataFrame, seen: DataFrame | N
     fan-out per event is bounded. Exactness: if the prefix holds ``num``
     unseen items they are the answer; if the list is no longer than the
     prefix, the prefix is the list; only the remaining events (heavy
-    raters) read their full list.
+    raters) read on. In an item-level matrix that is their full list; in a
+    grouped one, where the full lists would be expanded, a prefix longer than
+    what the user has rated (:func:`_longer_lists`).
     """
     keys = list(dict.fromkeys([*event_key, "uid"]))
     ev = _event_sources(events, keys, item_group)
@@ -177,39 +201,99 @@ def sim_candidates(events: DataFrame, sim_matrix: DataFrame, seen: DataFrame | N
                | (F.col("found") >= num))
     first_done = first.filter(settled)
     enough = first.filter(F.col("found") >= num).select(*event_key).distinct()
+    if item_group is not None:
+        first = checkpoint_once(first)
+        first_done = first.filter(settled)
+        enough = first.filter(F.col("found") >= num).select(*event_key).distinct()
     pending = x.filter(F.col("n_sims") > F.col("cap")).join(enough, list(event_key), "left_anti")
-    second = _unseen_top(pending, full, seen, num, event_key)
-    return first_done.select(*cols).unionByName(second.select(*cols))
+    out = first_done.select(*cols)
+    if item_group is None:
+        return out.unionByName(_unseen_top(pending, full, seen, num, event_key).select(*cols))
+    for second in _longer_lists(pending, sim_matrix, item_group, seen, num, event_key):
+        out = out.unionByName(second.select(*cols))
+    return out
+
+
+def _longer_lists(pending: DataFrame, sim_matrix: DataFrame, item_group: DataFrame,
+                  seen: DataFrame | None, num: int, event_key: Sequence[str]
+                  ) -> Iterator[DataFrame]:
+    """Top ``num`` of the pending events, from prefixes as long as each of them needs.
+
+    The first num + (rated items + 1) * c rows of a list hold ``num`` unseen
+    ones, c being the most rows an item has. Events are taken together when
+    that number lies below the same power of two (at most 62 rounds, none
+    without pending events), so that what is joined is bounded by what the
+    users have rated.
+    """
+    per_item = item_group.groupBy("mid").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("c"))
+    if seen is None:
+        need = pending.withColumn("rated", F.lit(0).cast("long"))
+    else:
+        users = pending.select("uid").distinct()
+        size = F.sum(F.bit_count("bits")) if "bits" in seen.columns else F.count("mid")
+        rated = seen.join(users, "uid", "left_semi").groupBy("uid").agg(size.alias("rated"))
+        need = pending.join(rated, "uid", "left")
+    rows = F.lit(num) + (F.coalesce("rated", F.lit(0)) + 1) * F.coalesce("c", F.lit(1))
+    need = checkpoint_once(need.join(F.broadcast(per_item)).withColumn(  # one row
+        "bits_", F.ceil(F.log2(rows)).cast("int")).drop("c", "rated"))
+    for (bits,) in need.select("bits_").distinct().orderBy("bits_").collect():
+        some = need.filter(F.col("bits_") == bits).drop("bits_")
+        wanted = some.select(F.col("src").alias("mid")).distinct()
+        prefix = _prefix(sim_matrix.join(wanted, "mid", "left_semi"), item_group, 1 << bits)
+        yield _unseen_top(some, prefix, seen, num, event_key)
 
 
 def score_candidates(candidates: DataFrame, recent: DataFrame, sim_matrix: DataFrame,
                      threshold: float = RERANK_SIM_THRESHOLD, up_score: float = RERANK_UP_SCORE,
                      event_key: Sequence[str] = ("uid",),
-                     item_group: DataFrame | None = None) -> DataFrame:
+                     item_group: DataFrame | None = None, unseen: bool = False) -> DataFrame:
     """Priority per (event, candidate): event_key + (mid, score).
 
     Candidates with no recent rating above the similarity threshold get no
-    row (nothing to average). Each event joins at most num x recent_k pairs.
+    row (nothing to average). Each event joins at most num x recent_k pairs;
+    with a grouped matrix as many as the pairs of their groups, since the
+    candidates of a group meet the same recent ratings. ``unseen`` says that
+    no candidate is among its user's recent ratings.
     """
     keys = list(dict.fromkeys([*event_key, "uid"]))
     c = candidates.select(*keys, F.col("sim_mid").alias("cand"))
     r = recent.select("uid", F.col("mid").alias("rmid"), F.col("score").alias("rscore"))
     s = sim_matrix.filter(F.col("sim") > threshold)
+    up, down = F.col("rscore") > up_score, F.col("rscore") <= up_score
     if item_group is None:
         s = s.select(F.col("mid").alias("cand"), F.col("sim_mid").alias("rmid"), "sim")
         pairs = c.join(r, "uid").filter(F.col("cand") != F.col("rmid"))
-        scored = pairs.join(s, ["cand", "rmid"])
+        agg = pairs.join(s, ["cand", "rmid"]).groupBy(*keys, "cand").agg(
+            F.avg(F.col("sim") * F.col("rscore")).alias("base"),
+            F.count_if(up).alias("ups"), F.count_if(down).alias("downs"))
     else:
-        # Attach groups before the (event x recent) product, on the smaller sides.
         s = s.select(F.col("mid").alias("gc"), F.col("sim_mid").alias("gr"), "sim")
         c = c.join(item_group.select(F.col("mid").alias("cand"), F.col("grp").alias("gc")), "cand")
         r = r.join(item_group.select(F.col("mid").alias("rmid"), F.col("grp").alias("gr")), "rmid")
-        pairs = c.join(r, "uid").filter(F.col("cand") != F.col("rmid"))
-        scored = pairs.join(s, ["gc", "gr"])
-    agg = scored.groupBy(*keys, "cand").agg(
-        F.avg(F.col("sim") * F.col("rscore")).alias("base"),
-        F.count_if(F.col("rscore") > up_score).alias("ups"),
-        F.count_if(F.col("rscore") <= up_score).alias("downs"))
+        r = r.groupBy("uid", "gr", "rmid").agg(
+            F.sum("rscore").alias("s"), F.count("rscore").alias("n"), F.count(F.lit(1)).alias("rows"),
+            F.count_if(up).alias("ups"), F.count_if(down).alias("downs"))
+        counts = ["n", "rows", "ups", "downs"]
+        by_group = r.groupBy("uid", "gr").agg(F.sum("s").alias("s"),
+                                              *[F.sum(x).alias(x) for x in counts])
+
+        def weighted(rows: DataFrame, by: list[str]) -> DataFrame:
+            return rows.join(s, ["gc", "gr"]).groupBy(*by).agg(
+                F.sum(F.col("sim") * F.col("s")).alias("total"),
+                *[F.sum(x).alias(x) for x in counts])
+
+        of_group = weighted(c.select(*keys, "gc").distinct().join(by_group, "uid"), [*keys, "gc"])
+        rows = c.join(of_group, [*keys, "gc"])
+        if not unseen:  # an item is no evidence for itself
+            own = c.select("uid", "cand", "gc").distinct().join(
+                r.withColumnRenamed("rmid", "cand"), ["uid", "cand"])
+            own = weighted(own, ["uid", "cand", "gc"]).select("uid", "cand", "gc", *[
+                F.col(x).alias(f"{x}_") for x in ("total", *counts)])
+            rows = rows.join(own, ["uid", "cand", "gc"], "left").select(*keys, "cand", *[
+                (F.col(x) - F.coalesce(f"{x}_", F.lit(0))).alias(x) for x in ("total", *counts)])
+        agg = rows.groupBy(*keys, "cand").agg(F.sum("total").alias("total"),
+                                              *[F.sum(x).alias(x) for x in counts])
+        agg = agg.where("rows > 0").withColumn("base", F.try_divide("total", "n"))
     priority = (F.col("base") + F.log10(F.greatest(F.col("ups"), F.lit(1)))
                 - F.log10(F.greatest(F.col("downs"), F.lit(1))))
     return agg.select(*keys, F.col("cand").alias("mid"), priority.alias("score"))
@@ -257,4 +341,4 @@ def stream_recommendations(events: DataFrame, ratings: DataFrame, sim_matrix: Da
     cands = sim_candidates(events, sim_matrix, seen, num_candidates, event_key, capped,
                            item_group)
     return score_candidates(cands, recent, sim_matrix, event_key=event_key,
-                            item_group=item_group)
+                            item_group=item_group, unseen=exclude_seen)

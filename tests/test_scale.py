@@ -2,8 +2,12 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
-from reelrank.operators import tfidf
+from reelrank.operators import rerank, tfidf
+from reelrank.session import checkpoint_once
+from tests.conftest import rows
 
 
 DOCS = [(1, "Action|Adventure"), (2, "Action"), (3, "Comedy|Drama"), (4, "Action|Adventure"),
@@ -48,3 +52,64 @@ def test_copies_do_not_multiply(spark, tmp_path, name):
         assert kinds["member"] == copies * len(names)
         sizes.append(kinds.get("pair", 0))
     assert sizes[0] == sizes[1] > 0
+
+
+def _copies(spark, n):
+    """Items 0..n-1 of three texts, a light rater and one who has rated most of the first text."""
+    movies = spark.range(n).selectExpr(
+        "id as mid", "case id % 3 when 0 then 'a|b' when 1 then 'a|b|c' else 'd' end as genres")
+    movies = movies.union(movies.where("mid < 6"))  # repeated rows
+    data = [(1, 0, 5.0, 1), (1, 4, 2.0, 2), (3, 1, 4.0, 1)]
+    data += [(2, m, 1.0 + m % 5, m) for m in range(0, n - 30) if m % 3 < 2]
+    ratings = spark.createDataFrame(data, "uid long, mid long, score double, ts long")
+    return movies, ratings
+
+
+@pytest.mark.parametrize("bitmaps", [False, True])
+def test_only_prefixes_of_copies_are_listed(spark, monkeypatch, bitmaps):
+    movies, ratings = _copies(spark, 240)
+    item_group, sims = tfidf.tfidf_similarity_groups(movies)
+    events, seen = rerank.latest_events(ratings), ratings.select("uid", "mid")
+    want = rows(rerank.sim_candidates(events, sims, seen, 20, item_group=item_group))
+    listed, lists = [], rerank._lists
+
+    def counted(matrix, groups):
+        out = lists(matrix, groups)
+        listed.append(out)
+        return out
+
+    monkeypatch.setattr(rerank, "_lists", counted)
+    prefix = rerank._prefix(sims, item_group, 40)
+    assert listed[-1].groupBy("src", "sim").count().agg({"count": "max"}).first()[0] <= 40
+    capped = checkpoint_once(rerank.capped_matrix(sims, 40, item_group))
+    assert rows(capped.select(*prefix.columns)) == rows(prefix)
+    got = rerank.sim_candidates(events, sims, rerank.seen_bitmaps(seen) if bitmaps else seen, 20,
+                                capped=capped, item_group=item_group)
+    assert rows(got) == want and {r[0] for r in want} == {1, 2, 3}
+
+
+@pytest.mark.parametrize("exclude_seen", [False, True])
+def test_scores_by_group_equal_scores_by_item(spark, exclude_seen):
+    movies, ratings = _copies(spark, 90)
+    movies = movies.distinct()
+    ratings = ratings.unionByName(ratings.where("uid = 3").withColumn("score", F.lit(None).cast("double")))
+    item_group, sims = tfidf.tfidf_similarity_groups(movies)
+    events = rerank.latest_events(ratings)
+    recent = rerank.user_recent_k(ratings, 20)
+    cands = rerank.sim_candidates(events, sims, ratings if exclude_seen else None, 20,
+                                  item_group=item_group)
+    got = rerank.score_candidates(cands, recent, sims, item_group=item_group, unseen=exclude_seen)
+    matrix = rerank._lists(sims, item_group).join(
+        item_group.select("mid", F.col("grp").alias("src")), "src").select("mid", "sim_mid", "sim")
+    want = {(r.uid, r.mid): r.score for r in
+            rerank.score_candidates(cands, recent, matrix).collect()}
+    got = {(r.uid, r.mid): r.score for r in got.collect()}
+    assert got.keys() == want.keys() and len(want) > 20
+    assert all(got[k] == (None if want[k] is None else pytest.approx(want[k])) for k in want)
+
+
+def test_bitmaps_take_no_more_than_their_ratings(spark):
+    """Items far apart: 4 KB for each rating once, a long now."""
+    seen = spark.range(50).selectExpr("1L as uid", "id * 100000 as mid")
+    maps = rerank.seen_bitmaps(seen)
+    assert maps.count() == 50 and dict(maps.dtypes)["bits"] == "bigint"

@@ -121,4 +121,4 @@ def read_committed(spark: SparkSession, path: str, schema: str | StructType) ->
     rows = rows.withColumn("file_", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
     # one row per file
     ids = spark.createDataFrame(table, "file_ string, batch_id long")
-    return rows.join(ids, "file_").drop("file_")
+    return rows.join(F.broadcast(ids), "file_").drop("file_")

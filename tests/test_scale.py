@@ -1,11 +1,12 @@
 """Queries whose rows, shuffles or tasks must not grow with the square of the input."""
 
+import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from reelrank.operators import rerank, tfidf
+from reelrank.operators import rerank, similarity, tfidf
 from reelrank.session import checkpoint_once
 from tests.conftest import rows
 
@@ -113,3 +114,40 @@ def test_bitmaps_take_no_more_than_their_ratings(spark):
     seen = spark.range(50).selectExpr("1L as uid", "id * 100000 as mid")
     maps = rerank.seen_bitmaps(seen)
     assert maps.count() == 50 and dict(maps.dtypes)["bits"] == "bigint"
+
+
+def test_links_are_counted_in_few_groups(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    vecs = np.concatenate([np.zeros((2, 8)), np.repeat(rng.normal(size=(3, 8)), 20, axis=0),
+                           rng.normal(size=(240, 8))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)],
+                               "id long, vec array<double>")
+    monkeypatch.setattr(similarity, "PIVOT_ROWS", 10)
+    want = {}
+    for r in similarity.cosine_pairs(df, threshold=0.3, prune=False).collect():
+        want[r.id] = want.get(r.id, 0) + 1
+    got = {r.id: r for r in similarity.cosine_links(df, threshold=0.3, chunk_rows=7).collect()}
+    assert {i: r.n_links for i, r in got.items() if r.n_links} == want and len(got) == len(vecs)
+    assert all(got[i].class_id == (0 if i < 2 else 2 + (i - 2) // 20 * 20 if i < 62 else i)
+               for i in got)
+    # a vector is shipped once per group, not once per pivot's block
+    blocks = similarity.DirectionalBlocks(similarity.unit_vectors(df, "id", "vec"), len(vecs), 8,
+                                          0.3, pivot_rows=10)
+    most = max(r["n"] for r in blocks.groups.groupBy("blk").agg(F.count("*").alias("n")).collect())
+    fanned = max(r["n"] for r in blocks.pairs.groupBy("blk").agg(F.count("*").alias("n")).collect())
+    assert most <= 2 * similarity.MIN_GROUPS < fanned
+
+
+def test_search_meets_all_rows(spark):
+    vecs = np.random.default_rng(3).normal(size=(90, 6))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)],
+                               "id long, vec array<double>")
+    whole = similarity.cosine_pairs(df, threshold=None, top_k=4)
+    some = similarity.cosine_pairs(df, threshold=None, top_k=4, queries="id % 10 = 0", chunk_rows=2)
+    cols = ["id", "rk", "sim_id"]
+    assert rows(some, *cols) == rows(whole.where("id % 10 = 0"), *cols) and some.count() == 36
+
+
+def test_scores_held_at_a_time_are_bounded(monkeypatch):
+    monkeypatch.setattr(similarity, "SLAB_BYTES", 8 * 100)
+    assert similarity._chunk(1024, 50) == 2 and similarity._chunk(1024, 1000) == 1

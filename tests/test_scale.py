@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from reelrank.operators import rerank, similarity, tfidf
 from reelrank.session import checkpoint_once
+from reelrank.streaming import commits, log, recent
 from tests.conftest import rows
 
 
@@ -151,3 +152,30 @@ def test_search_meets_all_rows(spark):
 def test_scores_held_at_a_time_are_bounded(monkeypatch):
     monkeypatch.setattr(similarity, "SLAB_BYTES", 8 * 100)
     assert similarity._chunk(1024, 50) == 2 and similarity._chunk(1024, 1000) == 1
+
+
+@pytest.mark.parametrize("groups", [1, 7])
+def test_users_share_states(spark, tmp_path, groups):
+    """Lists and versions per user don't depend on how many users share a state."""
+    path, out, ckpt = (str(tmp_path / x) for x in ("log", "out", "ckpt"))
+    rated = [(u, m, float(m % 5), (m * 7) % 11) for u in range(1, 9) for m in range(u * 3)]
+    batches = [rated[::2], [r for r in rated[1::2] if r[0] != 4], [(3, 99, 5.0, 99)]]
+    for rows_ in batches:
+        log.append_messages(spark.createDataFrame(
+            [("|".join(map(str, r)),) for r in rows_], "value string").repartition(3), path)
+        fields = F.split("value", "[|]")
+        parsed = log.log_stream(spark, path).select(*[
+            fields[i].cast(t).alias(c) for i, (c, t) in enumerate((
+                ("uid", "long"), ("mid", "long"), ("score", "double"), ("timestamp", "long")))])
+        commits.write_stream(recent.recent_ratings(parsed, 4, groups=groups), out, ckpt
+                             ).awaitTermination()
+    lists = commits.read_committed(spark, out, recent.SCHEMA)
+    got = {}
+    for r in sorted(recent.latest_lists(lists).collect()):
+        got.setdefault(r.uid, []).append(r.mid)
+    all_rows = [r for b in batches for r in b]
+    for u in range(1, 9):
+        mine = sorted((r for r in all_rows if r[0] == u), key=lambda r: (-r[3], -r[2], r[1]))[:4]
+        assert got[u] == [r[1] for r in mine]
+    last = {r.uid: r.v for r in lists.groupBy("uid").agg(F.max("version").alias("v")).collect()}
+    assert last == {u: 2 + (u == 3) - (u == 4) for u in range(1, 9)}

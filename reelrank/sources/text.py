@@ -7,6 +7,8 @@ CSV scans, so they parallelise over the input files.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +62,11 @@ def parse_csv_lines(lines: DataFrame, names: list[str], types: list[str],
     return good, rejects
 
 
+def _separator(sep: str) -> str:
+    """Pattern of one character, escaped if need be: such a pattern is not compiled for every line."""
+    return re.escape(sep) if len(sep) == 1 else f"[{sep}]"
+
+
 def line_fault(value: Column, names: list[str], types: list[str], sep: str = ",") -> Column:
     """Why a line is rejected, null if it isn't: its first fault from the left.
 
@@ -67,7 +74,7 @@ def line_fault(value: Column, names: list[str], types: list[str], sep: str = ","
     without text, ``type:<name>`` for one that isn't of its type. A null line
     has no fields.
     """
-    parts = F.split(value, f"[{sep}]", -1)
+    parts = F.split(value, _separator(sep), -1)
     size = F.coalesce(F.size(parts), F.lit(0))
     fault = F.when(value.isNull(), "fields:0").when(
         size != len(names), F.concat(F.lit("fields:"), size.cast("string")))
@@ -88,20 +95,50 @@ def split_faults(lines: DataFrame, names: list[str], types: list[str], sep: str
     whichever side reads all lines runs: an ``Observation`` for a batch, a
     name for a stream's progress events.
     """
+    told = _told_faults(lines, names, types, sep, value_col, metrics)
+    good = told.where("reason is null").select(*_typed_fields(names, types, sep))
+    return good, told.where("reason is not null")
+
+
+def load_faults(lines: DataFrame, names: list[str], types: list[str], path: str, sep: str = ",",
+                value_col: str = "value", metrics: Observation | str | None = None
+                ) -> tuple[DataFrame, DataFrame]:
+    """:func:`split_faults` of a batch, written to ``path`` as one table; both sides read from it.
+
+    Each line is read and parsed once, and ``metrics`` are there on return. A
+    row of the table has its fields, or the line and the reason; the other
+    columns are null and take no room.
+    """
+    told = _told_faults(lines, names, types, sep, value_col, metrics)
+    bad = F.col("reason").isNotNull()
+    told.select(F.struct(*[F.when(~bad, f).alias(n) for f, n in zip(
+        _typed_fields(names, types, sep), names)]).alias("fields"),
+        F.struct(F.when(bad, F.col("value")).alias("value"), "reason").alias("fault")
+    ).write.mode("errorifexists").parquet(path)
+    table = lines.sparkSession.read.parquet(path)
+    return (table.where("fault.reason is null").select("fields.*"),
+            table.where("fault.reason is not null").select("fault.*"))
+
+
+def _told_faults(lines: DataFrame, names: list[str], types: list[str], sep: str, value_col: str,
+                 metrics: Observation | str | None) -> DataFrame:
+    """(value, reason) of each line, counted by ``metrics``."""
     value = F.col(value_col)
     told = lines.select(value.alias("value"), line_fault(value, names, types, sep).alias("reason"))
-    if metrics is not None:
-        bad = F.col("reason")
-        told = told.observe(metrics, F.count(F.lit(1)).alias("n_lines"),
-                            F.count(bad).alias("n_rejects"),
-                            *[F.count_if(bad.startswith(kind)).alias(f"n_{kind}")
-                              for kind in ("fields", "empty", "type")])
-    parts = F.split("value", f"[{sep}]", -1)
+    if metrics is None:
+        return told
+    bad = F.col("reason")
+    return told.observe(metrics, F.count(F.lit(1)).alias("n_lines"),
+                        F.count(bad).alias("n_rejects"),
+                        *[F.count_if(bad.startswith(kind)).alias(f"n_{kind}")
+                          for kind in ("fields", "empty", "type")])
+
+
+def _typed_fields(names: list[str], types: list[str], sep: str) -> list[Column]:
+    parts = F.split("value", _separator(sep), -1)
     fields = [F.try_element_at(parts, F.lit(i + 1)) for i in range(len(names))]
-    good = told.where("reason is null").select(*[
-        (f if t == "string" else F.trim(f).try_cast(t)).alias(n)
-        for f, n, t in zip(fields, names, types)])
-    return good, told.where("reason is not null")
+    return [(f if t == "string" else F.trim(f).try_cast(t)).alias(n)
+            for f, n, t in zip(fields, names, types)]
 
 
 def read_ratings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -1,10 +1,13 @@
 """Rejects with reasons, the document index, seen bitmaps, dealt terms, ALS fit checks."""
 
+import os
+
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from reelrank.operators import als, rerank, tfidf
+from reelrank.plans.queries import QUERIES
 from reelrank.session import scratch_path
 from reelrank.sources import sinks, text
 
@@ -27,6 +30,40 @@ def test_line_faults(spark):
     assert [tuple(r) for r in good.collect()] == [(1, 2, 3.5, 4)] * 2
 
 
+def test_loaded_faults(spark):
+    """One table holds both sides: the lines are not read again for the rejects."""
+    lines = ["1,2,3.5,4", " 1 ,2,3.5,4", "1,2", "", "x,2,3,4", "1,2,3,4,5"]
+    src, path = scratch_path(spark, "in"), scratch_path(spark, "loaded")
+    spark.createDataFrame([(v,) for v in lines], "value string").write.text(src)
+    seen = Observation("loaded")
+    sides = text.load_faults(spark.read.text(src), NAMES, TYPES, path, metrics=seen)
+    assert (seen.get["n_lines"], seen.get["n_rejects"]) == (6, 4)
+    for side, plain in zip(sides, text.split_faults(spark.read.text(src), NAMES, TYPES)):
+        assert side.schema == plain.schema
+        assert sorted(map(str, side.collect())) == sorted(map(str, plain.collect()))
+        assert side.inputFiles() and all(os.path.basename(path) in f for f in side.inputFiles())
+
+
+def test_rejects_are_read_from_the_loaded_table(spark):
+    sf = scratch_path(spark, "sf")
+    rows = spark.range(80)
+    rows.selectExpr("id as o_orderkey", "id % 7 as o_custkey", "timestamp '2020-01-01' as o_orderdate",
+                    "'1-URGENT' as o_orderpriority").write.parquet(f"{sf}/orders.parquet")
+    rows.selectExpr("id as l_orderkey", "id % 9 as l_partkey", "1 as l_linenumber",
+                    "double(id % 50 + 1) as l_quantity").write.parquet(f"{sf}/lineitem.parquet")
+    table = QUERIES["load_rejects"](spark, sf)
+    assert not any("faulty-text" in f for f in table.inputFiles())
+    assert {(r.n_lines, r.n_rejects, r.n_good) for r in table.collect()} == {(80, 10, 70)}
+
+
+@pytest.mark.parametrize("sep", list(",|^.$-\\]\t "))
+def test_separators(spark, sep):
+    lines = spark.createDataFrame([(sep.join("1234"),), (sep.join("123"),)], "value string")
+    good, rejects = text.split_faults(lines, NAMES, TYPES, sep=sep)
+    assert [tuple(r) for r in good.collect()] == [(1, 2, 3.0, 4)]
+    assert [r.reason for r in rejects.collect()] == ["fields:3"]
+
+
 def test_faults_of_a_stream(spark):
     path, out, ckpt = (scratch_path(spark, n) for n in ("in", "out", "ckpt"))
     spark.createDataFrame([("1|2|3.5|4",), ("1|2",), ("1|2|x|4",)], "value string").coalesce(

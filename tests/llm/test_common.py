@@ -129,3 +129,14 @@ def test_long_words_are_not_remembered():
         memory = kind(len, 3)
         assert [memory["x" * n] for n in (1, 64, 65, 10_000)] == [1, 64, 65, 10_000]
         assert sorted(map(len, memory)) == [1, 64]
+
+
+def test_frequent_keys_stay_remembered():
+    from reelrank.llm import spm
+
+    made = []
+    memory = spm._Memory(lambda key: made.append(key) or len(key), 6)
+    for i in range(100):
+        assert memory["often"] == 5 and memory[f"rare{i}"] == len(f"rare{i}")
+        assert len(memory) + len(memory.older) <= 6
+    assert made.count("often") == 1

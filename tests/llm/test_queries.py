@@ -111,3 +111,25 @@ def test_sentencepiece_odd_texts():
         assert ids == library.encode(text)
         if spm.SPACE not in text:
             assert machine.decode(ids) == text
+
+
+def test_sentencepiece_words_are_made_once():
+    """Signs after a word are cut off, and a path tries a part of its neighbours only."""
+    path = queries.tokenizer_file("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    with open(path, "rb") as f:
+        machine = spm.Transducer(f.read())
+    words = ["under", "standing", "whole", "Größe", "ciónes"]
+    text = " ".join(w + sign for w in words for sign in ["", ".", ",", ";", "!)", "\u201d.", "\u00b2"])
+    ids = np.frombuffer(machine.encode(text), "<u4").tolist()
+    assert ids == library.encode(text)
+    assert sum(w in key for w in words for key in machine.stretches) <= 2 * len(words)
+    rng = np.random.default_rng(6)
+    units = ["".join(rng.choice(list("aeinorst"), rng.integers(1, 40))) for _ in range(300)]
+    tried, settled = [], machine.pairs.make
+    for unit in units:
+        machine.pairs.clear()
+        machine.pairs.make = lambda pair: tried.append(pair) or settled(pair)
+        got = machine._path(unit)
+        assert [machine.pieces[i] for i in got] == machine._merged(unit)
+    assert len(tried) < sum(map(len, units))

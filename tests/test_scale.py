@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from reelrank.operators import rerank, similarity, tfidf
 from reelrank.session import checkpoint_once
+from reelrank.sources import tables
 from reelrank.streaming import commits, log, recent
 from tests.conftest import rows
 
@@ -38,24 +39,43 @@ def test_links_expand_to_the_item_pairs(spark, hashed):
         sorted(got[p]) == pytest.approx(sorted(want[p])) for p in want)
 
 
-@pytest.mark.parametrize("name", ["tfidf_item_sim", "tfidf_hashed_sim", "sim_text_roundtrip"])
-def test_copies_do_not_multiply(spark, tmp_path, name):
+NAMES = ["hot ring rod", "hot ring rod new", "cold bolt", "blue anvil"]
+
+
+def _parts(spark, path, copies):
+    """A part table whose texts come ``copies`` times each."""
+    spark.range(copies * len(NAMES)).selectExpr(
+        "id as p_partkey", f"array({str(NAMES)[1:-1]})[int(id % 4)] as p_name",
+        "'LARGE' as p_type", "'b' as p_brand", "1 as p_size").write.parquet(f"{path}/part.parquet")
+
+
+@pytest.mark.parametrize("hashed", [False, True])
+def test_copies_do_not_multiply(spark, tmp_path, hashed):
     """Ten times the copies of each text: ten times the members, the same class pairs."""
-    names = ["hot ring rod", "hot ring rod new", "cold bolt", "blue anvil"]
     sizes = []
     for copies in (3, 30):
         folder = str(tmp_path / str(copies))
-        spark.range(copies * len(names)).selectExpr(
-            "id as p_partkey", f"array({str(names)[1:-1]})[int(id % 4)] as p_name",
-            "'LARGE' as p_type", "'b' as p_brand", "1 as p_size").write.parquet(
-            f"{folder}/part.parquet")
-        out = entry.queries()[name](spark, folder)
+        _parts(spark, folder, copies)
+        out = tfidf.tfidf_item_links(tables.movies(spark, folder), hashed=hashed)
         kinds = {r["kind"]: r["count"] for r in out.groupBy("kind").count().collect()}
-        assert kinds["member"] == copies * len(names)
+        assert kinds["member"] == copies * len(NAMES)
         sizes.append(kinds.get("pair", 0))
     assert sizes[0] == sizes[1] > 0
 
 
+@pytest.mark.parametrize("name", ["tfidf_item_sim", "tfidf_hashed_sim", "sim_text_roundtrip"])
+def test_similarity_queries_list_every_item_pair(spark, tmp_path, name):
+    """Copies of a text are similar to each other and to each copy of a similar text."""
+    folder = str(tmp_path)
+    _parts(spark, folder, 3)
+    out = entry.queries()[name](spark, folder)
+    assert out.columns == ["mid", "sim_mid", "sim"]
+    got = {(r.mid, r.sim_mid) for r in out.collect()}
+    assert len(got) == out.count()
+    assert {(i, j) for i in range(12) for j in range(12) if i != j and i % 4 == j % 4} <= got
+    assert {(i, j) for i in range(0, 12, 4) for j in range(1, 12, 4)} <= got
+
+
 def _copies(spark, n):
     """Items 0..n-1 of three texts, a light rater and one who has rated most of the first text."""
     movies = spark.range(n).selectExpr(

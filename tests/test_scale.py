@@ -76,6 +76,21 @@ def test_similarity_queries_list_every_item_pair(spark, tmp_path, name):
     assert {(i, j) for i in range(0, 12, 4) for j in range(1, 12, 4)} <= got
 
 
+def test_every_user_gets_a_list(spark, tmp_path):
+    """Users whose ids are no multiples of 100."""
+    spark.range(1, 41).selectExpr(
+        "id as o_orderkey", "1 + id % 9 as o_custkey",
+        "timestamp'2020-01-01 00:00:00' as o_orderdate", "'1' as o_orderpriority").write.parquet(
+        str(tmp_path / "orders.parquet"))
+    spark.range(160).selectExpr(
+        "1 + id % 40 as l_orderkey", "1 + (id * 7) % 23 as l_partkey",
+        "cast(id as int) as l_linenumber", "cast(1 + id % 50 as double) as l_quantity"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    out = entry.queries()["als_user_recs"](spark, str(tmp_path)).collect()
+    assert sorted(r.uid for r in out) == list(range(1, 10))
+    assert all(r.is_factor_product and r.solves_ridge for r in out)
+
+
 def _copies(spark, n):
     """Items 0..n-1 of three texts, a light rater and one who has rated most of the first text."""
     movies = spark.range(n).selectExpr(

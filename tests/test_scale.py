@@ -76,6 +76,23 @@ def test_similarity_queries_list_every_item_pair(spark, tmp_path, name):
     assert {(i, j) for i in range(0, 12, 4) for j in range(1, 12, 4)} <= got
 
 
+def _embedded(spark, path, n):
+    """``n`` vectors, ids from 1 that are no multiples of 100."""
+    vecs = np.random.default_rng(5).normal(size=(n, 6))
+    spark.createDataFrame([(i + 1, v.tolist()) for i, v in enumerate(vecs)],
+                          "vec_id long, embedding array<float>").write.parquet(
+        f"{path}/embeddings.parquet")
+    return vecs.astype(np.float32).astype(float)
+
+
+def test_top_lists_of_every_vector(spark, tmp_path):
+    _embedded(spark, str(tmp_path), 60)
+    for name, k in (("cosine_topk", 10),):
+        out = entry.queries()[name](spark, str(tmp_path)).collect()
+        assert sorted((r.vec_id, r.rk) for r in out) == [
+            (i, rk) for i in range(1, 61) for rk in range(1, k + 1)]
+
+
 def test_every_user_gets_a_list(spark, tmp_path):
     """Users whose ids are no multiples of 100."""
     spark.range(1, 41).selectExpr(

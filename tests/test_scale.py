@@ -93,6 +93,17 @@ def test_top_lists_of_every_vector(spark, tmp_path):
             (i, rk) for i in range(1, 61) for rk in range(1, k + 1)]
 
 
+def test_threshold_lists_every_pair(spark, tmp_path):
+    vecs = _embedded(spark, str(tmp_path), 60)
+    units = vecs / np.linalg.norm(vecs, axis=1, keepdims=True)
+    cos = units @ units.T
+    want = {(i + 1, j + 1): cos[i, j] for i in range(60) for j in range(60)
+            if i != j and cos[i, j] > 0.3}
+    out = entry.queries()["cosine_threshold"](spark, str(tmp_path)).collect()
+    got = {(r.vec_id, r.sim_id): r.sim for r in out}
+    assert len(out) == len(got) and got == pytest.approx(want, abs=1e-6)
+
+
 def test_every_user_gets_a_list(spark, tmp_path):
     """Users whose ids are no multiples of 100."""
     spark.range(1, 41).selectExpr(

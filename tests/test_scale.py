@@ -87,7 +87,7 @@ def _embedded(spark, path, n):
 
 def test_top_lists_of_every_vector(spark, tmp_path):
     _embedded(spark, str(tmp_path), 60)
-    for name, k in (("cosine_topk", 10),):
+    for name, k in (("cosine_topk", 10), ("product_topk", 20)):
         out = entry.queries()[name](spark, str(tmp_path)).collect()
         assert sorted((r.vec_id, r.rk) for r in out) == [
             (i, rk) for i in range(1, 61) for rk in range(1, k + 1)]

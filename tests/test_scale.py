@@ -202,6 +202,29 @@ def test_links_are_counted_in_few_groups(spark, monkeypatch):
     assert most <= 2 * similarity.MIN_GROUPS < fanned
 
 
+def test_pairs_are_handed_on_in_slabs(spark, monkeypatch):
+    """A task gives its pairs a slab of similarities at a time; vectors go to few groups."""
+    rng = np.random.default_rng(2)
+    vecs = np.concatenate([np.zeros((2, 8)), np.ones((40, 8)), rng.normal(size=(260, 8))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)],
+                               "id long, vec array<double>")
+    monkeypatch.setattr(similarity, "PIVOT_ROWS", 10)
+    want = {(r.id, r.sim_id): r.sim for r in
+            similarity.cosine_pairs(df, threshold=0.3, prune=False).collect()}
+    out = similarity.cosine_pairs(df, threshold=0.3, chunk_rows=7).collect()
+    got = {(r.id, r.sim_id): r.sim for r in out}
+    assert len(out) == len(got) and got == pytest.approx(want)
+    blocks = similarity.DirectionalBlocks(similarity.unit_vectors(df, "id", "vec"), len(vecs), 8,
+                                          0.3, pivot_rows=10)
+    task, key = next((t, k) for t, k in enumerate(blocks.tasks) if len(blocks.near[k]) > 2)
+    rows_ = blocks.packed.join(blocks.groups.where(f"task = {task}"), "blk").select(
+        "task", "blk", "ids", "vecs").toArrow().to_batches()
+    slabs = list(similarity._pair_rows_fn(0.3, 7, [blocks.near[k] for k in blocks.tasks])(iter(rows_)))
+    most = max(blocks.packed.selectExpr("blk", "length(ids) / 8 as n").groupBy("blk").agg(
+        F.sum("n").alias("n")).toPandas()["n"])
+    assert len(slabs) > 2 and max(len(x) for x in slabs) <= 7 * most
+
+
 def test_search_meets_all_rows(spark):
     vecs = np.random.default_rng(3).normal(size=(90, 6))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)],

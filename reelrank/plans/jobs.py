@@ -129,7 +129,7 @@ def offline_job(spark: SparkSession, cfg: dict) -> None:
     ratings = read(spark, cfg, "rating").select("uid", "mid", "score").persist()
     try:
         model = als.fit_als(ratings, seed=cfg.get("seed", 42),
-                            num_blocks=cfg.get("als_blocks", ALS_NUM_BLOCKS))
+                            num_blocks=cfg.get("als_blocks"))
         rated = ratings.select("uid", "mid") if cfg.get("exclude_rated") else None
         user_recs = collect_sorted(als.user_recommendations(model, rated=rated), ["uid"])
         write(user_recs, cfg, "user_recs")

@@ -209,3 +209,17 @@ def test_the_model_does_not_depend_on_the_number_of_cores():
         assert out.returncode == 0, out.stderr[-2000:]
         lists.append(next(x for x in out.stdout.splitlines() if x.startswith("LISTS")))
     assert lists[0] == lists[1]
+
+
+def test_blocks_of_a_fit_grow_with_the_ratings(small_ratings, monkeypatch):
+    made, make = [], als.make_als
+
+    def seen(*args, num_blocks, **more):
+        made.append(num_blocks)
+        return make(*args, num_blocks=num_blocks, **more)
+    monkeypatch.setattr(als, "make_als", seen)
+    n = small_ratings.count()
+    als.fit_als(small_ratings, rank=2, max_iter=1)
+    monkeypatch.setattr(als, "ALS_BLOCK_RATINGS", 5)
+    als.fit_als(small_ratings, rank=2, max_iter=1)
+    assert made == [10, -(-n // 5)] and made[1] > 10
